@@ -69,11 +69,12 @@ def upsert_newer_wins(target: DataFrame, source: DataFrame) -> DataFrame:
     columns = target.columns
     kept, kept_keyless = split_by_key(target, "id")
     given, given_keyless = split_by_key(source.select([f"`{c}`" for c in columns]), "id")
-    old = kept.select(F.struct(*[f"`{c}`" for c in columns]).alias("old"))
-    new = newest_per_item(given).select(F.struct(*[f"`{c}`" for c in columns]).alias("new"))
+    old, new = kept.alias("old"), newest_per_item(given).alias("new")
     both = old.join(new, F.col("old.id") == F.col("new.id"), "full_outer")
-    take_new = F.col("old").isNull() | (F.col("new.pull_date") > F.col("old.pull_date"))
-    merged = both.select(F.when(take_new, F.col("new")).otherwise(F.col("old")).alias("row")).select("row.*")
+    take_new = F.col("old.id").isNull() | (F.col("new.pull_date") > F.col("old.pull_date"))
+    merged = both.select(
+        [F.when(take_new, F.col(f"new.`{c}`")).otherwise(F.col(f"old.`{c}`")).alias(c) for c in columns]
+    )
     return merged.unionByName(kept_keyless).unionByName(given_keyless)
 
 
