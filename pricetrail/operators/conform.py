@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,22 +43,35 @@ def conform(df: DataFrame, schema: T.StructType, renames: dict[str, str] | None
     return df.select([value for _, _, value in _typed(df, schema, renames)])
 
 
-def conform_checked(df: DataFrame, schema: T.StructType, renames: dict[str, str] | None = None) -> DataFrame:
-    """``conform`` plus an array naming the columns whose value did not convert."""
+def conform_checked(
+    df: DataFrame,
+    schema: T.StructType,
+    renames: dict[str, str] | None = None,
+    required: Collection[str] = (),
+) -> DataFrame:
+    """``conform`` plus an array naming the columns that make a row unfit to load.
+
+    Those are columns whose value did not convert, and ``required`` columns without a value.
+    """
+    failed = []
     typed = _typed(df, schema, renames)
-    failed = [
-        F.when(raw.isNotNull() & raw.try_cast(field.dataType).isNull(), F.lit(field.name))
-        for field, raw, _ in typed
-        if raw is not None
-    ]
-    bad = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    return df.select(*[value for _, _, value in typed], bad.alias(BAD_COLUMNS))
+    for field, raw, _ in typed:
+        bad = F.lit(False)
+        if field.name in required:
+            bad = F.lit(True) if raw is None else raw.try_cast(field.dataType).isNull()
+        elif raw is not None:
+            bad = raw.isNotNull() & raw.try_cast(field.dataType).isNull()
+        failed.append(F.when(bad, F.lit(field.name)))
+    return df.select(*[value for _, _, value in typed], F.array_compact(F.array(*failed)).alias(BAD_COLUMNS))
 
 
 def split_rejects(
-    df: DataFrame, schema: T.StructType, renames: dict[str, str] | None = None
+    df: DataFrame,
+    schema: T.StructType,
+    renames: dict[str, str] | None = None,
+    required: Collection[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that load, and rows that do not together with the offending column names."""
-    checked = conform_checked(df, schema, renames)
+    checked = conform_checked(df, schema, renames, required)
     clean = F.size(BAD_COLUMNS) == 0
     return checked.filter(clean).drop(BAD_COLUMNS), checked.filter(~clean)

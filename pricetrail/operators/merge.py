@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PRICE_KEY = ("id", "pull_date")
+ACTION = "action"
 
 
 def split_by_key(df: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
@@ -30,28 +31,34 @@ def one_per_key(df: DataFrame, key: tuple[str, ...], *order: Column) -> DataFram
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def new_price_rows(target: DataFrame, source: DataFrame, prune: bool = True) -> DataFrame:
+def new_price_rows(
+    target: DataFrame, source: DataFrame, prune: bool = True, keyless: bool = True
+) -> DataFrame:
     """Source rows whose (id, pull_date) the target does not have; of copies, one.
 
     With ``prune``, only the target's dates between the first and last source date are
     read.  Both dates are scalar subqueries, so nothing runs until the result is used.
+    ``keyless=False`` states that every source row has its key, which saves a scan.
     """
     columns = target.columns
-    keyed, keyless = split_by_key(source.select(columns), *PRICE_KEY)
+    given = source.select(columns)
     if prune:
-        # min and max skip NULL dates, so the unsplit source is a cheaper scan to ask.
         target = target.filter(
             (F.col("pull_date") >= source.agg(F.min("pull_date")).scalar())
             & (F.col("pull_date") <= source.agg(F.max("pull_date")).scalar())
         )
+    keyed, unkeyed = split_by_key(given, *PRICE_KEY)
     values = [F.asc_nulls_last(name) for name in columns if name not in PRICE_KEY]
-    fresh = one_per_key(keyed, PRICE_KEY, *values)
-    return fresh.join(target.select(*PRICE_KEY), list(PRICE_KEY), "left_anti").unionByName(keyless)
+    single = one_per_key(keyed, PRICE_KEY, *values)
+    fresh = single.join(target.select(*PRICE_KEY), list(PRICE_KEY), "left_anti").select(columns)
+    return fresh.unionByName(unkeyed) if keyless else fresh
 
 
-def merge_insert_only(target: DataFrame, source: DataFrame, prune: bool = True) -> DataFrame:
+def merge_insert_only(
+    target: DataFrame, source: DataFrame, prune: bool = True, keyless: bool = True
+) -> DataFrame:
     """The target after the merge; its own rows never change."""
-    return target.unionByName(new_price_rows(target, source, prune))
+    return target.unionByName(new_price_rows(target, source, prune, keyless))
 
 
 def newest_per_item(source: DataFrame) -> DataFrame:
@@ -60,43 +67,56 @@ def newest_per_item(source: DataFrame) -> DataFrame:
     return one_per_key(source, ("id",), F.desc_nulls_last("pull_date"), *rest)
 
 
-def upsert_newer_wins(target: DataFrame, source: DataFrame) -> DataFrame:
-    """The item table after the merge.
+def classified_upsert(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The item table after the merge, with what happened to each row in ``action``.
 
-    A source row replaces its target row only if its pull_date is later; an equal, older or
-    missing date keeps the target.  Unknown ids are inserted.
+    inserted   the id was unknown
+    updated    the source row has a later pull_date and replaced the target row
+    skipped    the source row has the same or an earlier date; the target row stays
+    kept       no source row, or a date is missing on either side
     """
     columns = target.columns
     kept, kept_keyless = split_by_key(target, "id")
     given, given_keyless = split_by_key(source.select([f"`{c}`" for c in columns]), "id")
     old, new = kept.alias("old"), newest_per_item(given).alias("new")
     both = old.join(new, F.col("old.id") == F.col("new.id"), "full_outer")
-    take_new = F.col("old.id").isNull() | (F.col("new.pull_date") > F.col("old.pull_date"))
-    merged = both.select(
-        [F.when(take_new, F.col(f"new.`{c}`")).otherwise(F.col(f"old.`{c}`")).alias(c) for c in columns]
+    action = (
+        F.when(F.col("old.id").isNull(), "inserted")
+        .when(F.col("new.pull_date") > F.col("old.pull_date"), "updated")
+        .when(F.col("new.pull_date") <= F.col("old.pull_date"), "skipped")
+        .otherwise("kept")
+    )
+    take_new = F.col(ACTION).isin("inserted", "updated")
+    merged = both.withColumn(ACTION, action).select(
+        *[F.when(take_new, F.col(f"new.`{c}`")).otherwise(F.col(f"old.`{c}`")).alias(c) for c in columns],
+        ACTION,
+    )
+    return merged.unionByName(kept_keyless.withColumn(ACTION, F.lit("kept"))).unionByName(
+        given_keyless.withColumn(ACTION, F.lit("inserted"))
     )
-    return merged.unionByName(kept_keyless).unionByName(given_keyless)
 
 
-def upsert_outcome(target: DataFrame, source: DataFrame) -> DataFrame:
-    """What ``upsert_newer_wins`` will do: one row of counts, taken before the merge.
+def upsert_newer_wins(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The item table after the merge.
 
-    Copies of an id in the source count once, as the merge uses one of them.  A matched row
-    without a date on either side is neither updated nor skipped.
+    A source row replaces its target row only if its pull_date is later; an equal, older or
+    missing date keeps the target.  Unknown ids are inserted.
     """
-    given, given_keyless = split_by_key(source.select("id", "pull_date"), "id")
-    # Only the date matters here: a hash aggregation, and no wide rows in the shuffle.
-    new = given.groupBy("id").agg(F.max("pull_date").alias("new_date"))
-    old = target.filter(F.col("id").isNotNull()).groupBy("id").agg(
-        F.min("pull_date").alias("first_date"),
-        F.max("pull_date").alias("last_date"),
-        F.lit(True).alias("known"),
-    )
-    keyless = given_keyless.select("id", F.col("pull_date").alias("new_date"))
-    judged = new.join(old, "id", "left").unionByName(keyless, allowMissingColumns=True)
-    counts = judged.agg(
-        F.count_if(F.col("known").isNull()).alias("rows_inserted"),
-        F.count_if(F.col("new_date") > F.col("first_date")).alias("rows_updated"),
-        F.count_if(F.col("new_date") <= F.col("last_date")).alias("rows_skipped"),
-    )
-    return counts.withColumn("rows_merged", F.col("rows_inserted") + F.col("rows_updated"))
+    return classified_upsert(target, source).drop(ACTION)
+
+
+def outcome_counts() -> dict[str, Column]:
+    """Counts over a classified upsert.  Copies of an id in the source count once."""
+    inserted, updated, skipped = (F.count_if(F.col(ACTION) == a) for a in ("inserted", "updated", "skipped"))
+    return {
+        "rows_inserted": inserted,
+        "rows_updated": updated,
+        "rows_skipped": skipped,
+        "rows_merged": inserted + updated,
+    }
+
+
+def upsert_outcome(target: DataFrame, source: DataFrame) -> DataFrame:
+    """What ``upsert_newer_wins`` does, as one row of counts."""
+    counts = [count.alias(name) for name, count in outcome_counts().items()]
+    return classified_upsert(target, source).agg(*counts)

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from pricetrail.operators.conform import conform
 from pricetrail.operators.flatten import daily_prices, static_fields
 from pricetrail.operators.movers import price_movers
-from pricetrail.plans.loads import load_items, merge_prices
-from pricetrail.schemas import ITEMS, PRICES
+from pricetrail.plans.loads import merge_items, merge_prices, one_row
+from pricetrail.schemas import ITEMS
 from pricetrail.sources.landing import (
     Stage,
+    day_path,
     item_stage,
     open_prices,
     price_stage,
@@ -67,9 +67,8 @@ def land_snapshot(spark: SparkSession, raw: DataFrame, lake: Lake, day: date) ->
         n_items = write_day(static_fields(shared, day), lake.landing_items.path, day, "snappy")
     finally:
         shared.unpersist()
-    return spark.createDataFrame(
-        [("prices", n_prices), ("items", n_items)],
-        "dataset STRING, row_count BIGINT",
+    return one_row(spark, dataset="prices", row_count=n_prices).unionByName(
+        one_row(spark, dataset="items", row_count=n_items)
     )
 
 
@@ -81,14 +80,11 @@ def run_day(
     Returns (dataset, row_count) of the landing files and of the rows merged.
     """
     landed = land_snapshot(spark, read_snapshot(spark, snapshot_path, layout=layout), lake, day)
-    typed = conform(lake.landing_prices.read_day(spark, day), PRICES)
-    merged = merge_prices(spark, typed, lake.prices)
-    outcome = load_items(spark, lake.landing_items, lake.items(spark), day).first()
+    rejects = day_path(f"{lake.base}/rejects", day)
+    merged = merge_prices(spark, lake.landing_prices.read_day(spark, day), lake.prices, rejects)
+    changed = merge_items(spark, lake.landing_items, lake.items(spark), day)
     report = price_movers(open_prices(spark, lake.prices), lake.items(spark).current(), day)
     publish_csv(report, lake.report, F.desc_nulls_last("4wk_diff"), F.col("id"))
-    return landed.unionByName(
-        spark.createDataFrame(
-            [("prices merged", merged), ("items merged", outcome["rows_merged"])],
-            "dataset STRING, row_count BIGINT",
-        )
-    )
+    for dataset, rows in (("prices merged", merged), ("items merged", changed["rows_merged"])):
+        landed = landed.unionByName(one_row(spark, dataset=dataset, row_count=rows))
+    return landed

@@ -5,22 +5,38 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricetrail.operators.conform import conform, split_rejects
-from pricetrail.operators.merge import new_price_rows, upsert_newer_wins, upsert_outcome
+from pricetrail.operators.merge import PRICE_KEY, classified_upsert, new_price_rows, outcome_counts
 from pricetrail.schemas import ITEM_RENAMES, ITEMS, PRICES
 from pricetrail.sources.landing import Stage, append_prices, day_path, open_prices
 from pricetrail.sources.ledger import VersionedTable, pending_files, read_ledger, record_files
 
 
-def merge_prices(spark: SparkSession, rows: DataFrame, target_path: str) -> int:
-    """Append what is new in ``rows`` to the curated fact; returns the number appended.
+def one_row(spark: SparkSession, **values) -> DataFrame:
+    """A report of known values."""
+    columns = [
+        F.lit(value).cast("bigint" if isinstance(value, int) else "string").alias(name)
+        for name, value in values.items()
+    ]
+    return spark.range(1).select(columns)
 
-    The target is the state: a repeat after a failure finds its rows present and adds
-    nothing.  One writer at a time.
+
+def merge_prices(
+    spark: SparkSession, landed: DataFrame, target_path: str, rejects_path: str | None = None
+) -> int:
+    """Append what is new in landing rows to the curated fact; returns the number appended.
+
+    Rows that do not convert, or have no id or date, go to ``rejects_path``.  The target is
+    the state: a repeat after a failure finds its rows present and adds nothing, and it
+    replaces the rejects.  One writer at a time.
     """
-    target = open_prices(spark, target_path)
-    return append_prices(new_price_rows(target, rows), target_path)
+    clean, bad = split_rejects(landed, PRICES, required=PRICE_KEY)
+    if rejects_path:
+        bad.write.mode("overwrite").parquet(rejects_path)
+    fresh = new_price_rows(open_prices(spark, target_path), clean, keyless=False)
+    return append_prices(fresh, target_path)
 
 
 def load_prices(
@@ -42,34 +58,29 @@ def load_prices(
     files = pending.collect()
     inserted = 0
     if files:
-        clean, bad = split_rejects(stage.read_files(spark, [f.path for f in files]), PRICES)
-        inserted = merge_prices(spark, clean, target_path)
-        if rejects_path:
-            bad.write.mode("append").parquet(rejects_path)
+        landed = stage.read_files(spark, [file.path for file in files])
+        rejects = rejects_path and f"{rejects_path}/load={loaded_at:%Y%m%dT%H%M%S}"
+        inserted = merge_prices(spark, landed, target_path, rejects)
         record_files(spark.createDataFrame(files, pending.schema), table, loaded_at, ledger_path)
     message = f"loaded {len(files)} new files into {table}, {inserted} rows inserted"
-    return spark.createDataFrame(
-        [(table, len(files), inserted, message)],
-        "table_name STRING, files_loaded BIGINT, rows_inserted BIGINT, message STRING",
-    )
+    return one_row(spark, table_name=table, files_loaded=len(files), rows_inserted=inserted, message=message)
+
+
+def merge_items(spark: SparkSession, stage: Stage, items: VersionedTable, day: date) -> dict:
+    """Merge one day's item snapshot, the later pull_date wins; returns what changed."""
+    staged = conform(stage.read_day(spark, day), ITEMS, ITEM_RENAMES)
+    return items.replace(classified_upsert(items.current(), staged), **outcome_counts())
 
 
 def load_items(spark: SparkSession, stage: Stage, items: VersionedTable, day: date) -> DataFrame:
-    """Merge one day's item snapshot; the later pull_date wins.
+    """``merge_items`` with a report: one row of counts and a message.
 
-    Returns one row of counts, taken before the merge, with a message.
+    The counts come out of the merge that wrote the table.
     """
-    staged = conform(stage.read_day(spark, day), ITEMS, ITEM_RENAMES)
-    current = items.current()
-    outcome = upsert_outcome(current, staged).first()
-    items.replace(upsert_newer_wins(current, staged))
-    source = day_path(stage.path, day)
+    outcome = merge_items(spark, stage, items, day)
     message = (
-        f"items loaded from {source}: {outcome['rows_inserted']} inserted, "
+        f"items loaded from {day_path(stage.path, day)}: {outcome['rows_inserted']} inserted, "
         f"{outcome['rows_updated']} updated, {outcome['rows_skipped']} skipped as older, "
         f"{outcome['rows_merged']} merged"
     )
-    return spark.createDataFrame(
-        [(*outcome, message)],
-        "rows_inserted BIGINT, rows_updated BIGINT, rows_skipped BIGINT, rows_merged BIGINT, message STRING",
-    )
+    return one_row(spark, **outcome, message=message)

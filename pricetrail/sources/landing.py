@@ -73,15 +73,23 @@ def item_stage(base: str) -> Stage:
     return Stage(base, LANDING_ITEMS)
 
 
-def _write_counted(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:
-    """Write ``df`` and return its row count without a second pass.
+def write_observed(
+    df: DataFrame, write: Callable[[DataFrameWriter], None], columns: list[str] | None = None, **metrics: Column
+) -> dict:
+    """Write ``df`` and return aggregates of it, without a second pass.
 
-    ``df`` must end in its last shuffle: the counter then sits in the tasks that write,
+    ``df`` must end in its last shuffle: the aggregates then form in the tasks that write,
     which count once however often lost executors make Spark repeat earlier stages.
+    ``columns`` are the ones to write, if not all.
     """
     counter = Observation()
-    write(df.observe(counter, F.count(F.lit(1)).alias("rows")).write)
-    return counter.get["rows"]
+    seen = df.observe(counter, *[metric.alias(name) for name, metric in metrics.items()])
+    write(seen.select([f"`{c}`" for c in columns or df.columns]).write)
+    return counter.get
+
+
+def _write_counted(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:
+    return write_observed(df, write, rows=F.count(F.lit(1)))["rows"]
 
 
 def write_day(df: DataFrame, base: str, day: date, compression: str = "snappy") -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from pricetrail.functions.columns import megabytes
 from pricetrail.schemas import LEDGER, VERSIONS
-from pricetrail.sources.landing import Stage, open_table
+from pricetrail.sources.landing import Stage, open_table, write_observed
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -76,10 +76,19 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(path)
 
-    def replace(self, rows: DataFrame) -> None:
-        """Write ``rows``, which may derive from ``current()``, as the next version."""
+    def replace(self, rows: DataFrame, **metrics: Column) -> dict:
+        """Write ``rows``, which may derive from ``current()``, as the next version.
+
+        Returns aggregates of the rows, which may use columns beyond the table's own.
+        """
         version = (self._newest()["version"] or 0) + 1
         path = f"{self.base}/data/{version:08d}-{uuid.uuid4().hex}"
-        rows.hint("rebalance").write.parquet(path)
-        entry = self.spark.createDataFrame([(version, path)], VERSIONS).coalesce(1)
+        seen = write_observed(
+            rows.hint("rebalance"),
+            lambda writer: writer.parquet(path),
+            self.schema.fieldNames(),
+            **(metrics or {"rows": F.count(F.lit(1))}),
+        )
+        entry = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"))
         entry.write.mode("append").parquet(f"{self.base}/versions")
+        return seen

@@ -42,7 +42,10 @@ def snapshot_rejects(
 
 
 def _unreadable(schema: T.StructType):
-    return F.col(CORRUPT).isNotNull() & F.col(schema.fieldNames()[0]).isNull()
+    # A plain test for a NULL id would reach the JSON parser, which then stops at an id and
+    # never sees that the rest of the record is broken.
+    with_id = F.concat(F.col(CORRUPT), F.col(schema.fieldNames()[0]).cast("string"))
+    return F.col(CORRUPT).isNotNull() & with_id.isNull()
 
 
 def _parsed(spark, path, schema: T.StructType, layout: str) -> DataFrame:

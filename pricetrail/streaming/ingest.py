@@ -51,6 +51,15 @@ def append_stream(
     return _start(writer, checkpoint, available_now)
 
 
+def reject_stream(
+    spark: SparkSession, stage: Stage, sink: str, checkpoint: str,
+    available_now: bool = True, max_files: int | None = None,
+) -> StreamingQuery:
+    """The rows that ``append_stream`` leaves out, with the reason; a query of its own."""
+    _, bad = split_rejects(read_arrivals(spark, stage, max_files), PRICES)
+    return _start(bad.writeStream.format("parquet").option("path", sink), checkpoint, available_now)
+
+
 def _each_batch(
     rows: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool
 ) -> StreamingQuery:
@@ -59,15 +68,15 @@ def _each_batch(
 
 def merge_stream(
     spark: SparkSession, stage: Stage, target_path: str, checkpoint: str,
-    available_now: bool = True, max_files: int | None = None,
+    rejects_path: str | None = None, available_now: bool = True, max_files: int | None = None,
 ) -> StreamingQuery:
-    """Insert-only merge of arriving price files."""
+    """Insert-only merge of arriving price files; each batch keeps its rejects."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge_prices(batch.sparkSession, batch, target_path)
+        rejects = rejects_path and f"{rejects_path}/batch={batch_id}"
+        merge_prices(batch.sparkSession, batch, target_path, rejects)
 
-    clean, _ = split_rejects(read_arrivals(spark, stage, max_files), PRICES)
-    return _each_batch(clean, apply, checkpoint, available_now)
+    return _each_batch(read_arrivals(spark, stage, max_files), apply, checkpoint, available_now)
 
 
 def upsert_stream(

@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+from datetime import date
+from decimal import Decimal as D
+
+import pytest
+
+from conftest import rows
+from pricetrail.operators.conform import BAD_COLUMNS, conform, conform_checked, split_rejects
+from pricetrail.schemas import ITEM_RENAMES, ITEMS, PRICES
+
+
+def test_names_match_in_any_case(spark):
+    df = spark.sql("SELECT '2024-01-02' AS Pull_Date, 12.345D AS USD, 'a' AS Id, 1 AS extra")
+    got = conform(df, PRICES)
+    assert got.schema.fieldNames() == PRICES.fieldNames()
+    assert [f.dataType for f in got.schema] == [f.dataType for f in PRICES]
+    assert rows(got) == [("a", D("12.35"), None, date(2024, 1, 2))]
+
+
+def test_rename(spark):
+    df = spark.sql("SELECT 'a' AS id, 'fst' AS `SET`")
+    assert conform(df, ITEMS, ITEM_RENAMES).first()["set_abbr"] == "fst"
+    assert conform(df, ITEMS).first()["set_abbr"] is None
+
+
+def test_doubled_names(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="usd"):
+            conform(spark.sql("SELECT 1 AS usd, 2 AS USD"), PRICES)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_rejects(spark):
+    df = spark.createDataFrame(
+        [("a", "1.5", None, "2024-01-01"), ("b", "x", "y", "2024-01-01"), ("c", "1e30", "2", "2024-01-01"),
+         ("d", "1", "2", "yesterday"), (None, "1", "2", None)],
+        "id STRING, usd STRING, usd_foil STRING, pull_date STRING",
+    )
+    clean, bad = split_rejects(df, PRICES)
+    assert rows(clean) == [("a", D("1.50"), None, date(2024, 1, 1)), (None, D("1.00"), D("2.00"), None)]
+    assert {r["id"]: r[BAD_COLUMNS] for r in bad.collect()} == {
+        "b": ["usd", "usd_foil"], "c": ["usd"], "d": ["pull_date"],
+    }
+    clean, bad = split_rejects(df, PRICES, required=("id", "pull_date"))
+    assert clean.count() == 1 and bad.count() == 4
+    assert bad.filter("id IS NULL").first()[BAD_COLUMNS] == ["id", "pull_date"]
+
+
+def test_absent_required_column(spark):
+    checked = conform_checked(spark.sql("SELECT 'a' AS id"), PRICES, required=("pull_date",))
+    assert checked.first()[BAD_COLUMNS] == ["pull_date"]

@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+from decimal import Decimal as D
+
+import pytest
+
+from conftest import rows
+from pricetrail.operators.merge import (
+    classified_upsert,
+    merge_insert_only,
+    new_price_rows,
+    upsert_newer_wins,
+    upsert_outcome,
+)
+
+ITEM = "id STRING, name STRING, pull_date DATE"
+
+
+def by_text(values):
+    return sorted(values, key=str)
+
+
+def test_existing_rows_never_change(prices):
+    target = prices(("a", "1", None, "2024-01-01"), ("b", None, None, "2024-01-01"))
+    source = prices(("a", "9", None, "2024-01-01"), ("b", "9", None, "2024-01-01"), ("a", "2", "3", "2024-01-02"))
+    for prune in (True, False):
+        assert by_text(rows(merge_insert_only(target, source, prune))) == by_text(
+            rows(target) + [("a", D("2.00"), D("3.00"), date(2024, 1, 2))]
+        )
+
+
+def test_source_copies_are_inserted_once(prices):
+    source = prices(*[("a", usd, None, "2024-01-01") for usd in ("3", "2", "2", None)])
+    assert rows(new_price_rows(prices(), source)) == [("a", D("2.00"), None, date(2024, 1, 1))]
+
+
+def test_rows_without_a_key_match_nothing(prices):
+    target = prices((None, "1", None, "2024-01-01"))
+    source = prices((None, "1", None, "2024-01-01"), ("a", "1", None, None), (None, None, None, None))
+    assert new_price_rows(target, source).count() == 3
+    assert new_price_rows(target, source, keyless=False).count() == 0
+
+
+def test_merging_twice_is_merging_once(prices):
+    target = prices(("a", "1", None, "2024-01-01"))
+    source = prices(("a", "2", None, "2024-01-01"), ("b", "2", None, "2024-01-05"))
+    once = merge_insert_only(target, source)
+    assert by_text(rows(merge_insert_only(once, source))) == by_text(rows(once))
+
+
+def test_empty_sides(prices):
+    some = prices(("a", "1", None, "2024-01-01"))
+    assert rows(merge_insert_only(prices(), some)) == rows(some)
+    assert rows(merge_insert_only(some, prices())) == rows(some)
+
+
+@pytest.mark.parametrize(
+    "old, new, winner, action",
+    [
+        ("2024-01-01", "2024-01-02", "new", "updated"),
+        ("2024-01-01", "2024-01-01", "old", "skipped"),
+        ("2024-01-02", "2024-01-01", "old", "skipped"),
+        (None, "2024-01-01", "old", "kept"),
+        ("2024-01-01", None, "old", "kept"),
+    ],
+)
+def test_newer_wins(spark, old, new, winner, action):
+    def item(name, on):
+        return spark.createDataFrame([("a", name, on and date.fromisoformat(on))], ITEM)
+
+    got = classified_upsert(item("old", old), item("new", new)).collect()
+    assert [(r["name"], r["action"]) for r in got] == [(winner, action)]
+
+
+def test_unknown_and_keyless_items(spark):
+    day = date(2024, 1, 1)
+    target = spark.createDataFrame([("a", "A", day), (None, "T", day)], ITEM)
+    source = spark.createDataFrame([("b", "B", None), (None, "S", day), (None, "S", day)], ITEM)
+    merged = upsert_newer_wins(target, source)
+    assert by_text(r["name"] for r in merged.collect()) == ["A", "B", "S", "S", "T"]
+    assert rows(upsert_outcome(target, source)) == [(3, 0, 0, 3)]
+
+
+def test_copies_in_the_source(spark):
+    days = [date(2024, 1, d) for d in (1, 3, 3, 2)]
+    source = spark.createDataFrame([("a", name, d) for name, d in zip("wzyx", days)], ITEM)
+    assert rows(upsert_newer_wins(source.limit(0), source)) == [("a", "y", date(2024, 1, 3))]
+
+
+def test_against_a_plain_model(spark):
+    """Random items: same table whatever the order of snapshots, and counts that add up."""
+    rng = random.Random(7)
+    start = date(2024, 1, 1)
+
+    def snapshot(offset):
+        ids = rng.sample(range(60), 40)
+        return [(f"i{i}", f"n{offset}-{i}", start + timedelta(days=offset)) for i in ids]
+
+    snapshots = [snapshot(o) for o in (3, 0, 2, 1)]
+    frames = [spark.createDataFrame(s, ITEM) for s in snapshots]
+    expected = {}
+    for _, rows_ in sorted(zip((3, 0, 2, 1), snapshots)):
+        expected.update({r[0]: r for r in rows_})
+    for order in ((0, 1, 2, 3), (2, 3, 0, 1)):
+        table = spark.createDataFrame([], ITEM)
+        for i in order:
+            counts = upsert_outcome(table, frames[i]).first()
+            assert counts["rows_inserted"] + counts["rows_updated"] + counts["rows_skipped"] == 40
+            table = spark.createDataFrame(upsert_newer_wins(table, frames[i]).collect(), ITEM)
+        assert by_text(rows(table)) == by_text(expected.values())
