@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricetrail.functions.columns import day_offset, mean_of
+from pricetrail.operators.joins import BROADCAST_ROWS, broadcast_if_small
 
 # The defaults of the published views.
 SET_TYPES = ("expansion",)
@@ -35,6 +36,7 @@ def launch_curve(
     rarities: Sequence[str] | None = None,
     set_names: Sequence[str] | None = None,
     by_rarity: bool = False,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Mean of ``price`` per day offset and set (and rarity), last day first.
 
@@ -56,7 +58,11 @@ def launch_curve(
 
     keys = ["set_name", "rarity"] if by_rarity else ["set_name"]
     offset = day_offset(F.col("released_at"), F.col("pull_date"))
-    joined = prices.select("id", "pull_date", price).join(wanted.select("id", "released_at", *keys), "id")
+    wanted = wanted.select("id", "released_at", *keys)
+    # Beyond the size for a broadcast this is a shuffle by id, in which Spark splits the
+    # tasks of hot items, or no shuffle at all between tables bucketed by id.
+    wanted = broadcast_if_small(wanted, broadcast_rows) or wanted
+    joined = prices.select("id", "pull_date", price).join(wanted, "id")
     in_range = joined.withColumn("date_diff", offset).filter(F.col("date_diff").between(first, last))
     curve = in_range.groupBy("date_diff", *keys).agg(mean_of(F.col(price)).alias("avg_usd"))
     return curve.select("date_diff", "avg_usd", *keys).orderBy(F.desc("date_diff"), *keys)

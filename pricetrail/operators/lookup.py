@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricetrail.functions.columns import matches_term, mean_cents, product_url
+from pricetrail.operators.joins import broadcast_if_small
 
 MAX_MATCHES = 10_000
 
@@ -29,9 +30,16 @@ def search_items(
 ) -> DataFrame:
     """Items by parts of their name and set name, with price statistics.
 
-    Prices are reduced to one row per item before the join, so an item with very many
-    prices is one row per task in the shuffle.  Items without prices stay, with count 0.
+    Items without prices stay, with count 0.  If few items match, the prices of all others
+    are dropped where they are read; otherwise every item's prices are reduced to one row
+    per task first, so that no item is large in the shuffle.
     """
+    found = items.filter(
+        matches_term(F.col("name"), name_term) & matches_term(F.col("set_name"), set_term)
+    ).select("name", "set_name", "id", "tcgplayer_id")
+    few = broadcast_if_small(found.select("id")) if name_term or set_term else None
+    if few is not None:
+        prices = prices.join(few, "id", "left_semi")
     stats = prices.groupBy("id").agg(
         F.count(F.lit(1)).alias("records"),
         mean_cents(F.col("usd")).alias("avg_price"),
@@ -41,9 +49,6 @@ def search_items(
         F.min("usd_foil").alias("min_foil_price"),
         F.max("usd_foil").alias("max_foil_price"),
     )
-    found = items.filter(
-        matches_term(F.col("name"), name_term) & matches_term(F.col("set_name"), set_term)
-    ).select("name", "set_name", "id", "tcgplayer_id")
     measures = ("avg_price", "min_price", "max_price", "avg_foil_price", "min_foil_price", "max_foil_price")
     # Repeated item rows form one group whose counts add up; their other figures are equal.
     grouped = (
