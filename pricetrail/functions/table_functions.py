@@ -26,7 +26,7 @@ def register_item_prices(
             WHERE i.id = {name}.card_id GROUP BY i.id
         ) AS n ON p.id = n.id
         WHERE p.id = {name}.card_id
-        ORDER BY p.pull_date
+        ORDER BY p.pull_date NULLS LAST, p.usd NULLS LAST, p.usd_foil NULLS LAST
     """)
 
 

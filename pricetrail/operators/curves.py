@@ -60,7 +60,7 @@ def launch_curve(
     offset = day_offset(F.col("released_at"), F.col("pull_date"))
     wanted = wanted.select("id", "released_at", *keys)
     # Beyond the size for a broadcast this is a shuffle by id, in which Spark splits the
-    # tasks of hot items, or no shuffle at all between tables bucketed by id.
+    # tasks of hot items.
     wanted = broadcast_if_small(wanted, broadcast_rows) or wanted
     joined = prices.select("id", "pull_date", price).join(wanted, "id")
     in_range = joined.withColumn("date_diff", offset).filter(F.col("date_diff").between(first, last))

@@ -14,11 +14,13 @@ MAX_MATCHES = 10_000
 def item_history(prices: DataFrame, items: DataFrame, item_id) -> DataFrame:
     """All prices of one item by date; the name is NULL if the item is unknown."""
     wanted = F.col("id") == F.lit(item_id)
-    # One id, so at most one row per distinct name: the side that is sent to all tasks has a
+    # Grouped by the one id this is one row at most: the side that is sent to all tasks has a
     # known size, and the prices stay where they were read.
     named = items.filter(wanted).groupBy("id").agg(F.max("name").alias("name"))
     history = prices.filter(wanted).join(F.broadcast(named), "id", "left")
-    return history.select("name", "usd", "usd_foil", "pull_date").orderBy("pull_date")
+    return history.select("name", "usd", "usd_foil", "pull_date").orderBy(
+        *[F.asc_nulls_last(name) for name in ("pull_date", "usd", "usd_foil")]
+    )
 
 
 def search_items(

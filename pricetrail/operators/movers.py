@@ -100,7 +100,10 @@ def price_movers(
 def movers_from_slice(
     slice_: DataFrame, as_of: date | None = None, weeks=WEEKS, min_price: int = 1
 ) -> DataFrame:
-    """The same report from an existing ``lookback_slice``."""
+    """The same report from a ``lookback_slice`` that has been written out.
+
+    In one plan use ``price_movers``: it reduces a hot item before the join, not after it.
+    """
     fields = F.min(F.struct(*ITEM_COLUMNS)).alias("item")
     pivoted = slice_.groupBy("id").agg(*_pivot(as_of, weeks), fields)
     pivoted = pivoted.filter(F.col("today_price") >= min_price).select("*", "item.*")

@@ -15,8 +15,9 @@ CREDIT_RATE = Decimal("2")
 
 
 def usage_recent(log: DataFrame) -> DataFrame:
-    """The whole log, newest first."""
-    return log.orderBy(F.desc_nulls_last("start_time"))
+    """The whole log, newest first; entries of one time by their other columns."""
+    others = [F.asc_nulls_last(name) for name in log.columns if name != "start_time"]
+    return log.orderBy(F.desc_nulls_last("start_time"), *others)
 
 
 def _credits() -> Column:

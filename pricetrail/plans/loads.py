@@ -47,23 +47,29 @@ def load_prices(
     loaded_at: datetime,
     table: str = "prices",
     rejects_path: str | None = None,
+    max_files: int = 10_000,
 ) -> DataFrame:
     """Load the files that the ledger does not know yet, continuing past bad rows.
 
-    Returns one row: files loaded, rows inserted, message.  Only names of new files come to
-    the driver, which has to hand them to the reader in any case.  The ledger is written
-    last, so an interrupted load is repeated and the merge absorbs the repetition.
+    Returns one row: files loaded, rows inserted, message.  Files load in turns of at most
+    ``max_files``, whose names come to the driver because the reader takes them there.  The
+    ledger is written after the data, so an interrupted turn is repeated and the merge
+    absorbs the repetition.
     """
-    pending = pending_files(spark, stage, read_ledger(spark, ledger_path), table)
-    files = pending.collect()
-    inserted = 0
-    if files:
-        landed = stage.read_files(spark, [file.path for file in files])
-        rejects = rejects_path and f"{rejects_path}/load={loaded_at:%Y%m%dT%H%M%S}"
-        inserted = merge_prices(spark, landed, target_path, rejects)
-        record_files(spark.createDataFrame(files, pending.schema), table, loaded_at, ledger_path)
-    message = f"loaded {len(files)} new files into {table}, {inserted} rows inserted"
-    return one_row(spark, table_name=table, files_loaded=len(files), rows_inserted=inserted, message=message)
+    loaded = inserted = 0
+    while True:
+        pending = pending_files(spark, stage, read_ledger(spark, ledger_path), table)
+        files = pending.orderBy("path").limit(max_files).collect()
+        if files:
+            landed = stage.read_files(spark, [file.path for file in files])
+            rejects = rejects_path and f"{rejects_path}/load={loaded_at:%Y%m%dT%H%M%S}/from={loaded}"
+            inserted += merge_prices(spark, landed, target_path, rejects)
+            record_files(spark.createDataFrame(files, pending.schema), table, loaded_at, ledger_path)
+            loaded += len(files)
+        if len(files) < max_files:
+            break
+    message = f"loaded {loaded} new files into {table}, {inserted} rows inserted"
+    return one_row(spark, table_name=table, files_loaded=loaded, rows_inserted=inserted, message=message)
 
 
 def merge_items(spark: SparkSession, stage: Stage, items: VersionedTable, day: date) -> dict:

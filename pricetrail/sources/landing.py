@@ -160,7 +160,8 @@ def write_by_id(prices: DataFrame, path: str) -> None:
     """A second copy of the fact, ordered by item, for one-item reads.
 
     Ranges over (id, pull_date) split even an item that holds a large share of the rows,
-    and footers of the sorted files let a reader skip all but a few row groups.
+    which buckets by id would not, and the footers of the sorted files let a reader skip
+    all but a few row groups.
     """
     (
         prices.repartitionByRange("id", "pull_date")
@@ -170,21 +171,6 @@ def write_by_id(prices: DataFrame, path: str) -> None:
     )
 
 
-def save_bucketed(df: DataFrame, table: str, buckets: int, *order: str) -> None:
-    """A catalog table bucketed by id, so that joins and groupings by id need no shuffle.
-
-    The rebalance starts from one task per bucket and splits the tasks of hot items.
-    """
-    (
-        df.hint("rebalance", buckets, "id")
-        .write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(buckets, "id")
-        .sortBy("id", *order)
-        .saveAsTable(table)
-    )
-
-
 def latest_snapshot(rows: DataFrame, as_of: Column, date_column: str = "pull_date") -> DataFrame:
     """The rows of the newest snapshot that is not after ``as_of``.
 

@@ -14,7 +14,6 @@ from pricetrail.operators.curves import launch_curve
 from pricetrail.operators.lookup import item_history, search_items
 from pricetrail.operators.merge import classified_upsert, new_price_rows, one_per_key
 from pricetrail.operators.movers import lookback_slice, price_movers, top_movers
-from pricetrail.sources import landing
 
 AS_OF = date(2025, 1, 29)
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -165,19 +164,3 @@ def test_copies_are_dropped_before_the_shuffle(tables):
     prices, _ = tables
     text = plan_of(one_per_key(prices, ("id",), F.desc("pull_date")))
     assert text.index("Final") < text.index("Exchange hashpartitioning") < text.index("Partial")
-
-
-def test_bucketed_tables_join_without_a_shuffle(spark, tables):
-    prices, items = tables
-    try:
-        landing.save_bucketed(prices, "plan_prices", 4, "pull_date")
-        landing.save_bucketed(items, "plan_items", 4)
-        with settings(spark, NO_BROADCAST):
-            curve = launch_curve(spark.table("plan_prices"), spark.table("plan_items"), broadcast_rows=0)
-            text = plan_of(curve)
-            assert "SortMergeJoin" in text
-            assert not re.search(r"Exchange hashpartitioning\(id#", text)
-            assert rows(curve) == rows(launch_curve(prices, items))
-    finally:
-        spark.sql("DROP TABLE IF EXISTS plan_prices")
-        spark.sql("DROP TABLE IF EXISTS plan_items")

@@ -85,17 +85,12 @@ def test_text_that_looks_missing_stays_text(spark, base):
     assert rows(landing.read_csv(spark, f"{base}/report", df.schema)) == [("NA",), ("None",)]
 
 
-def test_layouts_by_id(spark, base, prices, items):
+def test_layout_by_id(spark, base, prices, items):
     facts = prices(*[(f"i{n % 7}", "1.00", None, f"2024-01-{n % 28 + 1:02}") for n in range(100)])
     landing.write_by_id(facts, f"{base}/by_id")
     by_id = spark.read.parquet(f"{base}/by_id")
     known = items({"id": "i3"})
     assert rows(item_history(by_id, known, "i3")) == rows(item_history(facts, known, "i3"))
-    try:
-        landing.save_bucketed(facts, "by_bucket", 4, "pull_date")
-        assert sorted(rows(spark.table("by_bucket")), key=str) == sorted(rows(facts), key=str)
-    finally:
-        spark.sql("DROP TABLE IF EXISTS by_bucket")
 
 
 def test_load_new_files_once(spark, base):
@@ -126,6 +121,18 @@ def test_load_new_files_once(spark, base):
     assert names == sorted(names, reverse=True)
 
 
+def test_a_backlog_loads_in_turns(spark, base):
+    stage = landing.price_stage(f"{base}/in")
+    for n in (1, 2, 3):
+        day = date(2024, 8, n)
+        landing.write_day(landed(spark, ("a", float(n), None, day.isoformat())), stage.path, day)
+    done = load_prices(
+        spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 8, 4), max_files=2
+    ).first()
+    assert (done["files_loaded"], done["rows_inserted"]) == (3, 3)
+    assert ledger.read_ledger(spark, f"{base}/ledger").count() == 3
+
+
 def test_unreadable_files_do_not_stop_a_load(spark, base):
     stage = landing.price_stage(f"{base}/in")
     landing.write_day(landed(spark, ("a", 1.0, None, "2024-08-01")), stage.path, D1)

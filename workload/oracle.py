@@ -78,11 +78,11 @@ movers AS (
     FROM wide WHERE today >= 1)"""
 
 ORACLE["price_movers"] = f"""WITH {MOVERS} SELECT * FROM movers ORDER BY "4wk_diff" DESC NULLS LAST, id"""
-ORACLE["movers_from_slice"] = ORACLE["csv_publish"] = ORACLE["price_movers"]
+ORACLE["csv_publish"] = ORACLE["price_movers"]
 ORACLE["csv_slice"] = f"""WITH {SLICE}
 SELECT CAST(id AS VARCHAR) AS id, tcgplayer_id, name, set_name, set_type, released_at,
        {double("usd")}, pull_date FROM slice"""
-ORACLE["daily_run"] = f"""WITH {MOVERS}
+ORACLE["daily_run"] = ORACLE["movers_from_slice"] = f"""WITH {MOVERS}
 SELECT * REPLACE (CAST(id AS VARCHAR) AS id) FROM movers"""
 
 
@@ -334,6 +334,13 @@ LANDED = f"""{PRICES_M}, landed AS (
 ORACLE["partition_roundtrip"] = f"""WITH {LANDED}
 SELECT id, usd, usd_foil, strftime(pull_date, '%Y-%m-%d') AS pull_date, strftime(pull_date, '%Y') AS year,
        strftime(pull_date, '%m') AS month, strftime(pull_date, '%d') AS day FROM landed"""
+ORACLE["register_partition"] = (
+    ORACLE["partition_roundtrip"] + " WHERE pull_date IN (DATE '2024-01-08', DATE '2024-01-09')"
+)
+ORACLE["load_items"] = """
+SELECT turn, CASE turn WHEN 1 THEN n ELSE 0 END AS rows_inserted, CASE turn WHEN 3 THEN n ELSE 0 END AS rows_updated,
+       CASE turn WHEN 2 THEN n ELSE 0 END AS rows_skipped, CASE turn WHEN 2 THEN 0 ELSE n END AS rows_merged
+FROM (SELECT count(*) AS n FROM part), (VALUES (1), (2), (3)) turns(turn)"""
 ORACLE["partition_slice"] = f"WITH {LANDED} SELECT * FROM landed WHERE pull_date = DATE '2024-01-08'"
 ORACLE["stream_ingest"] = f"WITH {LANDED} SELECT * FROM landed"
 ORACLE["day_count"] = f"WITH {PRICES_M} SELECT count(*) AS total_count FROM prices_m WHERE pull_date = DATE '2024-01-16'"

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pricetrail.functions.table_functions import register_item_prices, register_item_search
 from pricetrail.operators import checks, curves, flatten, lookup, merge, movers, usage
 from pricetrail.operators.conform import BAD_COLUMNS, conform, conform_checked
+from pricetrail.plans import loads
 from pricetrail.plans.daily import Lake, land_snapshot, run_day
-from pricetrail.plans.loads import load_prices
 from pricetrail.schemas import ITEM_RENAMES, ITEMS, MOVER_SLICE, PRICES, RAW_WIDE
 from pricetrail.session import scratch_dir
 from pricetrail.sources import landing, ledger, snapshots
@@ -53,10 +53,17 @@ def price_movers(spark, sf):
     return plain(_movers(spark, sf))
 
 
+def _slice_file(spark, sf):
+    """The lookback slice as the CSV files that hand it to the next step."""
+    path = scratch_dir(spark, "slice")
+    rows = movers.lookback_slice(frames.prices_m(spark, sf), frames.items_m(spark, sf), AS_OF)
+    landing.publish_csv(rows, path)
+    return landing.read_csv(spark, path, MOVER_SLICE)
+
+
 @query
 def movers_from_slice(spark, sf):
-    slice_ = movers.lookback_slice(frames.prices_m(spark, sf), frames.items_m(spark, sf), AS_OF)
-    return plain(movers.movers_from_slice(slice_, AS_OF))
+    return plain(movers.movers_from_slice(_slice_file(spark, sf), AS_OF))
 
 
 @query
@@ -334,11 +341,7 @@ def csv_publish(spark, sf):
 
 @query
 def csv_slice(spark, sf):
-    """The slice through a CSV hand-off and back."""
-    path = scratch_dir(spark, "slice")
-    rows = movers.lookback_slice(frames.prices_m(spark, sf), frames.items_m(spark, sf), AS_OF)
-    landing.publish_csv(rows, path)
-    return plain(landing.read_csv(spark, path, MOVER_SLICE))
+    return plain(_slice_file(spark, sf))
 
 
 @query
@@ -350,6 +353,16 @@ def layout_by_id(spark, sf):
     return plain(lookup.item_history(by_id, frames.items_l(spark, sf), ITEM_ID))
 
 
+@query
+def register_partition(spark, sf):
+    """Two days of the landing files made visible in a catalog table, one of them twice."""
+    stage = landing.price_stage(frames.landing_prices(spark, sf))
+    name = "registered_" + stage.path.split("/")[-2].replace("-", "_")
+    for day in (date(2024, 1, 8), date(2024, 1, 9), date(2024, 1, 9)):
+        landing.register_day(spark, name, stage, day)
+    return spark.table(name)
+
+
 def _halves(spark, sf):
     """The month's prices as two arrivals."""
     rows = frames.landing_rows(spark, sf)
@@ -362,13 +375,27 @@ def copy_new_files(spark, sf):
     """Rows inserted by a first load, a load after new files, and a load of nothing new."""
     base = scratch_dir(spark, "copy")
     stage = landing.price_stage(f"{base}/landing")
-    loads = []
+    reports = []
     for turn, rows in enumerate([*_halves(spark, sf), None], start=1):
         if rows is not None:
             landing.write_days(rows, stage.path)
-        done = load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 2, turn))
-        loads.append(done.select(F.lit(turn).alias("turn"), "table_name", "rows_inserted"))
-    return loads[0].unionByName(loads[1]).unionByName(loads[2])
+        done = loads.load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 2, turn))
+        reports.append(done.select(F.lit(turn).alias("turn"), "table_name", "rows_inserted"))
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+@query
+def load_items(spark, sf):
+    """Outcomes of loading a snapshot, an older one, and a newer one."""
+    stage = landing.item_stage(frames.landing_items(spark, sf))
+    items = ledger.VersionedTable(spark, scratch_dir(spark, "items"), ITEMS)
+    outcomes = [
+        loads.load_items(spark, stage, items, date(2024, 1, day)).select(
+            F.lit(turn).alias("turn"), "rows_inserted", "rows_updated", "rows_skipped", "rows_merged"
+        )
+        for turn, day in enumerate((8, 1, 15), start=1)
+    ]
+    return outcomes[0].unionByName(outcomes[1]).unionByName(outcomes[2])
 
 
 # --- streams ------------------------------------------------------------------------------
