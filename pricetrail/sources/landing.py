@@ -181,16 +181,15 @@ def latest_snapshot(rows: DataFrame, as_of: Column, date_column: str = "pull_dat
     return rows.filter(F.col(date_column) == newest)
 
 
-def publish_csv(report: DataFrame, path: str, *order: Column, single_file: bool = False) -> None:
+def publish_csv(report: DataFrame, path: str, *order: Column, first: int | None = None) -> None:
     """Replace a published CSV report (header, no index).
 
-    A sorted report is a set of part files in order.  ``single_file`` is for reports that a
-    limit already bounds; it sends the whole report through one task.
+    A sorted report is a set of part files in order.  Its ``first`` rows alone are one file.
     """
-    ordered = report.orderBy(*order) if order else report
-    if single_file:
-        ordered = ordered.coalesce(1)
-    ordered.write.mode("overwrite").option("header", True).csv(path)
+    rows = report.orderBy(*order) if order else report
+    if first is not None:
+        rows = rows.limit(first)
+    rows.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -58,7 +58,7 @@ class VersionedTable:
 
     Each version has its own directory.  It becomes current when its name is appended to
     the list of versions, after its data is complete; a failed write leaves no trace in
-    the list.  One writer at a time.
+    the list.  Older versions stay for readers; one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, base: str, schema: T.StructType):

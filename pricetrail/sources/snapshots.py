@@ -51,9 +51,9 @@ def _unreadable(schema: T.StructType):
 def _parsed(spark, path, schema: T.StructType, layout: str) -> DataFrame:
     wanted = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     if layout == "array_lines":
-        body = F.regexp_replace(F.trim("value"), r",$", "")
-        lines = spark.read.text(path).select(body.alias("record"))
-        lines = lines.filter(~F.col("record").isin("", "[", "]"))
+        # An element is an object, so brackets and commas outside its braces belong to the array.
+        body = F.regexp_replace("value", r"^[\s\[,]+|[\s\],]+$", "")
+        lines = spark.read.text(path).select(body.alias("record")).filter(F.col("record") != "")
         options = {"columnNameOfCorruptRecord": CORRUPT}
         return lines.select(F.from_json("record", wanted, options).alias("r")).select("r.*")
     if layout not in ("lines", "array"):

@@ -49,9 +49,11 @@ def test_static_fields(spark, lines):
 @pytest.mark.parametrize("layout", ["array", "array_lines"])
 def test_array_layouts(spark, tmp_path, lines, layout):
     path = tmp_path / "array.json"
-    path.write_text("[\n" + ",\n".join(json.dumps(r) for r in RECORDS) + "\n]\n")
-    got = read_snapshot(spark, str(path), layout=layout)
-    assert sorted(rows(got), key=str) == sorted(rows(read_snapshot(spark, lines)), key=str)
+    expected = sorted(rows(read_snapshot(spark, lines)), key=str)
+    for start, end in (("[\n", "\n]\n"), ("[", "]"), ("  [ ", " ] \n\n")):
+        path.write_text(start + " ,\n".join(json.dumps(r) for r in RECORDS) + end)
+        got = read_snapshot(spark, str(path), layout=layout)
+        assert sorted(rows(got), key=str) == expected
 
 
 def test_pretty_printed_array(spark, tmp_path):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,9 +75,11 @@ def test_latest_snapshot(spark):
 def test_csv_report(spark, base):
     df = spark.createDataFrame([("b", 1.5, None), ("a", None, D1)], "id STRING, usd DOUBLE, on DATE")
     for _ in range(2):
-        landing.publish_csv(df, f"{base}/report", F.col("id"), single_file=True)
+        landing.publish_csv(df, f"{base}/report", F.col("id"))
     assert rows(landing.read_csv(spark, f"{base}/report", df.schema)) == [("a", None, D1), ("b", 1.5, None)]
-    assert spark.read.text(f"{base}/report").first()[0] == "id,usd,on"
+    landing.publish_csv(df, f"{base}/report", F.col("id"), first=1)
+    assert [p.suffix for p in Path(f"{base}/report").glob("part-*")] == [".csv"]
+    assert [r[0] for r in spark.read.text(f"{base}/report").collect()] == ["id,usd,on", "a,,2024-08-01"]
 
 
 def test_text_that_looks_missing_stays_text(spark, base):
