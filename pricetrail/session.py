@@ -15,6 +15,9 @@ SETTINGS = {
     # Split hot keys also where that costs a further shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Where every partition of one side proves this small at run time, hash it: the large
+    # side then needs no sort.  Works with the splitting of hot keys.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     # A selective item filter prunes the price scan with a bloom filter when it is too
     # large to broadcast.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
