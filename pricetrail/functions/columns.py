@@ -37,8 +37,8 @@ def price_ratio(now: Column, then: Column) -> Column:
 
 
 def product_url(external_id: Column) -> Column:
-    """URL of an external id; the id passes through a whole number, so never '12.0'."""
-    return F.concat(F.lit(PRODUCT_URL_PREFIX), external_id.cast("bigint").cast("string"))
+    """URL of an external id, by way of a whole number, so never '12.0'; NULL for no number."""
+    return F.concat(F.lit(PRODUCT_URL_PREFIX), external_id.try_cast("bigint").cast("string"))
 
 
 def matches_term(column: Column, term: str | None) -> Column:

@@ -52,7 +52,7 @@ def register_item_search(
             avg_foil_price DECIMAL(10,2), min_foil_price DECIMAL(10,2), max_foil_price DECIMAL(10,2))
         RETURN
         SELECT i.name, i.set_name, i.id,
-               concat('{PRODUCT_URL_PREFIX}', CAST(CAST(i.tcgplayer_id AS BIGINT) AS STRING)),
+               concat('{PRODUCT_URL_PREFIX}', CAST(TRY_CAST(i.tcgplayer_id AS BIGINT) AS STRING)),
                coalesce(sum(s.records), 0),
                max(s.avg_usd), max(s.min_usd), max(s.max_usd),
                max(s.avg_foil), max(s.min_foil), max(s.max_foil)

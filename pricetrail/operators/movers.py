@@ -33,7 +33,7 @@ def lookback_slice(
     slice_ = priced_on_lookbacks(prices, as_of, weeks).join(recent_items(items, as_of, years), "id")
     return slice_.select(
         "id",
-        F.col("tcgplayer_id").cast("bigint").alias("tcgplayer_id"),
+        F.col("tcgplayer_id").try_cast("bigint").alias("tcgplayer_id"),
         "name",
         "set_name",
         "set_type",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pricetrail.operators.conform import conform, split_rejects
@@ -13,6 +13,9 @@ from pricetrail.schemas import ITEM_RENAMES, ITEMS, PRICES
 from pricetrail.sources.landing import Stage, append_prices, day_path, open_prices
 from pricetrail.sources.ledger import VersionedTable, pending_files, read_ledger, record_files
 
+# How Spark names the failure to read a file or its footer.
+UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
+
 
 def one_row(spark: SparkSession, **values) -> DataFrame:
     """A report of known values."""
@@ -39,6 +42,27 @@ def merge_prices(
     return append_prices(fresh, target_path)
 
 
+def _merge_files(
+    spark: SparkSession, stage: Stage, files: list[Row], target_path: str, rejects_path: str | None
+) -> tuple[list[Row], int]:
+    """Merge files, leaving out those that cannot be read; returns what loaded, and its new rows.
+
+    Spark's error names the file.  The failed job has committed nothing, so the others are
+    merged again without it: a file loads whole or not at all.
+    """
+    while files:
+        try:
+            landed = stage.read_files(spark, [file.path for file in files])
+            return files, merge_prices(spark, landed, target_path, rejects_path)
+        except Exception as error:
+            text = str(error)
+            named = [file for file in files if file.path.split(":", 1)[-1].lstrip("/") in text]
+            if not named or not any(mark in text for mark in UNREADABLE):
+                raise
+            files = [file for file in files if file not in named]
+    return [], 0
+
+
 def load_prices(
     spark: SparkSession,
     stage: Stage,
@@ -49,27 +73,31 @@ def load_prices(
     rejects_path: str | None = None,
     max_files: int = 10_000,
 ) -> DataFrame:
-    """Load the files that the ledger does not know yet, continuing past bad rows.
+    """Load the files that the ledger does not know yet, continuing past bad rows and files.
 
-    Returns one row: files loaded, rows inserted, message.  Files load in turns of at most
-    ``max_files``, whose names come to the driver because the reader takes them there.  The
-    ledger is written after the data, so an interrupted turn is repeated and the merge
-    absorbs the repetition.
+    Returns one row: files loaded and failed, rows inserted, message.  Files load in path
+    order in turns of at most ``max_files``, whose names come to the driver because the
+    reader takes them there.  The ledger is written after the data, so an interrupted turn
+    is repeated and the merge absorbs the repetition.  Failed files stay pending.
     """
-    loaded = inserted = 0
+    loaded = failed = inserted = 0
+    last = ""
     while True:
         pending = pending_files(spark, stage, read_ledger(spark, ledger_path), table)
-        files = pending.orderBy("path").limit(max_files).collect()
+        files = pending.filter(F.col("path") > last).orderBy("path").limit(max_files).collect()
         if files:
-            landed = stage.read_files(spark, [file.path for file in files])
-            rejects = rejects_path and f"{rejects_path}/load={loaded_at:%Y%m%dT%H%M%S}/from={loaded}"
-            inserted += merge_prices(spark, landed, target_path, rejects)
-            record_files(spark.createDataFrame(files, pending.schema), table, loaded_at, ledger_path)
-            loaded += len(files)
+            last = files[-1].path
+            rejects = rejects_path and f"{rejects_path}/load={loaded_at:%Y%m%dT%H%M%S}/from={loaded + failed}"
+            done, rows = _merge_files(spark, stage, files, target_path, rejects)
+            if done:
+                record_files(spark.createDataFrame(done, pending.schema), table, loaded_at, ledger_path)
+            loaded, failed, inserted = loaded + len(done), failed + len(files) - len(done), inserted + rows
         if len(files) < max_files:
             break
-    message = f"loaded {loaded} new files into {table}, {inserted} rows inserted"
-    return one_row(spark, table_name=table, files_loaded=loaded, rows_inserted=inserted, message=message)
+    message = f"{loaded} new files loaded into {table}, {failed} unreadable, {inserted} rows inserted"
+    return one_row(
+        spark, table_name=table, files_loaded=loaded, files_failed=failed, rows_inserted=inserted, message=message
+    )
 
 
 def merge_items(spark: SparkSession, stage: Stage, items: VersionedTable, day: date) -> dict:

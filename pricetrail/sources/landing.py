@@ -29,20 +29,23 @@ def day_columns(day: Column) -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class Stage:
-    """A named location: where files of one kind arrive and how they read."""
+    """A named location: where files of one kind arrive and how they read.
+
+    ``skip_unreadable`` passes over files that cannot be read.  It also passes over the rest
+    of a file when reading fails half way, for whatever reason, so it is off by default.
+    """
 
     path: str
     schema: T.StructType
     fmt: str = "parquet"
     pattern: str = "*.parquet"
+    skip_unreadable: bool = False
+
+    def options(self) -> dict:
+        return {"pathGlobFilter": self.pattern, "ignoreCorruptFiles": self.skip_unreadable}
 
     def reader(self, spark: SparkSession):
-        """Reads skip unreadable files, as loading continues past bad input."""
-        return (
-            spark.read.format(self.fmt)
-            .option("pathGlobFilter", self.pattern)
-            .option("ignoreCorruptFiles", True)
-        )
+        return spark.read.format(self.fmt).options(**self.options())
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All days; year, month and day are text partitions ('08' stays '08')."""

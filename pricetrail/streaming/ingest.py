@@ -22,13 +22,8 @@ from pricetrail.sources.ledger import VersionedTable
 
 def read_arrivals(spark: SparkSession, stage: Stage, max_files: int | None = None) -> DataFrame:
     """Files of a stage as they arrive; ``max_files`` bounds one batch of a long backlog."""
-    reader = (
-        spark.readStream.format(stage.fmt)
-        .schema(stage.schema)
-        .option("pathGlobFilter", stage.pattern)
-        .option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", True)
-    )
+    reader = spark.readStream.format(stage.fmt).schema(stage.schema).options(**stage.options())
+    reader = reader.option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(stage.path)

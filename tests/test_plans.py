@@ -81,7 +81,8 @@ def test_movers_shuffle_each_side_once(spark, tables):
         text = plan_of(price_movers(*tables, AS_OF))
     assert "SortMergeJoin" in text and hash_shuffles(text) == 2
     # The pivot is partial before its shuffle, so an item is one row per task there.
-    assert re.search(r"Exchange hashpartitioning\(id#\d+, 4\).*\n.*HashAggregate\(keys=\[id#\d+\], functions=\[partial_max", text)
+    shuffle, partial = r"Exchange hashpartitioning\(id#\d+, 4\)", r"HashAggregate\(keys=\[id#\d+\], functions=\[partial_max"
+    assert re.search(f"{shuffle}.*\\n.*{partial}", text)
 
 
 def test_movers_broadcast_small_items(tables):

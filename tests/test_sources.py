@@ -101,7 +101,7 @@ def test_load_new_files_once(spark, base):
 
     def load():
         done = load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", loaded, rejects_path=f"{base}/bad")
-        return tuple(done.first())[1:3]
+        return tuple(done.select("files_loaded", "rows_inserted").first())
 
     landing.write_day(landed(spark, ("a", 1.0, None, "2024-08-01"), ("b", 2.0, None, None)), stage.path, D1)
     files, inserted = load()
@@ -141,8 +141,28 @@ def test_unreadable_files_do_not_stop_a_load(spark, base):
     landing.write_day(landed(spark, ("a", 1.0, None, "2024-08-01")), stage.path, D1)
     with open(f"{landing.day_path(stage.path, D1)}/broken.parquet", "wb") as broken:
         broken.write(b"PAR1 this is not a table PAR1")
-    done = load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 8, 3)).first()
-    assert done["rows_inserted"] == 1
+    landing.write_day(landed(spark, ("a", 2.0, None, "2024-08-02")), stage.path, D2)
+
+    def load():
+        done = load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 8, 3)).first()
+        return done["files_loaded"], done["files_failed"], done["rows_inserted"]
+
+    assert load() == (2, 1, 2)
+    assert load() == (0, 1, 0)  # still pending, in case it was the reading that failed
+    assert landing.open_prices(spark, f"{base}/prices").count() == 2
+    with pytest.raises(Exception):
+        stage.read(spark).collect()
+    skipping = landing.Stage(stage.path, stage.schema, skip_unreadable=True)
+    assert skipping.read(spark).count() == 2
+
+
+def test_other_failures_stop_a_load(spark, base):
+    stage = landing.price_stage(f"{base}/in")
+    landing.write_day(landed(spark, ("a", 1.0, None, "2024-08-01")), stage.path, D1)
+    (Path(base) / "prices").write_text("not a directory")
+    with pytest.raises(Exception):
+        load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 8, 3))
+    assert ledger.read_ledger(spark, f"{base}/ledger").count() == 0
 
 
 def item_rows(spark, day, *names):
