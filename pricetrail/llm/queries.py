@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricetrail.llm import decontaminate, packing, quality, secrets, simhash, toxicity, url_rules, wrappers
+from pricetrail.llm import decontaminate, packing, quality, secrets, simhash, substrings, toxicity, url_rules, wrappers
 from pricetrail.llm.common import table
 from pricetrail.llm.url_rules import Rule, site_rule
 
@@ -51,6 +51,13 @@ def op3_quality(spark, sf):
     return quality.classify_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op4_substring_dedup(spark, sf):
+    """Words, removed words and digest of the kept words of all documents."""
+    found = substrings.repeated_passages(table(spark, sf, "documents"), 50)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op5_simhash(spark, sf):
     """doc_id, fingerprint, component_id of all documents."""
