@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricetrail.llm import decontaminate, packing, quality, secrets, simhash, substrings, toxicity, url_rules, wrappers
+from pricetrail.llm import (
+    decontaminate,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    toxicity,
+    url_rules,
+    wrappers,
+)
 from pricetrail.llm.common import table
 from pricetrail.llm.url_rules import Rule, site_rule
 
@@ -103,4 +114,10 @@ def op9_toxicity(spark, sf):
     return toxicity.classify_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op10_embedding_dedup(spark, sf):
+    """Links, component and whether it stays, of all vectors at a cosine of 0.9."""
+    return neighbours.near_vectors(table(spark, sf, "embeddings"))
+
+
 from pricetrail.llm.oracle import ORACLE  # noqa: E402, F401
