@@ -129,7 +129,8 @@ def choose_landmarks(sample: Sample, most: int = LANDMARKS) -> Landmarks:
             seen.update({w for u in units_of(text) for w in _letters(u)})
         n = max(1, len(sample.texts[value]))
         shares.append({w: c / n for w, c in seen.items() if c > 1})
-    excess = {w: share - shares[1].get(w, 0.0) for w, share in shares[0].items()}
+    # A word of ordinary prose differs by chance, but not fourfold.
+    excess = {w: p - shares[1].get(w, 0.0) for w, p in shares[0].items() if p >= 4 * shares[1].get(w, 0.0)}
     ranked = sorted(excess, key=lambda w: (-excess[w], w))
     ranked = [w for w in ranked if excess[w] >= 0.4 * excess[ranked[0]] and excess[w] > 0.02]
     return Landmarks(ranked[:most])
@@ -233,9 +234,9 @@ class ToxicityModel:
 
 
 def fit_toxicity(sample: Sample) -> ToxicityModel:
-    """Train on the sentences of a labelled sample; without both classes the score is the positive share."""
+    """Train on the sentences of a labelled sample; without both classes the score is the share of class 1."""
     landmarks = choose_landmarks(sample)
-    model = ToxicityModel(landmarks, np.zeros(len(landmarks.words)), 0.0, 0.0, sample.positive_share)
+    model = ToxicityModel(landmarks, np.zeros(len(landmarks.words)), 0.0, 0.0, sample.known_share)
     if not landmarks.words or not sample.texts[0]:
         return model
     tokens = list({u for texts in sample.texts.values() for t in texts for u in units_of(t)})
@@ -298,7 +299,7 @@ def classify_toxicity(
     The machine is fitted on at most ``rows_per_class`` labelled texts of each class, of at most
     ``max_bytes`` each, outside the held-out fold; every text is scored whole.  Null and empty
     texts have the score of a text without any landmark.  Repeated rows and ids each give a
-    row.  Without labels of both classes every score is the share of class 1.
+    row.  Without labels of both classes every score is the share of class 1, without any it is 0.
     """
     model = fit_toxicity(labelled_sample(docs, labels, "toxic", rows_per_class, max_bytes))
     scored = docs.select("doc_id", toxicity_scores(F.col("text"), model).alias("score"))

@@ -17,8 +17,14 @@ class Sample:
     texts: dict[int, list[str]]
     totals: dict[int, int]
 
+    @property
+    def known_share(self) -> float:
+        """The share of class 1; 0 without labels."""
+        return self.totals[1] / max(1, self.totals[0] + self.totals[1])
+
     @property
     def positive_share(self) -> float:
+        """The share of class 1, kept away from 0 and 1."""
         return (self.totals[1] + 1.0) / (self.totals[0] + self.totals[1] + 2.0)
 
 

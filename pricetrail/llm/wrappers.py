@@ -44,6 +44,7 @@ AROUND_WORDS = set(
 )
 COMMENT_WORDS = {"comment", "comments", "commentlist", "reply", "replies", "disqus", "related", "promo", "teaser"}
 MAIN_WORDS = {"main", "articlebody"}
+BLOCK_TAGS = set("p h1 h2 h3 h4 h5 h6 li dt dd ul ol dl blockquote pre figure figcaption address".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 
@@ -316,7 +317,8 @@ def verdict(root: Node) -> list:
     place = root
     while True:
         own = _tally(place, root.pages)[0]
-        inner = [k for k in place.kids if k.label != TEXT and 10 * _tally(k, root.pages)[0] >= 7 * own > 0]
+        boxes = [k for k in place.kids if k.label != TEXT and k.label.partition(".")[0] not in BLOCK_TAGS]
+        inner = [k for k in boxes if 10 * _tally(k, root.pages)[0] >= 7 * own > 0]
         if not inner:
             break
         place = inner[0]
