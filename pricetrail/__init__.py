@@ -5,6 +5,6 @@ dimension, a usage log and a ledger of loaded files.  Everything here is a funct
 DataFrames to DataFrames, so that Catalyst sees one declarative plan per question.
 """
 
-from pricetrail.session import local_session, scratch_dir
+from pricetrail.session import configure, local_session, scratch_dir
 
-__all__ = ["local_session", "scratch_dir"]
+__all__ = ["configure", "local_session", "scratch_dir"]

@@ -61,7 +61,11 @@ def register_item_search(
             SELECT id, count(*) AS records,
                    {mean("usd")} AS avg_usd, min(usd) AS min_usd, max(usd) AS max_usd,
                    {mean("usd_foil")} AS avg_foil, min(usd_foil) AS min_foil, max(usd_foil) AS max_foil
-            FROM {prices} GROUP BY id
+            FROM {prices} LEFT SEMI JOIN (
+                SELECT w.id AS wanted FROM {items} AS w
+                WHERE {_term("w.name", name + ".card_name")} AND {_term("w.set_name", name + ".set_search")})
+            ON id = wanted
+            GROUP BY id
         ) AS s ON i.id = s.id
         WHERE {_term("i.name", name + ".card_name")} AND {_term("i.set_name", name + ".set_search")}
         GROUP BY i.name, i.set_name, i.id, i.tcgplayer_id

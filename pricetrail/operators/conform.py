@@ -70,8 +70,13 @@ def split_rejects(
     schema: T.StructType,
     renames: dict[str, str] | None = None,
     required: Collection[str] = (),
+    nulls: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows that load, and rows that do not together with the offending column names."""
+    """Rows that load, and rows that do not together with the offending column names.
+
+    With ``nulls``, only a missing ``required`` value rejects; other bad values load as NULL.
+    """
     checked = conform_checked(df, schema, renames, required)
-    clean = F.size(BAD_COLUMNS) == 0
+    unfit = F.array_intersect(BAD_COLUMNS, F.array(*[F.lit(c) for c in required])) if nulls else F.col(BAD_COLUMNS)
+    clean = F.size(unfit) == 0
     return checked.filter(clean).drop(BAD_COLUMNS), checked.filter(~clean)

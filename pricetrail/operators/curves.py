@@ -59,6 +59,12 @@ def launch_curve(
     keys = ["set_name", "rarity"] if by_rarity else ["set_name"]
     offset = day_offset(F.col("released_at"), F.col("pull_date"))
     wanted = wanted.select("id", "released_at", *keys)
+    # On the partition column both bounds of the selected items prune files at run time.
+    released = wanted.agg(F.min("released_at").alias("first"), F.max("released_at").alias("last"))
+    prices = prices.filter(
+        (F.col("pull_date") >= F.date_add(released.select("first").scalar(), first))
+        & (F.col("pull_date") <= F.date_add(released.select("last").scalar(), last))
+    )
     # Beyond the size for a broadcast this is a shuffle by id, in which Spark splits the
     # tasks of hot items.
     wanted = broadcast_if_small(wanted, broadcast_rows) or wanted

@@ -16,4 +16,4 @@ def broadcast_if_small(rows: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataF
     a small selection from a large dimension.  Counting the selection reads only the
     columns of its filter, which is little next to that shuffle.
     """
-    return F.broadcast(rows) if rows.count() <= max_rows else None
+    return F.broadcast(rows) if max_rows and rows.count() <= max_rows else None

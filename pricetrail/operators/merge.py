@@ -36,17 +36,16 @@ def new_price_rows(
 ) -> DataFrame:
     """Source rows whose (id, pull_date) the target does not have; of copies, one.
 
-    With ``prune``, only the target's dates between the first and last source date are
-    read.  Both dates are scalar subqueries, so nothing runs until the result is used.
+    With ``prune``, only the target's partitions of dates that the source has are read.  The
+    dates, at most one per day of the calendar, are a scalar subquery, so nothing runs until
+    the result is used.
     ``keyless=False`` states that every source row has its key, which saves a scan.
     """
     columns = target.columns
     given = source.select(columns)
     if prune:
-        target = target.filter(
-            (F.col("pull_date") >= source.agg(F.min("pull_date")).scalar())
-            & (F.col("pull_date") <= source.agg(F.max("pull_date")).scalar())
-        )
+        dates = source.agg(F.collect_set("pull_date")).scalar()
+        target = target.filter(F.array_contains(dates, F.col("pull_date")))
     keyed, unkeyed = split_by_key(given, *PRICE_KEY)
     values = [F.asc_nulls_last(name) for name in columns if name not in PRICE_KEY]
     single = one_per_key(keyed, PRICE_KEY, *values)

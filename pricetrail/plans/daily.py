@@ -9,21 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from pricetrail.operators.conform import conform
 from pricetrail.operators.flatten import daily_prices, static_fields
+from pricetrail.operators.merge import newest_per_item
 from pricetrail.operators.movers import price_movers
 from pricetrail.plans.loads import merge_items, merge_prices, one_row
-from pricetrail.schemas import ITEMS
+from pricetrail.schemas import DAY_PARTITIONS, ITEM_RENAMES, ITEMS
 from pricetrail.sources.landing import (
     Stage,
     day_path,
     item_stage,
+    latest_snapshot,
     open_prices,
     price_stage,
     publish_csv,
+    write_counted,
     write_day,
 )
 from pricetrail.sources.ledger import VersionedTable
-from pricetrail.sources.snapshots import read_snapshot
+from pricetrail.sources.snapshots import parse_snapshot, readable, unreadable
+
+
+DAYS = DAY_PARTITIONS.fieldNames()
 
 
 @dataclass(frozen=True)
@@ -48,9 +55,9 @@ class Lake:
     def ledger(self) -> str:
         return f"{self.base}/ledger"
 
-    @property
-    def report(self) -> str:
-        return f"{self.base}/report"
+    def report(self, day: date) -> str:
+        """The movers report of one day; the newest day's is the current one."""
+        return day_path(f"{self.base}/report", day)
 
     def items(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable(spark, f"{self.base}/items", ITEMS)
@@ -77,14 +84,33 @@ def run_day(
 ) -> DataFrame:
     """Everything one day needs; safe to repeat for the same or a past day.
 
-    Returns (dataset, row_count) of the landing files and of the rows merged.
+    Returns (dataset, row_count) of the landing files, of the rows merged, and of what was left
+    out and kept aside: unreadable records, price rows unfit to load, items without id.
+    The report is the day's own: it shows the items as that day's snapshot had them.
     """
-    landed = land_snapshot(spark, read_snapshot(spark, snapshot_path, layout=layout), lake, day)
+    parsed = parse_snapshot(spark, snapshot_path, layout=layout).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        landed = land_snapshot(spark, readable(parsed), lake, day)
+        lost = write_counted(
+            unreadable(parsed), lambda writer: writer.mode("overwrite").text(day_path(f"{lake.base}/unreadable", day))
+        )
+    finally:
+        parsed.unpersist()
     rejects = day_path(f"{lake.base}/rejects", day)
     merged = merge_prices(spark, lake.landing_prices.read_day(spark, day), lake.prices, rejects)
     changed = merge_items(spark, lake.landing_items, lake.items(spark), day)
-    report = price_movers(open_prices(spark, lake.prices), lake.items(spark).current(), day)
-    publish_csv(report, lake.report, F.desc_nulls_last("4wk_diff"), F.col("id"))
-    for dataset, rows in (("prices merged", merged), ("items merged", changed["rows_merged"])):
+    snapshots = lake.landing_items.read(spark).withColumn("snapshot", F.make_date(*[F.col(c).cast("int") for c in DAYS]))
+    items = conform(latest_snapshot(snapshots, F.lit(day), "snapshot"), ITEMS, ITEM_RENAMES)
+    items = newest_per_item(items.filter(F.col("id").isNotNull()))
+    report = price_movers(open_prices(spark, lake.prices), items, day)
+    publish_csv(report, lake.report(day), F.desc_nulls_last("4wk_diff"), F.col("id"))
+    counts = {
+        "prices merged": merged["rows_inserted"],
+        "items merged": changed["rows_merged"],
+        "records unreadable": lost,
+        "prices rejected": merged["rows_rejected"],
+        "items rejected": changed["rows_rejected"],
+    }
+    for dataset, rows in counts.items():
         landed = landed.unionByName(one_row(spark, dataset=dataset, row_count=rows))
     return landed

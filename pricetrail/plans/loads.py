@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricetrail.operators.conform import conform, split_rejects
-from pricetrail.operators.merge import PRICE_KEY, classified_upsert, new_price_rows, outcome_counts
+from pricetrail.operators.conform import BAD_COLUMNS, conform_checked, split_rejects
+from pricetrail.operators.merge import (
+    PRICE_KEY,
+    classified_upsert,
+    new_price_rows,
+    outcome_counts,
+    upsert_outcome,
+)
 from pricetrail.schemas import ITEM_RENAMES, ITEMS, PRICES
-from pricetrail.sources.landing import Stage, append_prices, day_path, open_prices
+from pricetrail.session import scratch_dir
+from pricetrail.sources.landing import Stage, append_prices, day_path, open_prices, write_observed
 from pricetrail.sources.ledger import VersionedTable, pending_files, read_ledger, record_files
 
-# How Spark names the failure to read a file or its footer.
-UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
+# How Spark names the failure to read a file or its footer, or to give files one schema.
+UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "CANNOT_MERGE_SCHEMAS", "UNABLE_TO_INFER_SCHEMA")
 
 
 def one_row(spark: SparkSession, **values) -> DataFrame:
@@ -26,41 +34,69 @@ def one_row(spark: SparkSession, **values) -> DataFrame:
     return spark.range(1).select(columns)
 
 
-def merge_prices(
-    spark: SparkSession, landed: DataFrame, target_path: str, rejects_path: str | None = None
-) -> int:
-    """Append what is new in landing rows to the curated fact; returns the number appended.
+def stage_prices(spark: SparkSession, landed: DataFrame) -> tuple[DataFrame, int]:
+    """Landing rows checked and written once: the checked rows, and how many are unfit to load.
 
-    Rows that do not convert, or have no id or date, go to ``rejects_path``.  The target is
-    the state: a repeat after a failure finds its rows present and adds nothing, and it
-    replaces the rejects.  One writer at a time.
+    Everything after this reads the written rows, however often it needs them.
     """
-    clean, bad = split_rejects(landed, PRICES, required=PRICE_KEY)
-    if rejects_path:
-        bad.write.mode("overwrite").parquet(rejects_path)
+    path = scratch_dir(spark, "staged")
+    checked = conform_checked(landed, PRICES, required=PRICE_KEY)
+    unfit = F.count_if(F.size(BAD_COLUMNS) > 0)
+    bad = write_observed(checked, lambda writer: writer.parquet(path), bad=unfit)["bad"]
+    return spark.read.schema(checked.schema).parquet(path), bad
+
+
+def merge_staged(spark: SparkSession, staged: DataFrame, target_path: str, rejects_path: str) -> int:
+    """Append what is new in checked rows to the curated fact; returns the number appended."""
+    fit = F.size(BAD_COLUMNS) == 0
+    staged.filter(~fit).write.mode("overwrite").parquet(rejects_path)
+    clean = staged.filter(fit).drop(BAD_COLUMNS)
     fresh = new_price_rows(open_prices(spark, target_path), clean, keyless=False)
     return append_prices(fresh, target_path)
 
 
-def _merge_files(
-    spark: SparkSession, stage: Stage, files: list[Row], target_path: str, rejects_path: str | None
-) -> tuple[list[Row], int]:
-    """Merge files, leaving out those that cannot be read; returns what loaded, and its new rows.
+def merge_prices(
+    spark: SparkSession, landed: DataFrame, target_path: str, rejects_path: str | None = None
+) -> dict[str, int]:
+    """Append what is new in landing rows to the curated fact; returns rows inserted and rejected.
+
+    Rows that do not convert, or have no id or date, go to ``rejects_path``, by default a
+    hidden folder of the target.  The target is the state: a repeat after a failure finds its
+    rows present and adds nothing, and it replaces the rejects.  One writer at a time.
+    """
+    staged, bad = stage_prices(spark, landed)
+    rejects = rejects_path or f"{target_path}/_rejects/last"
+    return {"rows_inserted": merge_staged(spark, staged, target_path, rejects), "rows_rejected": bad}
+
+
+def _stage_files(spark: SparkSession, stage: Stage, paths: list[str]) -> tuple[list[str], list[DataFrame], int]:
+    """The files that can be read, their checked rows, and how many of these are unfit.
 
-    Spark's error names the file.  The failed job has committed nothing, so the others are
-    merged again without it: a file loads whole or not at all.
+    Values convert by row from the types that the files have.  If files do not read together,
+    each half is tried by itself, down to the unreadable file: a file loads whole or not at
+    all, and what fails is never looked up in an error's text.
     """
-    while files:
-        try:
-            landed = stage.read_files(spark, [file.path for file in files])
-            return files, merge_prices(spark, landed, target_path, rejects_path)
-        except Exception as error:
-            text = str(error)
-            named = [file for file in files if file.path.split(":", 1)[-1].lstrip("/") in text]
-            if not named or not any(mark in text for mark in UNREADABLE):
-                raise
-            files = [file for file in files if file not in named]
-    return [], 0
+    try:
+        rows, bad = stage_prices(spark, stage.read_files(spark, paths))
+        return paths, [rows], bad
+    except Exception as error:
+        if not any(mark in str(error) for mark in UNREADABLE):
+            raise
+    if len(paths) == 1:
+        return [], [], 0
+    middle = len(paths) // 2
+    first, second = (_stage_files(spark, stage, half) for half in (paths[:middle], paths[middle:]))
+    return first[0] + second[0], first[1] + second[1], first[2] + second[2]
+
+
+def merge_files(
+    spark: SparkSession, stage: Stage, paths: list[str], target_path: str, rejects_path: str
+) -> tuple[list[str], int, int]:
+    """Merge files by one merge; returns those that could be read, and the rows inserted and rejected."""
+    done, staged, bad = _stage_files(spark, stage, paths)
+    if not done:
+        return [], 0, 0
+    return done, merge_staged(spark, reduce(DataFrame.unionByName, staged), target_path, rejects_path), bad
 
 
 def load_prices(
@@ -72,38 +108,72 @@ def load_prices(
     table: str = "prices",
     rejects_path: str | None = None,
     max_files: int = 10_000,
+    modified_after: datetime | None = None,
 ) -> DataFrame:
     """Load the files that the ledger does not know yet, continuing past bad rows and files.
 
-    Returns one row: files loaded and failed, rows inserted, message.  Files load in path
-    order in turns of at most ``max_files``, whose names come to the driver because the
-    reader takes them there.  The ledger is written after the data, so an interrupted turn
-    is repeated and the merge absorbs the repetition.  Failed files stay pending.
+    Returns one row: files loaded and failed, rows inserted and rejected, message.  The stage is
+    listed once, and the pending files are a written manifest.  They load in path order in
+    turns of at most ``max_files``, whose names come to the driver because the reader takes them
+    there.  The ledger is written after the data, so an interrupted turn is repeated and
+    the merge absorbs the repetition.  Failed files stay pending; rejected rows are kept
+    below ``rejects_path``, by default in a hidden folder of the target.
     """
-    loaded = failed = inserted = 0
+    manifest = scratch_dir(spark, "pending")
+    pending = pending_files(spark, stage, read_ledger(spark, ledger_path), table, modified_after)
+    pending.write.parquet(manifest)
+    pending = spark.read.schema(pending.schema).parquet(manifest)
+    base = f"{rejects_path or f'{target_path}/_rejects'}/load={loaded_at:%Y%m%dT%H%M%S}"
+    loaded = failed = inserted = rejected = 0
     last = ""
     while True:
-        pending = pending_files(spark, stage, read_ledger(spark, ledger_path), table)
         files = pending.filter(F.col("path") > last).orderBy("path").limit(max_files).collect()
         if files:
             last = files[-1].path
-            rejects = rejects_path and f"{rejects_path}/load={loaded_at:%Y%m%dT%H%M%S}/from={loaded + failed}"
-            done, rows = _merge_files(spark, stage, files, target_path, rejects)
+            rejects = f"{base}/from={loaded + failed}"
+            done, rows, bad = merge_files(spark, stage, [file.path for file in files], target_path, rejects)
             if done:
-                record_files(spark.createDataFrame(done, pending.schema), table, loaded_at, ledger_path)
-            loaded, failed, inserted = loaded + len(done), failed + len(files) - len(done), inserted + rows
+                read = set(done)
+                names = [file for file in files if file.path in read]
+                record_files(spark.createDataFrame(names, pending.schema), table, loaded_at, ledger_path)
+            loaded, failed = loaded + len(done), failed + len(files) - len(done)
+            inserted, rejected = inserted + rows, rejected + bad
         if len(files) < max_files:
             break
-    message = f"{loaded} new files loaded into {table}, {failed} unreadable, {inserted} rows inserted"
+    message = (
+        f"{loaded} new files loaded into {table}, {failed} unreadable, {inserted} rows inserted, {rejected} rejected"
+    )
     return one_row(
-        spark, table_name=table, files_loaded=loaded, files_failed=failed, rows_inserted=inserted, message=message
+        spark,
+        table_name=table,
+        files_loaded=loaded,
+        files_failed=failed,
+        rows_inserted=inserted,
+        rows_rejected=rejected,
+        message=message,
     )
 
 
+def merge_item_rows(landed: DataFrame, items: VersionedTable, rejects: str = "last") -> dict:
+    """Merge item rows, the later pull_date wins; returns what changed.
+
+    Rows without id are kept below the table's ``rejects`` and counted.  Whether anything changes
+    is found on ids and dates alone; if nothing does, no version is written.
+    """
+    clean, bad = split_rejects(landed, ITEMS, ITEM_RENAMES, required=("id",), nulls=True)
+    counter = {"rows_rejected": F.count(F.lit(1))}
+    lost = write_observed(bad, lambda w: w.mode("overwrite").parquet(f"{items.base}/rejects/{rejects}"), **counter)
+    current = items.current()
+    narrow = [rows.select("id", "pull_date") for rows in (current, clean)]
+    outcome = upsert_outcome(*narrow).first().asDict()
+    if outcome["rows_merged"]:
+        outcome = items.replace(classified_upsert(current, clean), **outcome_counts())
+    return outcome | lost
+
+
 def merge_items(spark: SparkSession, stage: Stage, items: VersionedTable, day: date) -> dict:
-    """Merge one day's item snapshot, the later pull_date wins; returns what changed."""
-    staged = conform(stage.read_day(spark, day), ITEMS, ITEM_RENAMES)
-    return items.replace(classified_upsert(items.current(), staged), **outcome_counts())
+    """Merge one day's item snapshot."""
+    return merge_item_rows(stage.read_day(spark, day), items, day.isoformat())
 
 
 def load_items(spark: SparkSession, stage: Stage, items: VersionedTable, day: date) -> DataFrame:
@@ -115,6 +185,6 @@ def load_items(spark: SparkSession, stage: Stage, items: VersionedTable, day: da
     message = (
         f"items loaded from {day_path(stage.path, day)}: {outcome['rows_inserted']} inserted, "
         f"{outcome['rows_updated']} updated, {outcome['rows_skipped']} skipped as older, "
-        f"{outcome['rows_merged']} merged"
+        f"{outcome['rows_merged']} merged, {outcome['rows_rejected']} rejected"
     )
     return one_row(spark, **outcome, message=message)

@@ -23,8 +23,12 @@ LAUNCH_VIEWS: dict[str, dict] = {
 
 
 def launch_views(prices: DataFrame, items: DataFrame, **overrides) -> dict[str, DataFrame]:
-    """All launch curves; ``overrides`` replace a default where a view has not set its own."""
-    return {name: launch_curve(prices, items, **{**overrides, **own}) for name, own in LAUNCH_VIEWS.items()}
+    """All launch curves; ``overrides`` replace a default where a view has not set its own.
+
+    Nothing runs here: a view may live long, so Spark decides on broadcasts when it is read.
+    """
+    settings = {"broadcast_rows": 0, **overrides}
+    return {name: launch_curve(prices, items, **{**settings, **own}) for name, own in LAUNCH_VIEWS.items()}
 
 
 def register_views(

@@ -7,7 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# No operator needs any of these to be right; they size partitions and keep clocks in UTC.
+# What every session needs: days are days in UTC, and hot keys are split.  All of it can be
+# set in a running session.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,15 +17,22 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Where every partition of one side proves this small at run time, hash it: the large
-    # side then needs no sort.  Works with the splitting of hot keys.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
-    # A selective item filter prunes the price scan with a bloom filter when it is too
-    # large to broadcast.
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.ui.enabled": "false",
+    # side then needs no sort.  Works with the splitting of hot keys.  The size is of
+    # compressed shuffle data, and several tasks share an executor.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Give a session of any cluster the library's settings; others stay as they are.
+
+    ``cost_daily`` and the other daily operators take a timestamp's day in the session's zone.
+    """
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -32,7 +40,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
         .appName("pricetrail")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {"spark.ui.enabled": "false", **SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

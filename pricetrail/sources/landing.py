@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,16 @@ from pyspark.sql import types as T
 from pricetrail.schemas import DAY_PARTITIONS, LANDING_ITEMS, LANDING_PRICES, PRICES
 
 
+LIST_TASKS = 64  # a listing reads no content, so its tasks need not follow file sizes
+ROWS_PER_RANGE = 5_000_000
+CSV_FORM = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def day_path(base: str, day: date) -> str:
     """Directory of one day, with zero-padded month and day."""
     return f"{base.rstrip('/')}/year={day:%Y}/month={day:%m}/day={day:%d}"
@@ -56,16 +67,26 @@ class Stage:
         return self.reader(spark).schema(self.schema).load(day_path(self.path, day))
 
     def read_files(self, spark: SparkSession, paths: list[str]) -> DataFrame:
-        return self.reader(spark).schema(self.schema).load(paths)
+        """Given files, under the types that they state themselves.
+
+        A reader that is told other types may fail, or take the digits of a decimal for a
+        whole number.  Files whose types differ from each other do not read together.
+        """
+        return self.reader(spark).option("mergeSchema", True).load(paths)
 
-    def list_files(self, spark: SparkSession) -> DataFrame:
-        """Path, size and time of each data file; no content is read."""
+    def list_files(self, spark: SparkSession, modified_after: datetime | None = None) -> DataFrame:
+        """Path, size and time of each data file; no content is read.
+
+        ``modified_after`` bounds the listing of a long history.
+        """
         listing = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", self.pattern)
             .option("recursiveFileLookup", True)
         )
-        return listing.load(self.path).select("path", "length", "modificationTime")
+        if modified_after:
+            listing = listing.option("modifiedAfter", f"{modified_after:%Y-%m-%dT%H:%M:%S}")
+        return listing.load(self.path).select("path", "length", "modificationTime").coalesce(LIST_TASKS)
 
 
 def price_stage(base: str) -> Stage:
@@ -91,7 +112,7 @@ def write_observed(
     return counter.get
 
 
-def _write_counted(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:
+def write_counted(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:
     return write_observed(df, write, rows=F.count(F.lit(1)))["rows"]
 
 
@@ -102,7 +123,7 @@ def write_day(df: DataFrame, base: str, day: date, compression: str = "snappy")
     no single file is forced.
     """
     path = day_path(base, day)
-    return _write_counted(
+    return write_counted(
         df.hint("rebalance"),
         lambda writer: writer.mode("overwrite").option("compression", compression).parquet(path),
     )
@@ -114,7 +135,7 @@ def write_days(df: DataFrame, base: str, date_column: str = "pull_date", compres
     Rebalancing by day keeps files large, and splits a day that is much larger than others.
     """
     parts = DAY_PARTITIONS.fieldNames()
-    return _write_counted(
+    return write_counted(
         df.withColumns(day_columns(F.col(date_column).cast("date"))).hint("rebalance", *parts),
         lambda writer: writer.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -139,6 +160,24 @@ def register_day(spark: SparkSession, table: str, stage: Stage, day: date) -> No
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def written_by_stream(spark: SparkSession, path: str) -> bool:
+    """Whether a file stream keeps the list of a table's files.
+
+    Batch readers then see only what that stream wrote, so nothing else may write there.
+    """
+    return path_exists(spark, f"{path}/_spark_metadata")
+
+
 def open_table(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame:
     """A Parquet table of ours, created empty on first use."""
     empty = spark.createDataFrame([], schema)
@@ -147,27 +186,32 @@ def open_table(spark: SparkSession, path: str, schema: T.StructType, *partitions
 
 
 def open_prices(spark: SparkSession, path: str) -> DataFrame:
-    """The curated fact."""
+    """The curated fact, for loads that merge; a file stream's own table is refused."""
+    if written_by_stream(spark, path):
+        raise ValueError(f"{path} belongs to a file stream; load it by append_stream only")
     return open_table(spark, path, PRICES, "pull_date")
 
 
 def append_prices(rows: DataFrame, path: str) -> int:
     """Append to the curated fact, partitioned by pull_date; returns the rows written."""
-    return _write_counted(
+    return write_counted(
         rows.hint("rebalance", "pull_date"),
         lambda writer: writer.mode("append").partitionBy("pull_date").parquet(path),
     )
 
 
-def write_by_id(prices: DataFrame, path: str) -> None:
+def write_by_id(prices: DataFrame, path: str, rows_per_range: int = ROWS_PER_RANGE) -> None:
     """A second copy of the fact, ordered by item, for one-item reads.
 
+    The number of ranges follows the number of rows, which Parquet footers know.
+
     Ranges over (id, pull_date) split even an item that holds a large share of the rows,
     which buckets by id would not, and the footers of the sorted files let a reader skip
     all but a few row groups.
     """
+    ranges = max(1, -(-prices.count() // rows_per_range))
     (
-        prices.repartitionByRange("id", "pull_date")
+        prices.repartitionByRange(ranges, "id", "pull_date")
         .sortWithinPartitions("id", "pull_date")
         .write.mode("overwrite")
         .parquet(path)
@@ -184,16 +228,22 @@ def latest_snapshot(rows: DataFrame, as_of: Column, date_column: str = "pull_dat
     return rows.filter(F.col(date_column) == newest)
 
 
-def publish_csv(report: DataFrame, path: str, *order: Column, first: int | None = None) -> None:
-    """Replace a published CSV report (header, no index).
+def publish_csv(
+    report: DataFrame, path: str, *order: Column, first: int | None = None, whole: bool = False
+) -> None:
+    """Replace a published CSV report (header, no index), as any CSV reader reads it.
 
-    A sorted report is a set of part files in order.  Its ``first`` rows alone are one file.
+    Quotes are doubled and blanks kept.  A sorted report is a set of part files in order; its
+    ``first`` rows alone, or with ``whole`` all of it, are one file, which one task writes.
     """
     rows = report.orderBy(*order) if order else report
     if first is not None:
         rows = rows.limit(first)
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    if whole:
+        rows = rows.coalesce(1)
+    rows.write.mode("overwrite").options(**CSV_FORM).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
+    """A published report; with ``line_breaks`` values may hold them, and each file is one task."""
+    return spark.read.schema(schema).options(**CSV_FORM).option("multiLine", line_breaks).csv(path)

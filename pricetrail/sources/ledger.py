@@ -18,13 +18,15 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return open_table(spark, path, LEDGER)
 
 
-def pending_files(spark: SparkSession, stage: Stage, ledger: DataFrame, table: str) -> DataFrame:
+def pending_files(
+    spark: SparkSession, stage: Stage, ledger: DataFrame, table: str, modified_after: datetime | None = None
+) -> DataFrame:
     """Files of a stage that the ledger does not name for this table.
 
     Names are compared, not rows: loaded files are never opened again.
     """
     seen = ledger.filter(F.col("table_name") == table).select(F.col("file_name").alias("path"))
-    return stage.list_files(spark).join(seen, "path", "left_anti")
+    return stage.list_files(spark, modified_after).join(seen, "path", "left_anti")
 
 
 def record_files(files: DataFrame, table: str, loaded_at: datetime, path: str) -> None:
@@ -58,7 +60,8 @@ class VersionedTable:
 
     Each version has its own directory.  It becomes current when its name is appended to
     the list of versions, after its data is complete; a failed write leaves no trace in
-    the list.  Older versions stay for readers; one writer at a time.
+    the list.  Older versions stay for readers; ``retired`` names those that may go.  One
+    writer at a time.
     """
 
     def __init__(self, spark: SparkSession, base: str, schema: T.StructType):
@@ -76,6 +79,12 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(path)
 
+    def retired(self, keep: int = 7) -> DataFrame:
+        """Version and path of all but the newest ``keep`` versions, for the storage's clean-up."""
+        versions = open_table(self.spark, f"{self.base}/versions", VERSIONS)
+        oldest_kept = (self._newest()["version"] or 0) - keep + 1
+        return versions.filter(F.col("version") < oldest_kept).orderBy("version")
+
     def replace(self, rows: DataFrame, **metrics: Column) -> dict:
         """Write ``rows``, which may derive from ``current()``, as the next version.
 

@@ -27,7 +27,7 @@ def read_snapshot(
     ``array``        any other JSON array; Spark parses each file in one task, so convert
                      large files to lines at the source
     """
-    return _parsed(spark, path, schema, layout).filter(~_unreadable(schema)).drop(CORRUPT)
+    return readable(parse_snapshot(spark, path, schema, layout), schema)
 
 
 def snapshot_rejects(
@@ -37,8 +37,15 @@ def snapshot_rejects(
     layout: str = "lines",
 ) -> DataFrame:
     """The text that ``read_snapshot`` could not parse."""
-    bad = _parsed(spark, path, schema, layout).filter(_unreadable(schema))
-    return bad.select(F.col(CORRUPT).alias("record"))
+    return unreadable(parse_snapshot(spark, path, schema, layout), schema)
+
+
+def readable(parsed: DataFrame, schema: T.StructType = RAW_SNAPSHOT) -> DataFrame:
+    return parsed.filter(~_unreadable(schema)).drop(CORRUPT)
+
+
+def unreadable(parsed: DataFrame, schema: T.StructType = RAW_SNAPSHOT) -> DataFrame:
+    return parsed.filter(_unreadable(schema)).select(F.col(CORRUPT).alias("record"))
 
 
 def _unreadable(schema: T.StructType):
@@ -48,7 +55,10 @@ def _unreadable(schema: T.StructType):
     return F.col(CORRUPT).isNotNull() & with_id.isNull()
 
 
-def _parsed(spark, path, schema: T.StructType, layout: str) -> DataFrame:
+def parse_snapshot(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_SNAPSHOT, layout: str = "lines"
+) -> DataFrame:
+    """All records with the text of the unreadable ones, for one pass over both."""
     wanted = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     if layout == "array_lines":
         # An element is an object, so brackets and commas outside its braces belong to the array.

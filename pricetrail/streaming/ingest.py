@@ -8,19 +8,23 @@ watermark: the target table is the state, and both merges are idempotent.  With
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from pricetrail.operators.conform import conform, split_rejects
-from pricetrail.operators.merge import upsert_newer_wins
-from pricetrail.plans.loads import merge_prices
-from pricetrail.schemas import ITEM_RENAMES, ITEMS, PRICES
-from pricetrail.sources.landing import Stage
+from pricetrail.operators.conform import split_rejects
+from pricetrail.operators.merge import PRICE_KEY
+from pricetrail.plans.loads import merge_files, merge_item_rows
+from pricetrail.schemas import PRICES
+from pricetrail.sources.landing import Stage, path_exists, written_by_stream
 from pricetrail.sources.ledger import VersionedTable
 
 
-def read_arrivals(spark: SparkSession, stage: Stage, max_files: int | None = None) -> DataFrame:
+MAX_FILES = 1000
+
+
+def read_arrivals(spark: SparkSession, stage: Stage, max_files: int | None = MAX_FILES) -> DataFrame:
     """Files of a stage as they arrive; ``max_files`` bounds one batch of a long backlog."""
     reader = spark.readStream.format(stage.fmt).schema(stage.schema).options(**stage.options())
     reader = reader.option("recursiveFileLookup", True)
@@ -38,20 +42,26 @@ def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool) -> St
 
 def append_stream(
     spark: SparkSession, stage: Stage, sink: str, checkpoint: str,
-    available_now: bool = True, max_files: int | None = None,
+    available_now: bool = True, max_files: int | None = MAX_FILES,
 ) -> StreamingQuery:
-    """Plain load: every clean row of every new file, once."""
-    clean, _ = split_rejects(read_arrivals(spark, stage, max_files), PRICES)
+    """Plain load into a table of its own: every clean row of every new file, once.
+
+    Readers of such a table see what this stream wrote and nothing else, so a table that
+    other loads write is refused; those share ``merge_stream`` and ``load_prices``.
+    """
+    if path_exists(spark, sink) and not written_by_stream(spark, sink):
+        raise ValueError(f"{sink} has other writers; load it by merge_stream")
+    clean, _ = split_rejects(read_arrivals(spark, stage, max_files), PRICES, required=PRICE_KEY)
     writer = clean.writeStream.format("parquet").partitionBy("pull_date").option("path", sink)
     return _start(writer, checkpoint, available_now)
 
 
 def reject_stream(
     spark: SparkSession, stage: Stage, sink: str, checkpoint: str,
-    available_now: bool = True, max_files: int | None = None,
+    available_now: bool = True, max_files: int | None = MAX_FILES,
 ) -> StreamingQuery:
     """The rows that ``append_stream`` leaves out, with the reason; a query of its own."""
-    _, bad = split_rejects(read_arrivals(spark, stage, max_files), PRICES)
+    _, bad = split_rejects(read_arrivals(spark, stage, max_files), PRICES, required=PRICE_KEY)
     return _start(bad.writeStream.format("parquet").option("path", sink), checkpoint, available_now)
 
 
@@ -63,25 +73,35 @@ def _each_batch(
 
 def merge_stream(
     spark: SparkSession, stage: Stage, target_path: str, checkpoint: str,
-    rejects_path: str | None = None, available_now: bool = True, max_files: int | None = None,
+    rejects_path: str | None = None, available_now: bool = True, max_files: int | None = MAX_FILES,
 ) -> StreamingQuery:
-    """Insert-only merge of arriving price files; each batch keeps its rejects."""
+    """Insert-only merge of arriving price files; each batch keeps its rejects.
+
+    They go below ``rejects_path``, by default a hidden folder of the target.  The stream tells
+    which files are new, at most ``max_files`` at a time; they are then read as a batch load
+    reads them, by their own types.  An unreadable file fails the query, unless its stage
+    passes over such files.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rejects = rejects_path and f"{rejects_path}/batch={batch_id}"
-        merge_prices(batch.sparkSession, batch, target_path, rejects)
+        rejects = f"{rejects_path or f'{target_path}/_rejects'}/batch={batch_id}"
+        paths = sorted(unquote(row["file_path"]) for row in batch.distinct().collect())
+        if paths:
+            done, _, _ = merge_files(batch.sparkSession, stage, paths, target_path, rejects)
+            if len(done) < len(paths) and not stage.skip_unreadable:
+                raise ValueError(f"unreadable: {sorted(set(paths) - set(done))}")
 
-    return _each_batch(read_arrivals(spark, stage, max_files), apply, checkpoint, available_now)
+    arrivals = read_arrivals(spark, stage, max_files).select("_metadata.file_path")
+    return _each_batch(arrivals, apply, checkpoint, available_now)
 
 
 def upsert_stream(
     spark: SparkSession, stage: Stage, items: VersionedTable, checkpoint: str,
-    available_now: bool = True, max_files: int | None = None,
+    available_now: bool = True, max_files: int | None = MAX_FILES,
 ) -> StreamingQuery:
     """Newer-wins merge of arriving item files; an older snapshot changes nothing."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        items.replace(upsert_newer_wins(items.current(), batch))
+        merge_item_rows(batch, items, f"batch-{batch_id}")
 
-    typed = conform(read_arrivals(spark, stage, max_files), ITEMS, ITEM_RENAMES)
-    return _each_batch(typed, apply, checkpoint, available_now)
+    return _each_batch(read_arrivals(spark, stage, max_files), apply, checkpoint, available_now)

@@ -13,7 +13,11 @@ from conftest import plan_of, rows
 from pricetrail.operators.curves import launch_curve
 from pricetrail.operators.lookup import item_history, search_items
 from pricetrail.operators.merge import classified_upsert, new_price_rows, one_per_key
+from pricetrail import configure
+from pricetrail.functions.table_functions import register_item_search
 from pricetrail.operators.movers import lookback_slice, price_movers, top_movers
+from pricetrail.operators.usage import cost_daily
+from pricetrail.plans.views import launch_views
 
 AS_OF = date(2025, 1, 29)
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -149,12 +153,49 @@ def test_merge_prunes_the_target_at_run_time(spark, tables):
     prices, _ = tables
     source = prices.withColumn("pull_date", F.date_add("pull_date", 10))
     text = plan_of(new_price_rows(prices, source, keyless=False))
-    assert re.search(r"PartitionFilters: \[[^\]]*>= Subquery", text)
+    assert re.search(r"PartitionFilters: \[[^\n]*array_contains\(Subquery", text)
+    # Two distant dates: only their two partitions are read.
+    ends = prices.filter(F.col("pull_date").isin(AS_OF, date(2024, 12, 30)))
+    fresh = new_price_rows(prices, ends.withColumn("id", F.concat("id", F.lit("x"))), keyless=False)
+    fresh.collect()
+    days = prices.filter(F.array_contains(ends.agg(F.collect_set("pull_date")).scalar(), F.col("pull_date")))
+    assert days.select("pull_date").distinct().count() == 2
     with settings(spark, NO_BROADCAST):
         text = plan_of(new_price_rows(prices, source, prune=False, keyless=False))
     assert hash_shuffles(text) == 2  # removing copies and the anti-join share the source's
 
 
+def test_curve_bounds_come_from_the_items(spark, tables):
+    curve = launch_curve(*tables, released_from=None, set_names=("set 1",), broadcast_rows=0)
+    assert re.search(r"PartitionFilters: \[[^\n]*>= date_add\(Subquery", plan_of(curve))
+    bounds = curve._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"pull_date#\d+ >= date_add\(scalar-subquery", bounds)
+    assert re.search(r"pull_date#\d+ <= date_add\(scalar-subquery", bounds)
+
+
+def test_sql_search_filters_prices_before_aggregating(spark, tables):
+    prices, items = tables
+    prices.createOrReplaceTempView("plan_prices")
+    items.createOrReplaceTempView("plan_items")
+    register_item_search(spark, "plan_prices", "plan_items", "plan_search")
+    with settings(spark, NO_BROADCAST):
+        text = plan_of(spark.sql("SELECT * FROM plan_search('name 1', 'set')"))
+    assert text.index("partial_count(1)") < text.index("LeftSemi")
+
+
+def test_views_run_nothing_when_registered(spark, tables):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    launch_views(*tables)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_days_are_utc_in_any_session(spark):
+    with settings(spark, {"spark.sql.session.timeZone": "Pacific/Auckland"}):
+        configure(spark)
+        log = spark.sql("SELECT TIMESTAMP '2024-01-01 23:30:00Z' AS start_time, 'w' AS warehouse_name, 1.0BD AS credits_used")
+        assert [str(r["day"]) for r in cost_daily(log).collect()] == ["2024-01-01"]
+
+
 def test_upsert_shuffles_each_side_once(tables):
     _, items = tables
     dated = items.withColumn("pull_date", F.lit(AS_OF))

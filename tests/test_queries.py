@@ -11,7 +11,6 @@ from conftest import plan_of
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-NO_SQL = {"partition_files"}  # file names and sizes are not a function of the tables
 
 
 @pytest.fixture(scope="module")
@@ -27,9 +26,6 @@ def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     assert "EvalPython" not in plan_of(df)
     ours = rows_of(df.columns, df.collect())
-    if name in NO_SQL:
-        assert ours
-        return
     cursor = duck.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(df.columns)
@@ -42,4 +38,4 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - NO_SQL <= set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import csv
 from datetime import date, datetime
 from pathlib import Path
 
@@ -10,6 +11,7 @@ from conftest import rows
 from pricetrail.functions.columns import file_name, megabytes
 from pricetrail.operators import checks
 from pricetrail.operators.lookup import item_history
+from pricetrail.plans import loads
 from pricetrail.plans.daily import Lake, run_day
 from pricetrail.plans.loads import load_items, load_prices
 from pricetrail.schemas import ITEMS, LANDING_ITEMS, LANDING_PRICES, LEDGER, PRICES
@@ -82,6 +84,17 @@ def test_csv_report(spark, base):
     assert [r[0] for r in spark.read.text(f"{base}/report").collect()] == ["id,usd,on", "a,,2024-08-01"]
 
 
+def test_csv_is_what_other_readers_read(spark, base):
+    names = ['"Ach! Hans, Run!"', " lead and trail ", "a, b", "two\nlines", 'quote " inside', "back\\slash", None]
+    df = spark.createDataFrame([(n, name) for n, name in enumerate(names)], "n INT, name STRING")
+    landing.publish_csv(df, f"{base}/report", F.col("n"), whole=True)
+    (part,) = Path(f"{base}/report").glob("part-*.csv")
+    with open(part, newline="") as lines:
+        read = list(csv.reader(lines))
+    assert read == [["n", "name"], *[[str(n), name or ""] for n, name in enumerate(names)]]
+    assert rows(landing.read_csv(spark, f"{base}/report", df.schema, line_breaks=True)) == rows(df)
+
+
 def test_text_that_looks_missing_stays_text(spark, base):
     df = spark.createDataFrame([("NA",), ("None",)], "name STRING")
     landing.publish_csv(df, f"{base}/report", F.col("name"))
@@ -156,6 +169,57 @@ def test_unreadable_files_do_not_stop_a_load(spark, base):
     assert skipping.read(spark).count() == 2
 
 
+def test_six_broken_files_cost_no_merge(spark, base, monkeypatch):
+    stage = landing.price_stage(f"{base}/in")
+    landing.write_day(landed(spark, ("a", 1.0, None, "2024-08-01"), (None, 1.0, None, None)), stage.path, D1)
+    for n in range(6):
+        Path(f"{landing.day_path(stage.path, D1)}/bad file {n}.parquet").write_bytes(b"PAR1 no table PAR1")
+    merges = []
+    merge = loads.merge_staged
+    monkeypatch.setattr(loads, "merge_staged", lambda *args: merges.append(1) or merge(*args))
+    done = load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 8, 3)).first()
+    found = tuple(done[c] for c in ("files_failed", "rows_inserted", "rows_rejected"))
+    assert found == (6, 1, 1) and len(merges) == 1 and "1 rejected" in done["message"]
+    aside = spark.read.parquet(f"{base}/prices/_rejects/load=20240803T000000/from=0").first()
+    assert (float(aside["usd"]), aside["bad_columns"]) == (1.0, ["id", "pull_date"])
+
+
+def test_files_of_other_types_load_by_row(spark, base):
+    stage = landing.price_stage(f"{base}/in")
+    kinds = {"double": 1.0, "decimal(9,3)": 2.0, "string": 3.0}
+    for n, (kind, usd) in enumerate(kinds.items()):
+        frame = landed(spark, (f"i{n}", usd, None, "2024-08-01")).withColumn("usd", F.col("usd").cast(kind))
+        if kind == "string":
+            bad = landed(spark, ("bad", None, None, "2024-08-01")).withColumn("usd", F.lit("n/a"))
+            frame = frame.unionByName(bad)
+        frame.coalesce(1).write.parquet(f"{stage.path}/{n}")
+    done = load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 8, 3)).first()
+    assert (done["files_failed"], done["rows_inserted"], done["rows_rejected"]) == (0, 3, 1)
+    table = landing.open_prices(spark, f"{base}/prices").orderBy("id")
+    assert [float(r["usd"]) for r in table.collect()] == [1.0, 2.0, 3.0]
+
+
+def test_listing_tasks_do_not_follow_file_sizes(spark, base):
+    for n in range(80):
+        with open(f"{base}/{n}.parquet", "wb") as sparse:
+            sparse.truncate(300 << 20)
+    assert landing.price_stage(base).list_files(spark).rdd.getNumPartitions() <= landing.LIST_TASKS
+
+
+def test_ranges_follow_the_rows(spark, base, prices):
+    facts = prices(*[(f"i{n}", "1.00", None, "2024-01-01") for n in range(40)])
+    landing.write_by_id(facts, f"{base}/by_id", rows_per_range=5)
+    assert len(list(Path(f"{base}/by_id").glob("part-*"))) == 8
+
+
+def test_old_versions_are_named(spark, base):
+    table = ledger.VersionedTable(spark, base, PRICES)
+    for n in range(3):
+        table.replace(spark.createDataFrame([(str(n), None, None, D1)], PRICES))
+    assert [r["version"] for r in table.retired(keep=1).collect()] == [1, 2]
+    assert table.retired().count() == 0
+
+
 def test_other_failures_stop_a_load(spark, base):
     stage = landing.price_stage(f"{base}/in")
     landing.write_day(landed(spark, ("a", 1.0, None, "2024-08-01")), stage.path, D1)
@@ -225,13 +289,26 @@ def test_run_day_twice(spark, base, tmp_path):
     snapshot = tmp_path / "snapshot.json"
     snapshot.write_text(
         '{"id": "a", "name": "A", "released_at": "2024-01-01", "prices": {"usd": "2.00"}}\n'
-        '{"id": "b", "name": "B", "released_at": "2024-01-01", "prices": {"usd": null}}'
+        '{"id": "b", "name": "B", "released_at": "2024-01-01", "prices": {"usd": null}}\n'
+        '{"name": "no id", "released_at": "2024-01-01", "prices": {"usd": "1.00"}}\n'
+        '{"id": "broken'
     )
     lake = Lake(f"{base}/lake")
     first = {r["dataset"]: r["row_count"] for r in run_day(spark, str(snapshot), lake, D1).collect()}
-    assert first == {"prices": 1, "items": 2, "prices merged": 1, "items merged": 2}
-    again = {r["dataset"]: r["row_count"] for r in run_day(spark, str(snapshot), lake, D1).collect()}
-    assert again == {"prices": 1, "items": 2, "prices merged": 0, "items merged": 0}
-    report = spark.read.option("header", True).csv(lake.report)
+    aside = {"records unreadable": 1, "prices rejected": 1, "items rejected": 1}
+    assert first == {"prices": 2, "items": 3, "prices merged": 1, "items merged": 2, **aside}
+    for _ in range(2):
+        again = {r["dataset"]: r["row_count"] for r in run_day(spark, str(snapshot), lake, D1).collect()}
+        assert again == {"prices": 2, "items": 3, "prices merged": 0, "items merged": 0, **aside}
+    report = spark.read.option("header", True).csv(lake.report(D1))
     assert [(r["id"], r["today_price"]) for r in report.collect()] == [("a", "2.00")]
     assert rows(checks.day_count(landing.open_prices(spark, lake.prices), D1)) == [(1,)]
+    items = lake.items(spark)
+    assert items.current().count() == 2 and items._newest()["version"] == 1
+    # A later day renames the item; the report of the past day, repeated, keeps its name.
+    later = tmp_path / "later.json"
+    later.write_text('{"id": "a", "name": "Z", "released_at": "2024-01-01", "prices": {"usd": "3.00"}}')
+    run_day(spark, str(later), lake, D2)
+    run_day(spark, str(snapshot), lake, D1)
+    names = [spark.read.option("header", True).csv(lake.report(d)).first()["name"] for d in (D1, D2)]
+    assert names == ["A", "Z"]

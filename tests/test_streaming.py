@@ -1,12 +1,13 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
 from conftest import rows
 from pricetrail.operators.conform import conform
 from pricetrail.operators.merge import merge_insert_only
+from pricetrail.plans.loads import load_prices
 from pricetrail.schemas import ITEMS, LANDING_ITEMS, LANDING_PRICES, PRICES
 from pricetrail.sources import landing
 from pricetrail.sources.ledger import VersionedTable
@@ -41,6 +42,24 @@ def test_append_reads_each_file_once(spark, base):
     assert [r["id"] for r in spark.read.parquet(f"{base}/bad").collect()] == ["b"]
 
 
+def test_one_kind_of_writer_per_table(spark, base):
+    stage, late = landing.price_stage(f"{base}/in"), landing.price_stage(f"{base}/late")
+    arrive(spark, stage, D1, ("a", 1.0, None, "2024-08-01"), (None, 1.0, None, "2024-08-01"), ("b", 1.0, None, None))
+    ingest.append_stream(spark, stage, f"{base}/own", f"{base}/c1").awaitTermination()
+    assert spark.read.schema(PRICES).parquet(f"{base}/own").count() == 1  # rows without id or date are rejects
+    with pytest.raises(ValueError):
+        load_prices(spark, stage, f"{base}/own", f"{base}/ledger", datetime(2024, 8, 3))
+    load_prices(spark, stage, f"{base}/shared", f"{base}/ledger", datetime(2024, 8, 3))
+    with pytest.raises(ValueError):
+        ingest.append_stream(spark, stage, f"{base}/shared", f"{base}/c2")
+    arrive(spark, late, D2, ("a", 2.0, None, "2024-08-02"))
+    ingest.merge_stream(spark, late, f"{base}/shared", f"{base}/c3").awaitTermination()
+    arrive(spark, stage, D2, ("c", 3.0, None, "2024-08-02"))
+    load_prices(spark, stage, f"{base}/shared", f"{base}/ledger", datetime(2024, 8, 4))
+    assert landing.open_prices(spark, f"{base}/shared").count() == 3
+    assert spark.read.parquet(f"{base}/shared/_rejects/load=20240803T000000/from=0").count() == 2
+
+
 def test_stream_merge_equals_batch_merge(spark, base):
     stage = landing.price_stage(f"{base}/in")
     first = [("a", 1.0, None, "2024-08-01"), ("b", 2.0, None, "2024-08-01"), ("b", 2.0, None, None)]

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricetrail.schemas import LANDING_ITEMS
+from pricetrail.operators.conform import conform
+from pricetrail.schemas import FACE_FIELDS, IMAGE_SIZES, ITEM_FLAGS, ITEM_LISTS, LANDING_ITEMS, LEGALITY_FORMATS, PRICES
 from pricetrail.session import scratch_dir
-from pricetrail.sources.landing import day_path, write_day, write_days
+from pricetrail.sources.landing import append_prices, day_path, write_day, write_days
 
 AS_OF = date(2024, 1, 30)
 USAGE_AS_OF = date(2024, 2, 10)
@@ -86,8 +87,10 @@ def prices_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts; every eleventh has an id that no price has, so both sides have rows alone."""
+    key = F.col("p_partkey")
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("id"),
+        F.when(key % 11 == 5, -key).otherwise(key).alias("id"),
         F.col("p_partkey").alias("tcgplayer_id"),
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("set_name"),
@@ -179,10 +182,22 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, key = F.col("p_size"), F.col("p_partkey")
     text_id = key.cast("string")
     listed = F.col("p_retailprice").cast(CENTS)
-    colors = F.slice(F.array(F.lit("W"), F.lit("U")), 1, size % 3)
-    faces = F.array(
-        F.struct(F.col("p_name").alias("name"), F.lit("{1}{W}").alias("mana_cost")),
-        F.struct(F.upper("p_name").alias("name"), F.lit("{2}{U}").alias("mana_cost")),
+
+    def marked(name: str) -> Column:
+        """Text that tells its own field."""
+        return F.concat(F.lit(f"{name} "), text_id)
+
+    def listed_text(name: str) -> Column:
+        """0 to 2 elements."""
+        return F.slice(F.array(F.lit(f"{name}1"), F.lit(f"{name}2")), 1, size % 3)
+
+    def face(side: str) -> Column:
+        return F.struct(*[marked(f"{side} {field}").alias(field) for field in FACE_FIELDS])
+
+    faces = F.array(face("front"), face("back"))
+    texts = (
+        "layout", "mana_cost", "type_line", "oracle_text", "power", "toughness", "image_status", "artist",
+        "illustration_id", "border_color", "frame", "security_stamp", "watermark", "card_back_id",
     )
     return table(spark, sf_dir, "part").select(
         text_id.alias("id"),
@@ -209,19 +224,18 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("s"), F.lower("p_brand")).alias("set_id"),
         text_id.alias("collector_number"),
         (size / 2).alias("cmc"),
-        F.col("p_type").alias("type_line"),
+        *[marked(name).alias(name) for name in texts],
         size.alias("edhrec_rank"),
         F.array(key, key + 1).alias("multiverse_ids"),
-        colors.alias("colors"),
-        (size % 2 == 0).alias("foil"),
-        (size % 2 == 1).alias("nonfoil"),
-        F.struct(
-            F.lit("legal").alias("modern"),
-            F.when(size > 25, "legal").otherwise("not_legal").alias("standard"),
-        ).alias("legalities"),
-        F.struct(F.concat(F.lit("img/"), text_id).alias("small")).alias("image_uris"),
+        *[listed_text(name).alias(name) for name in ITEM_LISTS if name != "multiverse_ids"],
+        *[(size % n == 0).alias(name) for n, name in enumerate(("highres_image", *ITEM_FLAGS), start=2)],
+        F.struct(*[
+            F.when(size % n == 0, "legal").otherwise("not_legal").alias(name)
+            for n, name in enumerate(LEGALITY_FORMATS, start=2)
+        ]).alias("legalities"),
+        F.struct(*[marked(f"img/{name}").alias(name) for name in IMAGE_SIZES]).alias("image_uris"),
         F.struct(
-            F.lit("2009-12-24").alias("previewed_at"), F.lit("a preview").alias("source")
+            F.lit("2009-12-24").alias("previewed_at"), marked("uri").alias("source_uri"), marked("source").alias("source")
         ).alias("preview"),
         F.struct(F.concat(F.lit("buy/"), text_id).alias("tcgplayer")).alias("purchase_uris"),
         F.when(size % 3 != 0, F.slice(faces, 1, size % 3)).alias("card_faces"),
@@ -233,13 +247,15 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> str:
 
 
 def snapshot_array(spark: SparkSession, sf_dir: str) -> str:
-    """The same records as JSON arrays with one element per line."""
+    """The same records as one JSON array: one file, with one element per line."""
 
     def write(path):
-        records = raw_items(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
-        elements = records.select(F.concat("value", F.lit(",")).alias("value"))
-        brackets = spark.createDataFrame([("[",), ("]",)], "value STRING")
-        elements.unionByName(brackets).write.text(path)
+        records = raw_items(spark, sf_dir)
+        last = records.agg(F.max(F.col("id").cast("long"))).scalar()
+        comma = F.when(F.col("id").cast("long") == last, "").otherwise(",")
+        elements = records.select(F.col("id").cast("long").alias("n"), F.concat(F.to_json(F.struct("*")), comma).alias("value"))
+        brackets = spark.createDataFrame([(-1, "["), (2**62, "]")], "n LONG, value STRING")
+        elements.unionByName(brackets).orderBy("n").coalesce(1).select("value").write.text(path)
 
     return once(spark, sf_dir, "snapshot_array", write)
 
@@ -292,6 +308,18 @@ def item_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def loaded_month(spark: SparkSession, sf_dir: str) -> str:
+    """The view prices of the month as a curated fact, partitioned by date."""
+
+    def write(path):
+        events = table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+        views = events.groupBy(F.col("user_id").alias("id"), F.col("ts").cast("date").alias("pull_date"))
+        views = views.agg(F.max("value").cast(CENTS).alias("usd"))
+        append_prices(conform(landing_rows(spark, sf_dir, views), PRICES), path)
+
+    return once(spark, sf_dir, "loaded_month", write)
+
+
 def daily_snapshot(spark: SparkSession, sf_dir: str, day: date, base: str) -> str:
     """The snapshot of one day, with that day's prices."""
     today = prices_m(spark, sf_dir).filter(F.col("pull_date") == F.lit(day))

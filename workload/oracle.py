@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pricetrail.functions.columns import PRODUCT_URL_PREFIX
-from pricetrail.operators.flatten import wide_schema
 from workload.frames import AS_OF, SNAPSHOT_DAY, USAGE_AS_OF
 from workload.queries import FIVE_SETS, ITEM_ID, LEDGER_SINCE, SINCE
 
@@ -32,7 +31,7 @@ def line_prices(name: str, where: str = "TRUE", raised: str = "") -> str:
 
 PRICES_L = line_prices("prices_l")
 ITEMS_L = f"""items_l AS (
-    SELECT p_partkey AS id, p_partkey AS tcgplayer_id, p_name AS name, p_brand AS set_name,
+    SELECT CASE WHEN p_partkey % 11 = 5 THEN -p_partkey ELSE p_partkey END AS id, p_partkey AS tcgplayer_id, p_name AS name, p_brand AS set_name,
            p_type AS set_type, DATE '1998-01-01' + p_size * 20 AS released_at, {RARITY} AS rarity
     FROM part)"""
 
@@ -245,10 +244,16 @@ ORACLE["job_counts"] = """
 SELECT 'prices' AS dataset, count(*) AS row_count FROM part WHERE p_size % 10 <> 0
 UNION ALL SELECT 'items', count(*) FROM part"""
 
-_FACES = {
-    "front": ("p_size % 3 >= 1", "p_name", "'{1}{W}'"),
-    "back": ("p_size % 3 = 2", "upper(p_name)", "'{2}{U}'"),
-}
+# The wide table's columns, written out here independently of the code under test.
+_FORMATS = """standard future historic timeless gladiator pioneer explorer modern legacy pauper vintage penny
+commander oathbreaker standardbrawl brawl alchemy paupercommander duel oldschool premodern predh""".split()
+_FLAGS = """highres_image foil nonfoil reserved oversized promo digital full_art textless reprint variation booster
+story_spotlight game_changer""".split()
+_LISTS = "colors color_identity produced_mana keywords games finishes artist_ids frame_effects promo_types".split()
+_TEXTS = """layout mana_cost type_line oracle_text power toughness image_status artist illustration_id border_color
+frame security_stamp watermark card_back_id""".split()
+_SIZES = "small normal large png art_crop border_crop".split()
+_FACE = "name mana_cost type_line oracle_text power toughness".split()
 _WIDE = {
     "id": "CAST(p_partkey AS VARCHAR)",
     "oracle_id": "'o' || p_partkey",
@@ -263,37 +268,29 @@ _WIDE = {
     "collector_number": "CAST(p_partkey AS VARCHAR)",
     "released_at": "DATE '2010-01-01' + p_size * 100",
     "cmc": "CAST(p_size / 2 AS VARCHAR)",
-    "type_line": "p_type",
-    "colors": "CASE p_size % 3 WHEN 0 THEN '' WHEN 1 THEN 'W' ELSE 'W,U' END",
-    "legalities_modern": "'legal'",
-    "legalities_standard": "CASE WHEN p_size > 25 THEN 'legal' ELSE 'not_legal' END",
     "rarity": RARITY,
-    "foil": "p_size % 2 = 0",
-    "nonfoil": "p_size % 2 = 1",
     "tcgplayer_id": "CAST(p_partkey AS INTEGER)",
     "mtgo_id": "CAST(p_partkey * 2 AS INTEGER)",
     "mtgo_foil_id": "CAST(CASE WHEN p_size % 5 <> 0 THEN p_partkey * 2 + 1 END AS INTEGER)",
     "cardmarket_id": "CAST(p_partkey + 7 AS INTEGER)",
     "edhrec_rank": "p_size",
     "preview_previewed_at": "DATE '2009-12-24'",
-    "preview_source": "'a preview'",
-    "image_uris_small": "'img/' || p_partkey",
+    "preview_source_uri": "'uri ' || p_partkey",
+    "preview_source": "'source ' || p_partkey",
     "purchase_uris_tcgplayer": "'buy/' || p_partkey",
     "pull_date": f"DATE '{SNAPSHOT_DAY}'",
+    **{name: f"'{name} ' || p_partkey" for name in _TEXTS},
+    **{name: f"CASE p_size % 3 WHEN 0 THEN '' WHEN 1 THEN '{name}1' ELSE '{name}1,{name}2' END" for name in _LISTS},
+    **{name: f"p_size % {n} = 0" for n, name in enumerate(_FLAGS, start=2)},
     **{
-        f"card_faces_{side}_{field}": f"CASE WHEN {present} THEN {value} END"
-        for side, (present, name, cost) in _FACES.items()
-        for field, value in (("name", name), ("mana_cost", cost))
+        f"legalities_{name}": f"CASE WHEN p_size % {n} = 0 THEN 'legal' ELSE 'not_legal' END"
+        for n, name in enumerate(_FORMATS, start=2)
     },
+    **{f"image_uris_{name}": f"'img/{name} ' || p_partkey" for name in _SIZES},
+    **{f"card_faces_front_{field}": f"CASE WHEN p_size % 3 >= 1 THEN 'front {field} ' || p_partkey END" for field in _FACE},
+    **{f"card_faces_back_{field}": f"CASE WHEN p_size % 3 = 2 THEN 'back {field} ' || p_partkey END" for field in _FACE},
 }
-_SQL_TYPES = {"string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER", "date": "DATE"}
-ORACLE["flatten_wide"] = (
-    "SELECT "
-    + ", ".join(
-        f"{_WIDE[c] if c in _WIDE else f'CAST(NULL AS {_SQL_TYPES[t]})'} AS {c}" for c, t in wide_schema().items()
-    )
-    + " FROM part"
-)
+ORACLE["flatten_wide"] = "SELECT " + ", ".join(f"{value} AS {name}" for name, value in _WIDE.items()) + " FROM part"
 
 # --- merges -------------------------------------------------------------------------------
 
@@ -347,9 +344,24 @@ ORACLE["day_count"] = f"WITH {PRICES_M} SELECT count(*) AS total_count FROM pric
 ORACLE["partition_missing"] = """
 SELECT DISTINCT 'items' AS dataset, CAST(ts AS DATE) AS pull_date FROM events WHERE dayofweek(ts) <> 1"""
 ORACLE["copy_new_files"] = f"""WITH {PRICES_M}
-SELECT 1 AS turn, 'prices' AS table_name, count(*) AS rows_inserted FROM prices_m WHERE pull_date < DATE '2024-01-16'
-UNION ALL SELECT 2, 'prices', count(*) FROM prices_m WHERE pull_date >= DATE '2024-01-16'
-UNION ALL SELECT 3, 'prices', 0"""
+SELECT 1 AS turn, 'prices' AS table_name, count(*) AS rows_inserted, 0 AS rows_rejected
+FROM prices_m WHERE pull_date < DATE '2024-01-16'
+UNION ALL SELECT 2, 'prices', count(*), 0 FROM prices_m WHERE pull_date >= DATE '2024-01-16'
+UNION ALL SELECT 3, 'prices', 0, 0"""
+ORACLE["load_mixed_types"] = ORACLE["shared_table_load"] = ORACLE["stream_ingest"]
+ORACLE["merge_pruned"] = f"""WITH {LANDED}, views AS (
+    SELECT DISTINCT CAST(user_id AS VARCHAR) AS id, CAST(ts AS DATE) AS pull_date FROM events WHERE event_type = 'view')
+SELECT * FROM landed l
+WHERE (pull_date = DATE '2024-01-01' OR pull_date >= DATE '2024-01-16')
+  AND NOT EXISTS (SELECT 1 FROM views v WHERE v.id = l.id AND v.pull_date = l.pull_date)"""
+ORACLE["partition_files"] = f"""WITH {PRICES_M}
+SELECT 'prices' AS dataset, pull_date, count(*) AS row_count, TRUE AS all_read FROM prices_m GROUP BY pull_date
+UNION ALL
+SELECT 'items', DATE '2024-01-01' + 7 * week, n, TRUE
+FROM (SELECT count(*) AS n FROM part), (SELECT unnest(range(5))::INTEGER AS week)"""
+ORACLE["file_columns"] = """
+SELECT 'part-' || o_orderkey AS file_name,
+       round(CAST(o_totalprice * 1000 AS BIGINT) / 1048576.0, 2) AS size_mb FROM orders"""
 ORACLE["stream_merge"] = f"""WITH {LANDED}, views AS (
     SELECT CAST(user_id AS VARCHAR) AS id, CAST(ts AS DATE) AS pull_date,
            CAST(max(value) AS DECIMAL(10,2)) AS usd

@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricetrail.functions.columns import file_name, megabytes
 from pricetrail.functions.table_functions import register_item_prices, register_item_search
 from pricetrail.operators import checks, curves, flatten, lookup, merge, movers, usage
 from pricetrail.operators.conform import BAD_COLUMNS, conform, conform_checked
@@ -274,6 +275,15 @@ def merge_insert_only(spark, sf):
     return plain(merge.merge_insert_only(target, source, prune=False))
 
 
+@query
+def merge_pruned(spark, sf):
+    """What all prices of the first day and the second half would add to the loaded view prices."""
+    target = landing.open_prices(spark, frames.loaded_month(spark, sf))
+    rows = frames.landing_rows(spark, sf)
+    rows = rows.filter((F.col("pull_date") == "2024-01-01") | (F.col("pull_date") >= "2024-01-16"))
+    return plain(merge.new_price_rows(target, conform(rows, PRICES), keyless=False))
+
+
 @query
 def upsert_newer_wins(spark, sf):
     return merge.upsert_newer_wins(frames.known_items(spark, sf), frames.arriving_items(spark, sf))
@@ -312,8 +322,29 @@ def day_count(spark, sf):
 
 @query
 def partition_files(spark, sf):
+    """Listed files against the rows that reading them gives, by dataset and day."""
     stages = _stages(spark, sf)
-    return checks.partition_files(spark, stages).drop("length")
+    files = checks.partition_files(spark, stages)
+    counts = None
+    for dataset, stage in stages.items():
+        day = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+        rows = stage.read(spark).select(F.lit(dataset).alias("dataset"), day.alias("pull_date"), "_metadata.file_name")
+        rows = rows.groupBy("dataset", "pull_date", "file_name").agg(F.count("*").alias("n"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    found = files.join(counts, ["dataset", "pull_date", "file_name"], "left")
+    return found.groupBy("dataset", "pull_date").agg(
+        F.sum("n").alias("row_count"), F.every(F.col("n").isNotNull() & (F.col("length") > 0)).alias("all_read")
+    )
+
+
+@query
+def file_columns(spark, sf):
+    """File name and size columns, of paths and sizes made from the orders."""
+    paths = frames.table(spark, sf, "orders").select(
+        F.concat_ws("/", F.lit("s3://b"), "o_orderstatus", F.concat(F.lit("part-"), F.col("o_orderkey"))).alias("path"),
+        (F.col("o_totalprice") * 1000).cast("bigint").alias("length"),
+    )
+    return paths.select(file_name(F.col("path")).alias("file_name"), megabytes(F.col("length")).alias("size_mb"))
 
 
 @query
@@ -380,10 +411,42 @@ def copy_new_files(spark, sf):
         if rows is not None:
             landing.write_days(rows, stage.path)
         done = loads.load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 2, turn))
-        reports.append(done.select(F.lit(turn).alias("turn"), "table_name", "rows_inserted"))
+        reports.append(done.select(F.lit(turn).alias("turn"), "table_name", "rows_inserted", "rows_rejected"))
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
+@query
+def load_mixed_types(spark, sf):
+    """Files with prices as doubles, decimals and text, and one that is no table, in one load."""
+    base = scratch_dir(spark, "mixed")
+    stage = landing.price_stage(f"{base}/landing")
+    rows = frames.landing_rows(spark, sf)
+    kinds = ("double", frames.CENTS, "string")
+    for n, kind in enumerate(kinds):
+        part = rows.filter(F.dayofmonth(F.col("pull_date").cast("date")) % len(kinds) == n)
+        part.withColumns({c: F.col(c).cast(kind) for c in ("usd", "usd_foil")}).coalesce(1).write.parquet(
+            f"{stage.path}/kind={n}"
+        )
+    spark.range(1).select(F.lit("no table").alias("value")).write.text(f"{stage.path}/broken dir.parquet")
+    loads.load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 2, 1))
+    return plain(landing.open_prices(spark, f"{base}/prices"))
+
+
+@query
+def shared_table_load(spark, sf):
+    """The month in three arrivals: loaded by a batch, by a stream, and by a batch, into one table."""
+    base = scratch_dir(spark, "shared")
+    rows = frames.landing_rows(spark, sf)
+    for turn in range(3):
+        stage = landing.price_stage(f"{base}/landing-{turn}")
+        landing.write_days(rows.filter(F.dayofmonth(F.col("pull_date").cast("date")) % 3 == turn), stage.path)
+        if turn == 1:
+            ingest.merge_stream(spark, stage, f"{base}/prices", f"{base}/checkpoint").awaitTermination()
+        else:
+            loads.load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 2, 1 + turn))
+    return plain(landing.open_prices(spark, f"{base}/prices"))
+
+
 @query
 def load_items(spark, sf):
     """Outcomes of loading a snapshot, an older one, and a newer one."""
@@ -445,12 +508,13 @@ def stream_upsert(spark, sf):
 
 @query
 def daily_run(spark, sf):
-    """Snapshots of the four report dates, oldest first, through the whole daily run."""
+    """The earlier days of the month by one load, then the last day's snapshot through the whole daily run."""
     base = scratch_dir(spark, "daily")
     lake = Lake(f"{base}/lake")
-    for day in (date(2024, 1, 2), date(2024, 1, 16), date(2024, 1, 23), AS_OF):
-        path = frames.daily_snapshot(spark, sf, day, f"{base}/snapshots")
-        run_day(spark, path, lake, day)
+    earlier = frames.landing_rows(spark, sf).filter(F.col("pull_date") < AS_OF.isoformat())
+    landing.write_days(earlier, lake.landing_prices.path)
+    loads.load_prices(spark, lake.landing_prices, lake.prices, lake.ledger, datetime(2024, 1, 30))
+    run_day(spark, frames.daily_snapshot(spark, sf, AS_OF, f"{base}/snapshots"), lake, AS_OF)
     prices = landing.open_prices(spark, lake.prices)
     report = movers.price_movers(prices, lake.items(spark).current(), AS_OF)
-    return plain(landing.read_csv(spark, lake.report, report.schema))
+    return plain(landing.read_csv(spark, lake.report(AS_OF), report.schema))
