@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricetrail.llm.common import stored, table
+from pricetrail.llm.common import short_batches, stored, table
 from pricetrail.llm.decontaminate import decontaminated
 from pricetrail.llm.packing import pack
 from pricetrail.llm.secrets import redact_secrets
@@ -20,11 +20,13 @@ from pricetrail.llm.toxicity import without_toxic
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go."""
+    short_batches(spark)
     return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: three-word shingles, at most three bits."""
+    short_batches(spark)
     return keep_one_of_each(docs, 3, 3)
 
 
@@ -40,6 +42,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
+    short_batches(spark)
     return pack(docs)
 
 

@@ -32,6 +32,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most ``rows`` in this session.
+
+    Workers keep the memory of their largest batch while later stages run beside them.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP, -1), lambda w: w != "")
