@@ -28,28 +28,69 @@ BARE = r"[A-Za-z0-9+/_-]{20,}+"
 BARE_KIND = "bare"
 KINDS = (*BASE_KINDS, BARE_KIND)
 SPAN_TYPE = "array<struct<start:int,rank:int,stop:int,value:string>>"
+RUN = 256  # spans of a long text that are looked at together
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once; a lambda computes what it mentions for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(items: Column) -> Column:
+    """An array in runs of ``RUN`` elements."""
+
+    def cut(v: Column) -> Column:
+        first = F.sequence(F.lit(1), F.size(v), F.lit(RUN))
+        return F.when(F.size(v) > 0, F.transform(first, lambda i: F.slice(v, i, F.lit(RUN))))
+
+    return _let(items, cut)
+
+
+def _running(values: Column, merge) -> Column:
+    """For each element of an array of counts: ``merge`` of all up to it, run by run."""
+    zero = F.lit(0)
+
+    def within(runs: Column) -> Column:
+        totals = F.transform(runs, lambda run: F.aggregate(run, zero, merge))
+
+        def one(before: Column) -> Column:
+            def up_to(run: Column, b: Column) -> Column:
+                start = F.element_at(before, b + 1)
+                return F.transform(run, lambda _, i: F.aggregate(F.slice(run, F.lit(1), i + 1), start, merge))
+
+            return F.flatten(F.transform(runs, up_to))
+
+        return _let(totals, lambda t: _let(_before(t, merge), one))
+
+    return F.coalesce(_let(_blocks(values), within), F.array().cast("array<int>"))
+
+
+def _before(totals: Column, merge) -> Column:
+    return F.transform(totals, lambda _, b: F.aggregate(F.slice(totals, F.lit(1), b), F.lit(0), merge))
 
 
 def _spans(text: Column, pattern: str, rank: int, group: int = 0) -> Column:
     """All matches as (start, rank, stop, value), in code points; ``value`` is a group's text."""
-    pieces = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-
-    def total(parts: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(1), n), F.lit(0), lambda a, x: a + F.length(x))
-
-    def span(found: Column, i: Column) -> Column:
-        start = total(pieces, i + 1) + total(whole, i)
-        return F.struct(
-            start.alias("start"),
-            F.lit(rank).alias("rank"),
-            (start + F.length(found)).alias("stop"),
-            F.element_at(value, i + 1).alias("value"),
+    found = F.struct(F.split(text, pattern, -1).alias("pieces"), whole.alias("whole"), value.alias("value"))
+
+    def all_spans(m: Column) -> Column:
+        steps = F.transform(m["whole"], lambda w, i: F.length(w) + F.length(F.element_at(m["pieces"], i + 1)))
+        stops = _running(steps, lambda a, x: a + x)
+        matches = F.arrays_zip(stops.alias("stop"), m["whole"].alias("whole"), m["value"].alias("value"))
+        return F.transform(
+            matches,
+            lambda s: F.struct(
+                (s["stop"] - F.length(s["whole"])).alias("start"),
+                F.lit(rank).alias("rank"),
+                s["stop"].alias("stop"),
+                s["value"].alias("value"),
+            ),
         )
 
     none = F.array().cast(SPAN_TYPE)
-    return F.when(text.rlike(pattern), F.transform(whole, span)).otherwise(none)
+    return F.when(text.rlike(pattern), _let(found, all_spans)).otherwise(none)
 
 
 def _base_spans(text: Column) -> Column:
@@ -62,6 +103,26 @@ def _bare_spans(text: Column) -> Column:
     return F.filter(_spans(text, BARE, len(BASE_KINDS)), mixed)
 
 
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans that touch none of ``others``, which are sorted; only runs within reach are looked through."""
+
+    def touches(s: Column, o: Column) -> Column:
+        return (o["start"] < s["stop"]) & (s["start"] < o["stop"])
+
+    def whole_run(run: Column) -> Column:
+        stops = F.transform(run, lambda o: o["stop"])
+        return F.struct(run[0]["start"].alias("start"), F.array_max(stops).alias("stop"), run.alias("spans"))
+
+    def free_of(runs: Column) -> Column:
+        def hit(s: Column) -> Column:
+            return F.exists(runs, lambda r: touches(s, r) & F.exists(r["spans"], lambda o: touches(s, o)))
+
+        return F.filter(spans, lambda s: ~hit(s))
+
+    both = (F.size(spans) > 0) & (F.size(others) > 0)
+    return F.when(both, _let(F.transform(_blocks(others), whole_run), free_of)).otherwise(spans)
+
+
 def spans_text(spans: Column) -> Column:
     """kind:start:end of each span, by start and then kind, comma-joined."""
     kinds = F.array(*[F.lit(k) for k in KINDS])
@@ -77,8 +138,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     found = docs.select(F.struct("*").alias("doc"), body.alias("body"))
     found = found.select("doc", _base_spans(F.col("body")).alias("base"), _bare_spans(F.col("body")).alias("bare"))
-    apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-    return found.withColumn("bare", F.filter("bare", apart))
+    return found.withColumn("bare", _apart(F.col("bare"), F.col("base")))
 
 
 def ownership(found: DataFrame, owner: Column, repository: Column) -> DataFrame:
@@ -153,18 +213,31 @@ def find_secrets(
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """``text`` with each run of overlapping spans replaced by ``mark``; spans come sorted by start."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, s: Column) -> Column:
-        before = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        apart = s["start"] >= state["at"]
-        out = F.when(apart, F.concat(state["out"], before, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), out.alias("out"))
+    def pieces(edge: Column) -> Column:
+        # ``edge``: for each span the furthest end of those before it.  A run of spans reads its own stretch of the text.
+        def stretch(run: Column) -> Column:
+            first, last = run[0]["edge"], F.element_at(run, -1)["start"]
+            own = F.substring(text, first + 1, F.greatest(last - first, F.lit(0)))
+
+            def kept(own: Column) -> Column:
+                return F.transform(
+                    F.filter(run, lambda s: s["start"] >= s["edge"]),
+                    lambda s: F.concat(F.substring(own, s["edge"] - first + 1, s["start"] - s["edge"]), F.lit(mark)),
+                )
+
+            return F.array_join(_let(own, kept), "")
+
+        return F.array_join(F.transform(_blocks(edge), stretch), "")
 
-    def close(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
+    def edges(stops: Column) -> Column:
+        before = lambda s, i: F.when(i > 0, F.get(stops, i - 1)).otherwise(F.lit(0))
+        return F.transform(spans, lambda s, i: F.struct(s["start"].alias("start"), before(s, i).alias("edge")))
 
-    return F.aggregate(spans, begin, step, close)
+    stops = _running(F.transform(spans, lambda s: s["stop"]), lambda a, x: F.greatest(a, x))
+    tail = F.substring(text, F.array_max(F.transform(spans, lambda s: s["stop"])) + 1, F.length(text))
+    clean = _let(stops, lambda stops: _let(edges(stops), pieces))
+    return F.when(F.size(spans) > 0, F.concat(clean, tail)).otherwise(text)
 
 
 def redact_secrets(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -93,6 +94,44 @@ def test_many_spans_and_long_text(docs):
     assert sorted(len(r.base) for r in got) == [0, 1500]
 
 
+def masked(text, spans):
+    """The redaction, character by character."""
+    out, at = "", 0
+    for s in spans:
+        if s["start"] >= at:
+            out += text[at : s["start"]] + "[secret]"
+        at = max(at, s["stop"])
+    return out + text[at:]
+
+
+def test_spans_beyond_one_run_against_a_plain_scan(docs):
+    rng = random.Random(5)
+    parts = ["é", "😀 ", "token=", "secret: '", "deadbeefdeadbeef", "0123456789abcdef", "AKIAABCDEFGHIJKLMN", " ", "\n"]
+    parts += ["x", "gH_0aB1cD2eF3gH4iJ5kL6m", "password = password = abcdefghijklmnop", "=", "-"]
+    texts = ["".join(rng.choices(parts, k=n)) for n in (1, 5, 50, 700, 3000)]
+    frame = docs(*enumerate(texts))
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(frame).collect()}
+    assert max(len(r.base) for r in secrets.find_secrets(frame).collect()) > 2 * secrets.RUN
+    for r in secrets.find_secrets(frame).collect():
+        text = texts[r.doc_id]
+        own = ",".join(f"{secrets.KINDS[s['rank']]}:{s['start']}:{s['stop']}" for s in r.base)
+        counts = tuple(sum(s["rank"] == rank for s in r.base) for rank in range(3))
+        assert (*counts, hashlib.sha256(own.encode()).hexdigest()) == plain(text)
+        bare = [m.span() for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text) if re.search("[0-9]", m[0])]
+        bare = {b for b in bare if not any(s["start"] < b[1] and b[0] < s["stop"] for s in r.base)}
+        assert {(s["start"], s["stop"]) for s in r.spans if s["rank"] == 3} <= bare
+        assert clean[r.doc_id] == masked(text, r.live)
+
+
+def test_work_grows_with_the_number_of_spans(docs):
+    line = "lorem ipsum dolor sit amet " * 8 + "{:016x} token=abcDEF{:06d}xyz\n"
+    text = "".join(line.format(n, n) for n in range(5000))
+    (found,) = secrets.find_secrets(docs((1, text))).collect()
+    assert len(found.base) == 10_000
+    (clean,) = secrets.redact_secrets(docs((1, text))).collect()
+    assert clean.text == masked(text, found.live) and clean.text.count("[secret]") == 10_000
+
+
 def test_empty_table_and_null_owners(docs, spark):
     assert secrets.find_secrets(docs()).collect() == []
     assert secrets.redact_secrets(docs()).collect() == []
