@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import html
 import json
+import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,7 +28,6 @@ TEXT = "#"
 DEEPEST = 60  # elements below are read as part of the element at this depth
 WIDEST = 48  # children of an expression's node; beyond, one optional repeated child per label
 PERIOD = 3  # the longest group of neighbours that is folded into a repetition
-SALTS = 32
 
 # Elements and attribute words of the page around an article.
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "noembed", "xmp", "title", "svg"}
@@ -97,6 +98,7 @@ def parse(page: str) -> Part:
     stack, tags = [root], [""]
     block: list[str] = []
     linked, links = 0, 0
+    deeper: Counter[str] = Counter()  # open elements below ``DEEPEST``, so that their ends close nothing else
 
     def close_block() -> None:
         nonlocal linked
@@ -128,10 +130,14 @@ def parse(page: str) -> Part:
             if tag in INLINE and tag not in tags:
                 links = max(0, links - 1) if tag == "a" else links
                 continue
-            if tag in tags:
+            if deeper[tag]:
+                close_block()
+                deeper[tag] -= 1
+            elif tag in tags:
                 close_block()
                 at_tag = len(tags) - 1 - tags[::-1].index(tag)
                 del stack[at_tag:], tags[at_tag:]
+                deeper.clear()
             continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.IGNORECASE).search(page, at)
@@ -164,6 +170,8 @@ def parse(page: str) -> Part:
             stack[-1].kids.append(part)
             stack.append(part)
             tags.append(tag)
+        elif tag not in CLOSED_BY and tag not in INLINE and tag != "p":
+            deeper[tag] += 1
     close_block()
     return root
 
@@ -391,7 +399,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     """host, rule (JSON) and pages of every host of ``pages`` (url, html).
 
     Each task aligns its own pages host by host; the expressions of the tasks are aligned
-    in two rounds, so a host with any share of the pages is never gathered in one group.
+    in two rounds.  A host of ``n`` expressions is gathered in groups of some square root of ``n``, in
+    both rounds, whatever its share of the pages.
     """
 
     def local(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -408,8 +417,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         yield rows(found)
 
     def rows(found: dict[str, Node]) -> pd.DataFrame:
-        packed = [(host, zlib.crc32(str(i).encode()), json.dumps(n.packed())) for i, (host, n) in enumerate(found.items())]
-        return pd.DataFrame(packed, columns=["host", "salt", "node"])
+        packed = [(host, json.dumps(n.packed())) for host, n in found.items()]
+        return pd.DataFrame(packed, columns=["host", "node"])
 
     def joined(group: pd.DataFrame) -> Node:
         total: Node | None = None
@@ -425,9 +434,12 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         node = joined(group)
         return pd.DataFrame([(key[0], json.dumps(verdict(node)), node.pages)], columns=["host", "rule", "pages"])
 
-    parts = pages.select("url", "html").mapInPandas(local, "host string, salt long, node string")
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("node", F.spark_partition_id()), F.lit(SALTS)))
-    once = salted.groupBy("host", "salt").applyInPandas(first_round, "host string, node string")
+    parts = pages.select("url", "html").mapInPandas(local, "host string, node string")
+    parts = stored(parts.withColumn("number", F.monotonically_increasing_id()), "expressions")
+    per_host = parts.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    most = per_host.agg(F.max("n").alias("n")).first()["n"] or 1
+    salt = F.pmod(F.xxhash64("number"), F.lit(math.isqrt(most - 1) + 1))
+    once = parts.withColumn("salt", salt).groupBy("host", "salt").applyInPandas(first_round, "host string, node string")
     return once.groupBy("host").applyInPandas(second_round, "host string, rule string, pages long")
 
 

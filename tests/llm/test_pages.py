@@ -150,6 +150,21 @@ def test_odd_pages(spark):
     assert wrappers.main_text(frame).collect() == []
 
 
+def test_deep_elements_close_only_themselves(spark):
+    deep = "<div>" * 70 + "<p>deep</p>" + "</div>" * 70
+    body = f"<div><article><p>before</p>{deep}<p>after</p></article></div><div class='footer'><p>not this</p></div>"
+    got = texts(spark, [(n, "http://h/", page(body), "", "", "") for n in range(2)])
+    assert set(got.values()) == {"before\ndeep\nafter"}
+
+
+def test_a_host_in_many_tasks_is_one_expression(spark):
+    rows = [(n, f"http://{'h' if n % 3 else f'o{n}'}/", page(f"<article><p>text {n}</p></article>")) for n in range(120)]
+    frame = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING").repartition(40)
+    counts = {r.host: r.pages for r in wrappers.infer_wrappers(frame).collect()}
+    assert counts["h"] == 80 and len(counts) == 41 and sum(counts.values()) == 120
+    assert {r.page_id: r.text for r in wrappers.main_text(frame).collect()} == {n: f"text {n}" for n in range(120)}
+
+
 def test_alignment_makes_optional_and_repeated_parts():
     first = wrappers.expression(wrappers.parse("<div><h1>a</h1><p>b</p><p>c</p><ul><li>x</li></ul></div>"))
     second = wrappers.expression(wrappers.parse("<div><h1>a</h1><p>d</p><table><tr><td>1</td></tr></table></div>"))
