@@ -91,9 +91,9 @@ def near_pairs(prints: DataFrame, max_distance: int = 3) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, width: int = 3, max_distance: int = 3) -> DataFrame:
-    """doc_id, fp (signed long) and component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, fp (signed long), component_id and ``group`` of every row of ``docs`` (doc_id, text).
 
-    Null and empty texts have fingerprint 0 and are linked like any other.  Repeated ids and
+    ``group`` is a fingerprint of the row's group: ids that repeat can be the smallest of two groups.  Null and empty texts have fingerprint 0 and are linked like any other.  Repeated ids and
     rows each give a row.  Rows without id link too; a group of only such rows has a null
     component.  Further columns are ignored.  An empty table gives an empty result.
     """
@@ -105,22 +105,34 @@ def simhash_groups(docs: DataFrame, width: int = 3, max_distance: int = 3) -> Da
     joined = joined.select("fp", "least", F.coalesce("component", "fp").alias("component"))
     joined = stored(joined, "labelled")
     ids = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = stored(joined.join(ids, "component").select("fp", "component_id"), "named")
-    return found.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stored(joined.join(ids, "component").select("fp", "component_id", F.col("component").alias("group")), "named")
+    return found.join(named, "fp").select("doc_id", "fp", "component_id", "group")
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 3, max_distance: int = 3) -> DataFrame:
     """``docs`` with one row of each group: that of its smallest id.
 
-    Of several rows with that id one stays.  Rows of a group without any id all stay.  All
-    columns are kept as they are, whatever their names.
+    Of several rows with that id in the group one stays; an id whose rows differ can stay for
+    more than one group.  Rows of a group without any id all stay.  All columns are kept as they
+    are, whatever their names.
     """
-    groups = simhash_groups(docs, width, max_distance)
-    gone = groups.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    nulls = gone.filter(F.col("doc_id").isNull()).select(F.col("fp").alias("__fp")).distinct()
-    gone = gone.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
+    groups = stored(simhash_groups(docs, width, max_distance), "groups")
+    stays = F.col("doc_id") == F.col("component_id")
+    ids = groups.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id"))
+    ids = ids.agg((F.count(F.lit(1)) > 1).alias("repeats"), F.bool_or(stays).alias("stays"))
+    marked = stored(ids.filter("repeats OR NOT stays"), "marked-ids")
+
     with_id = docs.filter(F.col("doc_id").isNotNull())
-    with_id = with_id.join(gone, with_id["doc_id"] == gone["__gone"], "left_anti").dropDuplicates(["doc_id"])
-    without = docs.filter(F.col("doc_id").isNull()).withColumn("__print", fingerprints(F.col("text"), width))
-    without = without.join(nulls, F.col("__print") == F.col("__fp"), "left_anti").drop("__print")
-    return with_id.unionByName(without)
+    single = with_id.join(marked, with_id["doc_id"] == marked["__id"], "left_anti")
+
+    # Only a row's own fingerprint tells the rows of a repeated id, and those without id, apart.
+    repeated = marked.filter("repeats")
+    others = with_id.join(repeated, with_id["doc_id"] == repeated["__id"], "left_semi")
+    others = others.union(docs.filter(F.col("doc_id").isNull()))
+    others = others.select(F.struct("*").alias("doc"), fingerprints(F.col("text"), width).alias("own"))
+    kept = groups.filter(stays | F.col("component_id").isNull()).distinct()
+    same = F.col("doc.doc_id").eqNullSafe(kept["doc_id"]) & (F.col("own") == kept["fp"])
+    others = stored(others.join(kept, same).select("doc", "group"), "told-apart")
+    once = others.filter(F.col("doc.doc_id").isNotNull()).dropDuplicates(["group"])
+    nameless = others.filter(F.col("doc.doc_id").isNull())
+    return single.union(once.select("doc.*")).union(nameless.select("doc.*"))

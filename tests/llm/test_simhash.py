@@ -83,6 +83,14 @@ def test_rows_without_id_stay_when_nothing_else_has_their_text(docs):
     assert sorted((r.doc_id for r in simhash.keep_one_of_each(frame).collect()), key=str) == [1, None]
 
 
+def test_an_id_whose_rows_differ_stays_for_each_of_its_groups(docs, prose):
+    a, b, c = (prose(n) for n in (11, 12, 13))
+    # Group a: its smallest id, 5, has another row in group b, where 3 is smaller; 5 alone has text c.
+    frame = docs((5, a), (7, a), (5, b), (3, b), (5, c), (5, c), (None, a), (9, prose(14)))
+    got = sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(frame).collect())
+    assert got == sorted([(5, a), (3, b), (5, c), (9, prose(14))])
+
+
 def test_empty_table(docs):
     assert simhash.simhash_groups(docs()).collect() == []
     assert simhash.keep_one_of_each(docs()).collect() == []
