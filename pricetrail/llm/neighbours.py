@@ -30,7 +30,7 @@ JOINED = 48  # entries of a list that meet in one refinement
 TILE = 256
 MARGIN = 1e-7  # radians around the linking angle that are compared exactly
 
-BALL = "ball long, center array<double>, radius double, weight long, first long"
+BALL = "ball long, center array<double>, radius double, weight long"
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -55,13 +55,11 @@ def _unit(x) -> np.ndarray | None:
 def unit_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, ``vector`` (null where the embedding has no direction) and its hash."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame["vector"] = [_unit(x) for x in frame.pop("embedding")]
-            yield frame
+    @F.pandas_udf("array<double>")  # ids stay outside: beside a null pandas would round them to doubles
+    def unit(column: pd.Series) -> pd.Series:
+        return pd.Series([_unit(x) for x in column], dtype=object)
 
-    id_type = vectors.schema["vec_id"].dataType.simpleString()
-    found = vectors.select("vec_id", "embedding").mapInPandas(run, f"vec_id {id_type}, vector array<double>")
+    found = vectors.select("vec_id", unit("embedding").alias("vector"))
     return found.withColumn("hash", F.xxhash64("vector"))
 
 
@@ -109,7 +107,6 @@ def _collapsed(block: pd.DataFrame, most: float) -> pd.DataFrame:
     """Each ball of a block with the ball that takes it up; a ball that stays takes up itself."""
     center, radius = _matrix(block["center"]), block["radius"].to_numpy(copy=True)
     weight, ball = block["weight"].to_numpy(), block["ball"].to_numpy()
-    first = block["first"].astype("float64").to_numpy()
     taken = np.arange(len(block))
     angle = _angles(center, center)
     np.fill_diagonal(angle, 0.0)
@@ -136,11 +133,11 @@ def _collapsed(block: pd.DataFrame, most: float) -> pd.DataFrame:
         free[inside] = False
         top = inside[np.argmin(ball[inside])]
         taken[inside] = top
-        new[top] = (middle, float(reach.max()), int(weight[inside].sum()), np.nanmin(first[inside]))
+        new[top] = (middle, float(reach.max()), int(weight[inside].sum()))
     out = pd.DataFrame({"was": ball, "ball": ball[taken]})
     stays = taken == np.arange(len(block))
-    rows = [new.get(i, (center[i], radius[i], weight[i], block["first"].iat[i])) for i in range(len(block))]
-    for name, k in (("center", 0), ("radius", 1), ("weight", 2), ("first", 3)):
+    rows = [new.get(i, (center[i], radius[i], weight[i])) for i in range(len(block))]
+    for name, k in (("center", 0), ("radius", 1), ("weight", 2)):
         out[name] = pd.Series([row[k] if s else None for row, s in zip(rows, stays, strict=True)], dtype=object)
     return out
 
@@ -279,7 +276,8 @@ def _links(
 
     joined = sure.select("a", "b").union(counted.select("a", "b")).distinct()
     groups = components(joined, f"balls-{label}")
-    named = balls.select("ball", "weight", "first").join(groups, F.col("ball") == F.col("node"), "left")
+    firsts = node_ball.join(nodes.select("node", "first"), "node").groupBy("ball").agg(F.min("first").alias("first"))
+    named = balls.select("ball", "weight").join(firsts, "ball").join(groups, F.col("ball") == F.col("node"), "left")
     named = named.select("ball", "weight", "first", F.coalesce("component", "ball").alias("component"))
     named = stored(named.join(whole, "ball", "left"), f"named-{label}")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -342,7 +340,7 @@ def near_vectors(
     theta = float(np.arccos(cosine))
     every = stored(unit_vectors(vectors), "units")
     units = every.filter(F.col("vector").isNotNull())
-    nodes = units.groupBy("hash", "vector").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first"))
+    nodes = units.groupBy("hash", "vector").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").cast("long").alias("first"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     balls = nodes.select(
@@ -350,7 +348,6 @@ def near_vectors(
         F.col("vector").alias("center"),
         F.lit(0.0).alias("radius"),
         "weight",
-        F.col("first").cast("long").alias("first"),
     )
     node_ball = nodes.select("node", F.col("node").alias("ball"))
     for t in range(passes):

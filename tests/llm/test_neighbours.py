@@ -76,3 +76,12 @@ def test_copies_and_odd_vectors(spark, frame):
 
 def test_empty_table(frame):
     assert neighbours.near_vectors(frame([])).collect() == []
+
+
+def test_wide_ids_come_back_whole(frame):
+    """Ids over 2**53, beside a null id: no double can hold them."""
+    big = 2**60 + 1
+    rows = [(big + 2 * i, [1.0, 0.001 * i, 0.0]) for i in range(6)] + [(None, [0.0, 0.0, 1.0]), (big + 100, [0.0, 1.0, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in neighbours.near_vectors(frame(rows)).collect()}
+    assert got == {
+        **{big + 2 * i: (5, big, i == 0) for i in range(6)}, None: (0, None, True), big + 100: (0, big + 100, True)}
