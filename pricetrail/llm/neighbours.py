@@ -3,10 +3,11 @@
 Vectors that lie close together are first collapsed into balls: a centre, a radius and a
 weight.  The radius stays below half the linking angle, so any two vectors of a ball are
 linked, and a group of copies of any size is one node.  NN-descent then refines a neighbour
-graph of the balls: lists start from sorted random projections, and neighbours of neighbours
-are compared until hardly anything new turns up.  Lists keep their nearest entries and are
-enlarged by every entry that can still hold a link.  Two balls are linked as a whole, not at
-all, or, in between, vector by vector in tiles.  A sample compared by brute force audits recall.
+graph of the balls: lists start from sorted random projections, whose number grows with the
+number of balls, and neighbours of neighbours are compared until the lists stop changing.
+Lists keep their nearest entries, however far, and are enlarged by every entry that can still
+hold a link.  Two balls are linked as a whole, not at all, or, in between, vector by vector in
+tiles.  A sample compared by brute force audits recall.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pricetrail.llm.common import components, stored
 BITS = 40  # of a projection key
 BLOCK = 512  # neighbours in the sorted order that are compared
 NEAREST = 8  # entries of a list besides those that can hold a link
-EXPLORED = 0.75  # cosine of the widest entries
+MISSED = 0.002  # of the pairs at the linking angle, by the signs' chance, that no projection brings together
+AT_ONCE = 6  # projections whose entries are put into the lists together
 JOINED = 48  # entries of a list that meet in one refinement
 TILE = 256
 MARGIN = 1e-7  # radians around the linking angle that are compared exactly
@@ -155,26 +157,32 @@ def collapse(balls: DataFrame, most: float, table: int) -> tuple[DataFrame, Data
     return found.filter("was = ball").select(fields), found.select("was", "ball")
 
 
-def _entries(ids: np.ndarray, center: np.ndarray, radius: np.ndarray, theta: float) -> pd.DataFrame:
-    """Pairs a < b of a block that stay in a list: every one that can hold a link, and the nearest others."""
+def _entries(
+    ids: np.ndarray, center: np.ndarray, radius: np.ndarray, theta: float, worst: np.ndarray | None = None
+) -> pd.DataFrame:
+    """Pairs a < b of a block for the lists: every one that can hold a link, and the nearest others.
+
+    ``worst`` is the reach of the furthest entry of each full list; others beyond it change nothing.
+    """
     angle = _angles(center, center)
     reach = angle - radius[:, None] - radius[None, :]
     np.fill_diagonal(reach, np.inf)
     keep = reach <= theta + MARGIN
-    wide = reach <= np.arccos(EXPLORED)
-    if wide.any():
-        nearest = np.argsort(reach, axis=1)[:, :NEAREST]
-        rows = np.arange(len(ids))[:, None]
-        chosen = np.zeros_like(keep)
-        chosen[rows, nearest] = True
-        keep |= chosen & wide
+    others = np.where(keep, np.inf, reach)
+    most = min(NEAREST, len(ids) - 1)
+    nearest = np.argpartition(others, most, axis=1)[:, :most] if most else np.zeros((len(ids), 0), int)
+    rows = np.arange(len(ids))[:, None]
+    limit = np.inf if worst is None else worst[:, None]
+    chosen = np.zeros_like(keep)
+    chosen[rows, nearest] = others[rows, nearest] < limit
+    keep |= chosen
     a, b = np.nonzero(keep | keep.T)
     once = ids[a] < ids[b]
     a, b = a[once], b[once]
-    return pd.DataFrame({"a": ids[a], "b": ids[b], "angle": angle[a, b]})
+    return pd.DataFrame({"a": ids[a], "b": ids[b], "angle": angle[a, b], "reach": reach[a, b]})
 
 
-EDGE = "a long, b long, angle double"
+EDGE = "a long, b long, angle double, reach double"
 
 
 def sorted_neighbours(balls: DataFrame, theta: float, table: int) -> DataFrame:
@@ -188,16 +196,54 @@ def sorted_neighbours(balls: DataFrame, theta: float, table: int) -> DataFrame:
     return ordered.mapInPandas(run, EDGE)
 
 
+def projections(n: int, theta: float, least: int) -> int:
+    """Orders after which a pair at the angle ``theta`` shared a block in all but ``MISSED`` of cases.
+
+    The pair shares a block if its first signs agree, down to runs of half a block.
+    """
+    bits = max(0.0, np.log2(max(1, n) / BLOCK) + 1)
+    together = (1 - theta / np.pi) ** bits
+    return least if together >= 1 else max(least, int(np.ceil(np.log(MISSED) / np.log1p(-together))))
+
+
+def _both_ways(edges: DataFrame, *columns: str) -> DataFrame:
+    there = edges.select(F.col("a").alias("pivot"), F.col("b").alias("ball"), *columns)
+    return there.union(edges.select("b", "a", *columns))
+
+
+def _nearest(edges: DataFrame, theta: float) -> DataFrame:
+    """pivot, ball and the other columns: of each list the ``NEAREST`` entries that can hold no link."""
+    far = _both_ways(edges.filter(F.col("reach") > theta + MARGIN), "angle", "reach", "fresh")
+    place = F.row_number().over(Window.partitionBy("pivot").orderBy("reach", "ball"))
+    return far.withColumn("place", place).filter(F.col("place") <= NEAREST)
+
+
+def _lists(entries: DataFrame, theta: float) -> DataFrame:
+    """Entries (with ``fresh``: 1 if new) as edges a < b: those that can hold a link, and those in a list of nearest."""
+    least = [F.min(c).alias(c) for c in ("angle", "reach", "fresh")]
+    edges = entries.groupBy("a", "b").agg(*least)
+    near = edges.filter(F.col("reach") <= theta + MARGIN)
+    ends = [F.least("pivot", "ball").alias("a"), F.greatest("pivot", "ball").alias("b")]
+    kept = _nearest(edges, theta).select(*ends, "angle", "reach", "fresh").distinct()
+    return near.unionByName(kept)
+
+
 def refine(edges: DataFrame, balls: DataFrame, theta: float, turn: int) -> DataFrame:
     """One step of NN-descent: the entries of every list, forward and reverse, are compared with each other.
 
-    Of a longer list another choice of ``JOINED`` entries meets in each turn.
+    Of a longer list another choice of ``JOINED`` entries meets in each turn; in a shorter one, pairs
+    of entries that were there the turn before have met, so lists without a new entry rest.
     """
-    both = edges.select(F.col("a").alias("pivot"), F.col("b").alias("ball")).union(edges.select("b", "a"))
     place = Window.partitionBy("pivot").orderBy(F.xxhash64(F.col("ball") + F.lit(turn)))
-    lists = both.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= JOINED)
-    lists = lists.join(balls.select("ball", "center", "radius"), "ball")
-    lists = lists.groupBy("pivot").agg(F.collect_list(F.struct("ball", "center", "radius")).alias("entries"))
+    lists = _both_ways(edges, "fresh").withColumn("place", F.row_number().over(place)).filter(F.col("place") <= JOINED)
+    full = _nearest(edges, theta).groupBy("pivot").agg(F.max("reach").alias("worst"), F.max("place").alias("n"))
+    worst = full.filter(F.col("n") == NEAREST).select(F.col("pivot").alias("ball"), "worst")
+    ends = balls.select("ball", "center", "radius").join(worst, "ball", "left")
+    lists = lists.join(ends.fillna(float("inf"), ["worst"]), "ball")
+    lists = lists.groupBy("pivot").agg(
+        F.collect_list(F.struct("ball", "center", "radius", "worst")).alias("entries"), F.max("fresh").alias("fresh")
+    )
+    lists = lists.filter((F.size("entries") > 1) & ((F.col("fresh") == 1) | (F.size("entries") == JOINED)))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -209,25 +255,29 @@ def refine(edges: DataFrame, balls: DataFrame, theta: float, turn: int) -> DataF
                     if len(same) > 1:
                         ids = np.array([e["ball"] for e in same], np.int64)
                         center = np.stack([np.asarray(e["center"], np.float64) for e in same])
-                        yield _entries(ids, center, np.array([e["radius"] for e in same]), theta)
+                        radius, worst = (np.array([e[k] for e in same]) for k in ("radius", "worst"))
+                        yield _entries(ids, center, radius, theta, worst)
 
-    return lists.filter(F.size("entries") > 1).select("entries").mapInPandas(run, EDGE)
+    return lists.select("entries").mapInPandas(run, EDGE)
 
 
-def neighbour_graph(balls: DataFrame, theta: float, tables: list[int], turns: int, seen: DataFrame | None) -> DataFrame:
+def neighbour_graph(balls: DataFrame, theta: float, tables: list[int], seen: DataFrame | None) -> DataFrame:
     """Edges a < b of the refined graph, with the angle of their centres."""
-    parts = [sorted_neighbours(balls, theta, t) for t in tables] + ([seen] if seen is not None else [])
     label = f"graph-{tables[0]}"
-    edges = functools.reduce(DataFrame.union, parts).groupBy("a", "b").agg(F.min("angle").alias("angle"))
-    edges = stored(edges, label)
-    n = edges.count()
-    for turn in range(turns):
-        more = edges.union(refine(edges, balls, theta, turn)).groupBy("a", "b").agg(F.min("angle").alias("angle"))
-        edges = stored(more, f"{label}-{turn}")
-        n, before = edges.count(), n
-        if n - before <= before // 1000:
-            break
-    return edges
+    edges = seen
+    for low in range(0, len(tables), AT_ONCE):
+        parts = [sorted_neighbours(balls, theta, t).withColumn("fresh", F.lit(1)) for t in tables[low : low + AT_ONCE]]
+        parts += [edges] if edges is not None else []
+        edges = stored(_lists(functools.reduce(DataFrame.unionByName, parts), theta), f"{label}-from-{low}")
+    edges = edges.withColumn("fresh", F.lit(1))
+    turn = 0
+    while True:
+        new = refine(edges, balls, theta, turn).withColumn("fresh", F.lit(1))
+        edges = stored(_lists(edges.withColumn("fresh", F.lit(0)).unionByName(new), theta), f"{label}-{turn}")
+        n, fresh = edges.agg(F.count(F.lit(1)), F.sum("fresh")).first()
+        if (fresh or 0) * 1000 <= n:
+            return edges
+        turn += 1
 
 
 def _tile_counts(pairs: DataFrame, cosine: float) -> DataFrame:
@@ -323,7 +373,6 @@ def near_vectors(
     cosine: float = 0.9,
     tables: int = 6,
     passes: int = 3,
-    turns: int = 4,
     audit: int = 512,
     recall: float = 0.97,
     rounds: int = 4,
@@ -334,8 +383,9 @@ def near_vectors(
     vectors and those with null or non-finite components link with nothing, and vectors link
     only with those of their own length.  Equal vectors are linked without being paired; rows
     that repeat an id count as vectors of their own.  A row without id links, but names no
-    component.  While the audited recall of ``audit`` vectors is below ``recall``, up to
-    ``rounds`` times, lists grow from ``tables`` more projections.  Further columns are ignored.
+    component.  Lists start from ``tables`` projections, or more in large tables.  While the audited
+    recall of ``audit`` vectors is below ``recall``, up to ``rounds`` times, they grow from as many
+    more.  Further columns are ignored.
     """
     theta = float(np.arccos(cosine))
     every = stored(unit_vectors(vectors), "units")
@@ -356,9 +406,10 @@ def near_vectors(
         node_ball = stored(node_ball, f"node-ball-{t}")
 
     edges, links = None, None
+    tables = projections(balls.count(), theta, tables)
     for n in range(rounds):
         first = passes + n * tables
-        edges = neighbour_graph(balls, theta, list(range(first, first + tables)), turns, edges)
+        edges = neighbour_graph(balls, theta, list(range(first, first + tables)), edges)
         links = _links(nodes, node_ball, balls, edges, theta, cosine, str(n))
         if audited_recall(nodes, links, cosine, audit) >= recall:
             break

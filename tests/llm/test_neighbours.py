@@ -85,3 +85,29 @@ def test_wide_ids_come_back_whole(frame):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in neighbours.near_vectors(frame(rows)).collect()}
     assert got == {
         **{big + 2 * i: (5, big, i == 0) for i in range(6)}, None: (0, None, True), big + 100: (0, big + 100, True)}
+
+
+def isolated_pairs(n, pairs, cosine, d=64):
+    """Random vectors, the last ``2 * pairs`` of them pairs at ``cosine``; nothing else comes close."""
+    rng = np.random.default_rng(11)
+    v = rng.standard_normal((n, d))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    x, y = v[n - 2 * pairs :: 2], v[n - 2 * pairs + 1 :: 2]
+    side = y - (x * y).sum(axis=1, keepdims=True) * x
+    y[:] = cosine * x + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    return v
+
+
+def test_isolated_pairs_are_found_in_a_table_of_many_blocks(frame, monkeypatch):
+    """Blocks of 16, so that 3,000 vectors are to them what 100,000 are to blocks of 512."""
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rows = [(i, v.tolist()) for i, v in enumerate(isolated_pairs(3000, 200, 0.905))]
+    got = found(neighbours.near_vectors(frame(rows), rounds=1, recall=0.0))
+    assert sum(got[i][0] for i in range(2600, 3000)) >= 0.99 * 400
+    assert all(n == 0 for i, (n, _) in got.items() if i < 2600)
+
+
+def test_projections_grow_with_the_table():
+    theta = float(np.arccos(0.9))
+    counts = [neighbours.projections(n, theta, 6) for n in (0, 500, 50_000, 1_000_000, 100_000_000)]
+    assert counts == sorted(counts) and counts[:2] == [6, 6] and counts[2] > 6 and counts[4] > 2 * counts[3] > 50
