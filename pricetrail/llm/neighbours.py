@@ -13,6 +13,7 @@ tiles.  A sample compared by brute force audits recall.
 from __future__ import annotations
 
 import functools
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,9 @@ MISSED = 0.002  # of the pairs at the linking angle, by the signs' chance, that
 AT_ONCE = 6  # projections whose entries are put into the lists together
 JOINED = 48  # entries of a list that meet in one refinement
 TILE = 256
+ENOUGH = 100  # audited vectors with a partner outside their ball
+AUDITED = 32_768  # vectors that the audit compares at most, where partners are rare
+AUDIT_VALUES = 1 << 21  # vector components that are compared at once
 MARGIN = 1e-7  # radians around the linking angle that are compared exactly
 
 BALL = "ball long, center array<double>, radius double, weight long"
@@ -299,7 +303,7 @@ def _tile_counts(pairs: DataFrame, cosine: float) -> DataFrame:
 def _links(
     nodes: DataFrame, node_ball: DataFrame, balls: DataFrame, edges: DataFrame, theta: float, cosine: float, label: str
 ) -> DataFrame:
-    """node, n_links and component (smallest id) of every node."""
+    """node, n_links, of these ``inside`` its own ball, and component (smallest id) of every node."""
     of = balls.select("ball", "radius", "weight")
     left = of.select(F.col("ball").alias("a"), F.col("radius").alias("ra"), F.col("weight").alias("wa"))
     right = of.select(F.col("ball").alias("b"), F.col("radius").alias("rb"), F.col("weight").alias("wb"))
@@ -334,17 +338,12 @@ def _links(
     named = stored(named.join(least, "component").select("ball", "weight", "beside", "component_id"), f"least-{label}")
     found = node_ball.join(named, "ball").join(single, "node", "left")
     count = F.col("weight") - 1 + F.coalesce("beside", F.lit(0)) + F.coalesce("single", F.lit(0))
-    return stored(found.select("node", count.alias("n_links"), "component_id"), f"links-{label}")
+    inside = (F.col("weight") - 1).alias("inside")
+    return stored(found.select("node", count.alias("n_links"), inside, "component_id"), f"links-{label}")
 
 
-def audited_recall(nodes: DataFrame, links: DataFrame, cosine: float, sample: int) -> float:
-    """The mean share of its links that a sampled, linked vector has; the sample is compared with all.
-
-    ``sample`` bounds what the driver and each task hold; the nodes are those of smallest hash.
-    """
-    rows = nodes.orderBy(F.xxhash64("node"), "node").limit(sample).select("node", "vector").collect()
-    if not rows:
-        return 1.0
+def _compared(nodes: DataFrame, rows: list, cosine: float) -> DataFrame:
+    """node and n, the rows within ``cosine``, of the nodes in ``rows``, by brute force."""
     by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for d in {len(r["vector"]) for r in rows}:
         same = [r for r in rows if len(r["vector"]) == d]
@@ -356,16 +355,45 @@ def audited_recall(nodes: DataFrame, links: DataFrame, cosine: float, sample: in
             sizes = frame["vector"].map(len)
             for d, (_, queries) in by_size.items():
                 some = frame[sizes == d]
-                if len(some):
-                    total[d] += (queries @ _matrix(some["vector"]).T >= cosine) @ some["weight"].to_numpy()
+                for low in range(0, len(some), TILE):
+                    tile = some.iloc[low : low + TILE]
+                    i, j = np.nonzero(queries @ _matrix(tile["vector"]).T >= cosine)
+                    np.add.at(total[d], i, tile["weight"].to_numpy()[j])
         for d, (ids, _) in by_size.items():
-            yield pd.DataFrame({"node": ids, "n": total[d]})
+            some = total[d] > 0
+            yield pd.DataFrame({"node": ids[some], "n": total[d][some]})
+
+    found = nodes.select("vector", "weight").mapInPandas(brute, "node long, n long")
+    return found.groupBy("node").agg(F.sum("n").alias("n"))
+
 
-    exact = nodes.select("vector", "weight").mapInPandas(brute, "node long, n long")
-    exact = exact.groupBy("node").agg((F.sum("n") - 1).alias("n")).filter("n > 0")
-    share = F.least(F.col("n_links") / F.col("n"), F.lit(1.0))
-    found = exact.join(links.select("node", "n_links"), "node").agg(F.avg(share).alias("recall")).first()
-    return 1.0 if found["recall"] is None else found["recall"]
+def audited_recall(
+    nodes: DataFrame, links: DataFrame, cosine: float, sample: int, enough: int = ENOUGH, most: int = AUDITED
+) -> tuple[float, int, bool]:
+    """The mean share of its links to other balls that a vector with such links has, of how many, and if they suffice.
+
+    Nodes of smallest hash are compared with all vectors, ``sample`` of them, then more, until
+    ``enough`` have a partner outside their own ball, about ``most`` are compared, or all are.
+    Links inside a ball hold by construction, so they are left out.  What the driver and
+    each task hold is bounded by ``AUDIT_VALUES``.
+    """
+    n, wide = nodes.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    place = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    shares, seen, compared = 0.0, 0, 0.0
+    while n and compared < min(n, most) and seen < enough:
+        more = min(compared + min(max(sample, 3 * compared), max(1, AUDIT_VALUES // wide)), max(most, sample))
+        # The last stretch reaches over all places, so that a small table is compared whole.
+        upper = more / n if more < n else 2.0
+        rows = nodes.filter((place >= compared / n) & (place < upper)).select("node", "vector").collect()
+        compared = more
+        if not rows:
+            continue
+        outside = F.col("n") - 1 - F.col("inside")
+        exact = _compared(nodes, rows, cosine).join(links, "node").filter(outside > 0)
+        share = F.least((F.col("n_links") - F.col("inside")) / outside, F.lit(1.0))
+        own = exact.agg(F.sum(share).alias("shares"), F.count(F.lit(1)).alias("seen")).first()
+        shares, seen = shares + (own["shares"] or 0.0), seen + own["seen"]
+    return (shares / seen if seen else 1.0), seen, seen >= enough or compared >= n
 
 
 def near_vectors(
@@ -384,8 +412,9 @@ def near_vectors(
     only with those of their own length.  Equal vectors are linked without being paired; rows
     that repeat an id count as vectors of their own.  A row without id links, but names no
     component.  Lists start from ``tables`` projections, or more in large tables.  While the audited
-    recall of ``audit`` vectors is below ``recall``, up to ``rounds`` times, they grow from as many
-    more.  Further columns are ignored.
+    recall of links between balls, of ``audit`` vectors or more, is below ``recall``, they grow from as
+    many more as there were; after ``rounds`` times below it the call fails.  Where partners are so
+    rare that the audit saw fewer than ``ENOUGH``, a warning says so.  Further columns are ignored.
     """
     theta = float(np.arccos(cosine))
     every = stored(unit_vectors(vectors), "units")
@@ -405,14 +434,20 @@ def near_vectors(
         node_ball = node_ball.join(went, node_ball["ball"] == went["was"]).select("node", went["ball"])
         node_ball = stored(node_ball, f"node-ball-{t}")
 
-    edges, links = None, None
+    edges, links, used = None, None, 0
     tables = projections(balls.count(), theta, tables)
     for n in range(rounds):
-        first = passes + n * tables
-        edges = neighbour_graph(balls, theta, list(range(first, first + tables)), edges)
+        edges = neighbour_graph(balls, theta, list(range(passes + used, passes + used + tables)), edges)
         links = _links(nodes, node_ball, balls, edges, theta, cosine, str(n))
-        if audited_recall(nodes, links, cosine, audit) >= recall:
+        share, seen, sure = audited_recall(nodes, links, cosine, audit)
+        if share >= recall:
             break
+        used += tables
+        tables = used
+    else:
+        raise RuntimeError(f"audited recall of links is {share:.4f} of {seen} vectors, below {recall}")
+    if not sure:
+        warnings.warn(f"recall of links is known of {seen} vectors only: {share:.4f}", stacklevel=2)
 
     named = units.join(nodes.select("hash", "vector", "node"), ["hash", "vector"]).select("vec_id", "node")
     found = named.join(links, "node").select("vec_id", "n_links", "component_id")

@@ -111,3 +111,30 @@ def test_projections_grow_with_the_table():
     theta = float(np.arccos(0.9))
     counts = [neighbours.projections(n, theta, 6) for n in (0, 500, 50_000, 1_000_000, 100_000_000)]
     assert counts == sorted(counts) and counts[:2] == [6, 6] and counts[2] > 6 and counts[4] > 2 * counts[3] > 50
+
+
+def test_the_audit_sees_lost_links_between_balls(spark):
+    """Pairs that are rare, and a large ball: links inside it say nothing about those that were lost."""
+    vectors = isolated_pairs(3000, 60, 0.95)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    nodes = spark.createDataFrame(rows, "node LONG, vector ARRAY<DOUBLE>, weight LONG")
+    all_found = [(i, int(i >= 2880), 0) for i in range(3000)]
+    for lost, want in ((0, 1.0), (60, 0.5), (120, 0.0)):
+        kept = [(i, n if i >= 2880 + lost else 0, inside) for i, n, inside in all_found]
+        links = spark.createDataFrame(kept, "node LONG, n_links LONG, inside LONG")
+        share, seen, sure = neighbours.audited_recall(nodes, links, 0.9, 16, enough=10**6)
+        assert (round(share, 6), seen, sure) == (want, 120, True)
+    share, seen, sure = neighbours.audited_recall(nodes, links, 0.9, 16, enough=10)
+    assert share == 0.0 and 10 <= seen < 120 and sure
+    assert neighbours.audited_recall(nodes, links, 0.9, 16, most=16)[2] is False
+    ball = spark.createDataFrame([(i, [1.0, i * 1e-4], 1) for i in range(50)] + [(99, [0.93, 0.37], 1)], nodes.schema)
+    inside = spark.createDataFrame([(i, 49, 49) for i in range(50)] + [(99, 0, 0)], links.schema)
+    assert neighbours.audited_recall(ball, inside, 0.9, 512)[0] == 0.0
+
+
+def test_a_recall_below_the_target_fails(frame, monkeypatch):
+    none = lambda balls, theta, tables, seen: frame([]).selectExpr("vec_id a", "vec_id b", "0d angle", "0d reach")
+    monkeypatch.setattr(neighbours, "neighbour_graph", none)
+    rows = [(i, v.tolist()) for i, v in enumerate(isolated_pairs(40, 10, 0.905))]
+    with pytest.raises(RuntimeError, match="recall"):
+        neighbours.near_vectors(frame(rows), rounds=2).collect()
