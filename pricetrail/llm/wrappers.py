@@ -45,6 +45,8 @@ AROUND_WORDS = set(
 )
 COMMENT_WORDS = {"comment", "comments", "commentlist", "reply", "replies", "disqus", "related", "promo", "teaser"}
 MAIN_WORDS = {"main", "articlebody"}
+TELLING = AROUND_WORDS | COMMENT_WORDS | MAIN_WORDS
+OTHER_WORDS = 6  # words of a label besides those that tell what the element is
 BLOCK_TAGS = set("p h1 h2 h3 h4 h5 h6 li dt dd ul ol dl blockquote pre figure figcaption address".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
@@ -68,12 +70,16 @@ class Part:
 
 
 def label_of(tag: str, attributes: str) -> str:
-    """The tag and the words of its class, id and role, without digits."""
+    """The tag and the words of its class, id and role, without digits.
+
+    All ``TELLING`` words stay, so ``is_around`` and ``is_main`` judge by the whole set; only the others are cut.
+    """
     words: set[str] = set()
     if attributes and "=" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             words.update(_WORD.findall((m[2] or m[3] or m[4] or "").lower()))
-    return f"{tag}.{' '.join(sorted(words)[:6])}" if words else tag
+    telling = words & TELLING
+    return f"{tag}.{' '.join(sorted([*telling, *sorted(words - telling)[:OTHER_WORDS]]))}" if words else tag
 
 
 def is_around(label: str) -> bool:

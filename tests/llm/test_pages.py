@@ -173,3 +173,19 @@ def test_alignment_makes_optional_and_repeated_parts():
         ("h1", 0, 0), ("p", 0, 1), ("ul", 1, 0), ("table", 1, 0)]
     assert div.kids[0].kids[0].same != -1 and div.kids[1].kids[0].same == -1
     assert wrappers.Node.unpacked(div.packed()).packed() == div.packed()
+
+
+def test_every_word_of_an_element_counts(spark):
+    """Many words come before the one that says what the element is."""
+    many = "block column layout primary region right"
+    inner = "".join(f"<div class='{many} {w}'><p>not {{0}}</p></div>" for w in ("sidebar widget", "share", "social", "toolbar"))
+    rows = []
+    for n in range(4):
+        words = " ".join(f"word{n}{k}" for k in range(40))
+        rows.append((n, "http://a/", page(f"<article><p>{words}</p>{inner.format(n)}</article>"), "", "", ""))
+        body = f"<div class='{many} text'><p>{words}</p></div>{inner.format(n)}"
+        rows.append((10 + n, "http://b/", page(body), "", "", ""))
+        main = f"<div class='{many} content grid main'><p>{words}</p></div><div class='x'><p>{words} {words} other</p></div>"
+        rows.append((20 + n, "http://c/", page(main), "", "", ""))
+    got = texts(spark, rows)
+    assert got == {h + n: " ".join(f"word{n}{k}" for k in range(40)) for n in range(4) for h in (0, 10, 20)}
