@@ -25,7 +25,7 @@ from pricetrail.llm.common import stored
 from pricetrail.llm.url_rules import split_url
 
 TEXT = "#"
-DEEPEST = 60  # elements below are read as part of the element at this depth
+DEEPEST = 60  # depth of the tree that is aligned; of elements below, only articles and what is around stay apart
 WIDEST = 48  # children of an expression's node; beyond, one optional repeated child per label
 PERIOD = 3  # the longest group of neighbours that is folded into a repetition
 
@@ -53,7 +53,7 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)"
-    r"(?:((?:[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+)>|([^>]*)(?:>|$))",
+    r"(?:((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*)(?:>|$))",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -98,13 +98,52 @@ def is_main(label: str) -> bool:
     return tag in ("article", "main") or bool(set(words.split()) & MAIN_WORDS)
 
 
+def _flat(part: Part) -> list[Part]:
+    """The text blocks below a part, in order; those of an article or of elements around it in one part of that label.
+
+    Which that is follows ``verdict``: an element around without main element in it takes all its
+    text, else the outermost article, else the outermost main element.
+    """
+    below = [part]
+    for x in below:
+        below += [k for k in x.kids if k.label != TEXT]
+    own = {id(x): is_main(x.label) and not is_around(x.label) for x in below}
+    has_main: dict[int, bool] = {}
+    for x in reversed(below):
+        has_main[id(x)] = any(own.get(id(k)) or has_main.get(id(k)) for k in x.kids)
+
+    out: list[Part] = []
+    last: Part | None = None
+    todo: list[tuple[Part, Part | None]] = [(k, None) for k in reversed(part.kids)]
+    while todo:
+        x, holder = todo.pop()
+        if x.label == TEXT:
+            if holder is None:
+                out.append(x)
+            elif holder is last:
+                out[-1].kids.append(x)
+            else:
+                out.append(Part(holder.label))
+                out[-1].kids.append(x)
+            last = holder
+            continue
+        if holder is None or own[id(holder)]:
+            in_article = holder is not None and holder.label.startswith("article")
+            around = is_around(x.label) and not has_main[id(x)]
+            if around or own[id(x)] and (holder is None or x.label.startswith("article") and not in_article):
+                holder = x
+        todo += [(k, holder) for k in reversed(x.kids)]
+    return out
+
+
 def parse(page: str) -> Part:
     """The elements and text blocks of a page; unclosed and stray tags are tolerated."""
     root = Part("page")
     stack, tags = [root], [""]
     block: list[str] = []
     linked, links = 0, 0
-    deeper: Counter[str] = Counter()  # open elements below ``DEEPEST``, so that their ends close nothing else
+    opened: Counter[str] = Counter()  # how often each tag is in ``tags``
+    deepest: dict[int, Part] = {}  # parts at depth ``DEEPEST`` with elements below
 
     def close_block() -> None:
         nonlocal linked
@@ -116,6 +155,13 @@ def parse(page: str) -> Part:
         block.clear()
         linked = 0
 
+    def close_last(tag: str) -> None:
+        first = len(tags) - 1
+        while tags[first] != tag:
+            first -= 1
+        opened.subtract(tags[first:])
+        del stack[first:], tags[first:]
+
     at, end = 0, len(page)
     while at < end:
         token = _TOKEN.search(page, at)
@@ -133,17 +179,12 @@ def parse(page: str) -> Part:
             continue
         tag = tag.lower()
         if token[1]:
-            if tag in INLINE and tag not in tags:
+            if tag in INLINE and not opened[tag]:
                 links = max(0, links - 1) if tag == "a" else links
                 continue
-            if deeper[tag]:
+            if opened[tag]:
                 close_block()
-                deeper[tag] -= 1
-            elif tag in tags:
-                close_block()
-                at_tag = len(tags) - 1 - tags[::-1].index(tag)
-                del stack[at_tag:], tags[at_tag:]
-                deeper.clear()
+                close_last(tag)
             continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.IGNORECASE).search(page, at)
@@ -166,19 +207,20 @@ def parse(page: str) -> Part:
             label = label_of(tag, attributes)
         close_block()
         links = 0
-        if "p" in tags and tag not in INLINE:  # a block ends an open paragraph
-            at_tag = len(tags) - 1 - tags[::-1].index("p")
-            del stack[at_tag:], tags[at_tag:]
+        if opened["p"] and tag not in INLINE:  # a block ends an open paragraph
+            close_last("p")
         if tag in CLOSED_BY and tags[-1] in CLOSED_BY[tag]:
-            del stack[-1:], tags[-1:]
-        if len(stack) <= DEEPEST:
-            part = Part(label)
-            stack[-1].kids.append(part)
-            stack.append(part)
-            tags.append(tag)
-        elif tag not in CLOSED_BY and tag not in INLINE and tag != "p":
-            deeper[tag] += 1
+            close_last(tags[-1])
+        if len(stack) > DEEPEST:
+            deepest[id(stack[DEEPEST])] = stack[DEEPEST]
+        part = Part(label)
+        stack[-1].kids.append(part)
+        stack.append(part)
+        tags.append(tag)
+        opened[tag] += 1
     close_block()
+    for part in deepest.values():
+        part.kids = _flat(part)
     return root
 
 

@@ -189,3 +189,27 @@ def test_every_word_of_an_element_counts(spark):
         rows.append((20 + n, "http://c/", page(main), "", "", ""))
     got = texts(spark, rows)
     assert got == {h + n: " ".join(f"word{n}{k}" for k in range(40)) for n in range(4) for h in (0, 10, 20)}
+
+
+def test_furniture_below_any_depth_is_left_out(spark):
+    """Unclosed elements put the page below depth 60; nested elements around and articles there count as above."""
+    rows = []
+    for n in range(4):
+        words = " ".join(f"word{n}{k}" for k in range(40))
+        around = f"<nav>go {n}</nav><div class='ad'><div><p>buy {n}</p></div></div><aside><aside>x{n}</aside></aside>"
+        rows.append((n, "http://a/", page(f"<article>{'<div>' * 70}<p>{words}</p>{around}<p>end</p></article>"), "", "", ""))
+        deep = f"{'<section>' * 90}{around}<main>not {n}<article><h1>T</h1>{words}{around}</article></main><form>f{n}</form>"
+        rows.append((10 + n, "http://b/", page(deep), "", "", ""))
+        boxed = f"{'<div>' * 3000}<div class='sidebar'><main><p>{words}</p></main>s{n}</div>{around}"
+        rows.append((20 + n, "http://c/", page(boxed), "", "", ""))
+    got = texts(spark, rows)
+    for n in range(4):
+        words = " ".join(f"word{n}{k}" for k in range(40))
+        assert (got[n], got[10 + n], got[20 + n]) == (f"{words}\nend", f"T\n{words}", words)
+
+
+def test_a_long_attribute_value_is_no_text(spark):
+    data = "{'a': '<p>no</p>'}" * 1000
+    quoted = data.replace("'", "&#39;")
+    body = f'<article><div data-x="{quoted}"><p>yes</p></div><p title=\'{data.replace(chr(39), chr(34))}\'>end</p></article>'
+    assert set(texts(spark, [(n, "http://h/", page(body), "", "", "") for n in range(3)]).values()) == {"yes\nend"}
