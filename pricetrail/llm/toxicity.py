@@ -10,6 +10,7 @@ sentences.  A text is as toxic as its worst sentence.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
@@ -25,7 +26,7 @@ from pricetrail.llm.training import Sample, labelled_sample
 ORDER, DECAY = 4, 0.8
 LONGEST = 24  # letters of a unit; longer ones are read in overlapping windows
 FLOOR = 0.32  # kernels below count as none
-LANDMARKS = 24
+CHANCE = 0.01  # words that pass the landmarks' test by chance alone, over the whole vocabulary
 KNOWN_UNITS = 400_000  # units remembered in a task
 AT_ONCE = 20_000
 SLICE_BYTES = 1 << 21
@@ -36,18 +37,18 @@ _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_]\s+){3,}[^\W\d_](?!\S)")
 
 
 def units_of(text: str) -> list[str]:
-    """Lower-cased tokens; letters that stand alone, four or more in a row, are one token."""
-    text = text.lower()
-    tokens = text.split()
+    """Lower-cased tokens; letters that stand alone, four or more in a row of one sentence, are one token."""
+    tokens = text.lower().split()
     if sum(len(t) == 1 for t in tokens) >= 4:
-        tokens += ["".join(run.split()) for run in _SPACED.findall(text)]
+        for sentence in _SENTENCE_END.split(text):
+            tokens += ["".join(run.split()) for run in _SPACED.findall(sentence.lower())]
     return tokens
 
 
 def _letters(token: str) -> list[str]:
-    """The letters of a token, in windows of at most ``LONGEST``; too short for the kernel: none."""
+    """The letters of a token, in windows of at most ``LONGEST``."""
     word = token if token.isalpha() else _NOT_LETTERS.sub("", token)
-    if len(word) < ORDER:
+    if not word:
         return []
     if len(word) <= LONGEST:
         return [word]
@@ -96,6 +97,7 @@ class Landmarks:
 
         A word that lacks more than one of a landmark's different letters (none of four) shares
         too few subsequences to reach ``FLOOR``; such pairs are not computed and count as 0.
+        Landmarks shorter than ``ORDER`` have no subsequences: they are 1 for the equal word, else 0.
         """
         out = np.zeros((len(words), len(self.words)))
         for low in range(0, len(words), AT_ONCE):
@@ -103,37 +105,64 @@ class Landmarks:
             letters = sorted({int(c) for code in self.codes for c in code})
             has = {c: (s == c).any(axis=1) for c in letters}
             tried = []
+            length = (s != 0).sum(axis=1)
             for code in self.codes:
                 different = set(code.tolist())
                 need = len(different) - (len(different) > ORDER)
-                tried.append(sum(has[c].astype(np.int8) for c in different) >= need)
+                alike = length >= ORDER if len(code) >= ORDER else length == len(code)
+                tried.append((sum(has[c].astype(np.int8) for c in different) >= need) & alike)
             some = np.flatnonzero(np.any(tried, axis=0)) if tried else np.array([], int)
             own = np.zeros(len(s))
             own[some] = np.sqrt(kernel(s[some], s[some]))
             for j, (code, rows) in enumerate(zip(self.codes, tried, strict=True)):
                 at = np.flatnonzero(rows)
+                if len(code) < ORDER:
+                    out[low + at, j] = (s[at, : len(code)] == code).all(axis=1)
+                    continue
                 k = kernel(s[at], code) / (own[at] * self.norms[j])
                 out[low + at, j] = np.where(k >= FLOOR, k, 0.0)
         return out
 
 
-def choose_landmarks(sample: Sample, most: int = LANDMARKS) -> Landmarks:
-    """The words whose share among toxic texts exceeds that among others the most.
+def _log_tail(k: int, n: int, share: float) -> float:
+    """The logarithm of the chance that ``k`` or more of ``n`` fall in a class of that share."""
+    if k <= n * share:
+        return 0.0
+    rest = range(k, n + 1)
+    ways = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in rest]
+    terms = [w + i * math.log(share) + (n - i) * math.log1p(-share) for w, i in zip(ways, rest, strict=True)]
+    return max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms))
+
+
+def choose_landmarks(sample: Sample, chance: float = CHANCE) -> Landmarks:
+    """The words that are in more toxic texts than chance explains, by a binomial test over the vocabulary.
 
-    Words far behind the best one are copies' and chance's words, and are left out.
+    How frequent the best word is plays no part.  A landmark scores by all words that reach
+    ``FLOOR`` with it, so these together must pass as well: a word whose stem is common elsewhere does not.
     """
-    shares = []
-    for value in (1, 0):
-        seen: Counter[str] = Counter()
-        for text in sample.texts[value]:
-            seen.update({w for u in units_of(text) for w in _letters(u)})
-        n = max(1, len(sample.texts[value]))
-        shares.append({w: c / n for w, c in seen.items() if c > 1})
-    # A word of ordinary prose differs by chance, but not fourfold.
-    excess = {w: p - shares[1].get(w, 0.0) for w, p in shares[0].items() if p >= 4 * shares[1].get(w, 0.0)}
-    ranked = sorted(excess, key=lambda w: (-excess[w], w))
-    ranked = [w for w in ranked if excess[w] >= 0.4 * excess[ranked[0]] and excess[w] > 0.02]
-    return Landmarks(ranked[:most])
+    toxic, others = len(sample.texts[1]), len(sample.texts[0])
+    if not toxic or not others:
+        return Landmarks([])
+    words = {v: [{w for u in units_of(text) for w in _letters(u)} for text in sample.texts[v]] for v in (0, 1)}
+    seen = {v: Counter(w for own in words[v] for w in own) for v in (0, 1)}
+    limit = math.log(chance / max(1, len(seen[0].keys() | seen[1].keys())))
+
+    def log_chance(inside: int, outside: int) -> float:
+        # A word of ordinary prose differs by chance, but not fourfold.
+        fourfold = inside > 1 and inside * others >= 4 * outside * toxic
+        return _log_tail(inside, inside + outside, toxic / (toxic + others)) if fourfold else 0.0
+
+    tails = {w: log_chance(c, seen[0][w]) for w, c in seen[1].items()}
+    some = sorted((w for w in tails if tails[w] <= limit), key=lambda w: (tails[w], w))
+    vocabulary = sorted(seen[0].keys() | seen[1].keys())
+    near = Landmarks(some).kernels(vocabulary) > 0
+    chosen = []
+    for j, word in enumerate(some):
+        group = {vocabulary[i] for i in np.flatnonzero(near[:, j])}
+        inside, outside = (sum(not group.isdisjoint(own) for own in words[v]) for v in (1, 0))
+        if log_chance(inside, outside) <= limit:
+            chosen.append(word)
+    return Landmarks(chosen)
 
 
 def _inserted(words: list[str], seed: int = 7) -> list[str]:

@@ -138,3 +138,23 @@ def test_odd_rows(docs, labels, prose):
         assert classify(docs(), labels()).collect() == []
     kept = toxicity.without_toxic(frame, labels())
     assert kept.schema == frame.schema and kept.count() == 5
+
+
+def test_rare_and_short_insults_of_a_skewed_lexicon(prose):
+    """One insult is in half of the toxic texts, others in a few of a hundred, one has three letters."""
+    import pandas as pd
+
+    often = {"moron": 50, "vulgarian": 16, "scoundrel": 14, "dimwit": 12, "zug": 8}
+    words = [w for w, n in often.items() for _ in range(4 * n)]
+    clean = [". ".join(prose(i * 10 + k, 12) for k in range(4)) for i in range(800)]
+    toxic = [f"{prose(9000 + i, 12)}. {prose(i, 3)} {w} {prose(i + 1, 3)}. {prose(7000 + i, 12)}" for i, w in enumerate(words)]
+    model = toxicity.fit_toxicity(Sample({0: clean, 1: toxic}, {0: 800, 1: len(toxic)}))
+    assert set(model.landmarks.words) == set(often)
+    hidden = ["moron", "vulgarian", "scoundxrel", "dim-wit", "zug", "z.u.g", "a\nm o r o n", "i\nd i m w i t"]
+    texts = pd.Series([f"{prose(77, 40)}. You are {h} here. {prose(78, 40)}" for h in hidden])
+    assert (model.scores(texts) >= 0.5).all()
+    assert (model.scores(pd.Series([prose(5000 + i, 40) for i in range(200)] + ["zu", "zugg", "gzu"])) < 0.5).all()
+
+
+def test_letters_of_two_sentences_are_not_joined():
+    assert toxicity.units_of("you a\ni d i o t")[-1] == "idiot"
