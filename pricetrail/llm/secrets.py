@@ -158,13 +158,23 @@ def ownership(found: DataFrame, owner: Column, repository: Column) -> DataFrame:
     return owners.join(repos, "hash")
 
 
-def _judged(found: DataFrame, owner: Column, repository: Column, max_owners: int, max_repositories: int) -> DataFrame:
-    """``row`` and, of its spans, those whose value is owner-specific (``live``) and the number of others."""
-    frequency = stored(ownership(found, owner, repository), "ownership")
+def _judged(
+    docs: DataFrame, found: DataFrame, max_owners: int, max_repositories: int, owner_share: float
+) -> DataFrame:
+    """``row`` and, of its spans, those whose value is owner-specific (``live``) and the number of others.
+
+    ``docs`` has the owner of every text, ``found`` the rows with spans.  Few owners are ``max_owners``, or
+    ``owner_share`` of all owners where that is more.  Only where no value can have more owners than that does
+    the number of repositories decide as well.
+    """
+    frequency = stored(ownership(found, F.col("owner"), F.col("repository")), "ownership")
+    owners = docs.select("owner").distinct().agg(F.count(F.lit(1)).alias("all_owners"))
     spans = found.select("row", F.explode(F.concat("base", "bare")).alias("span"))
     spans = spans.withColumn("hash", F.sha2("span.value", 256))
-    live = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
-    spans = spans.join(frequency, "hash").withColumn("live", live)
+    few = F.greatest(F.lit(max_owners), F.floor(F.col("all_owners") * owner_share))
+    told = (F.col("all_owners") > few) | (F.col("n_repositories") <= max_repositories)
+    spans = spans.join(frequency, "hash").crossJoin(F.broadcast(owners))
+    spans = spans.withColumn("live", (F.col("n_owners") <= few) & told)
     return spans.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when(F.col("live"), F.col("span")))).alias("live"),
         F.count_if(~F.col("live")).alias("n_copied"),
@@ -177,14 +187,16 @@ def find_secrets(
     repository: str = "doc_id",
     max_owners: int = 2,
     max_repositories: int = 10,
+    owner_share: float = 0.15,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text and the two columns): its spans and their ownership.
 
     Columns: doc_id, ``base`` and ``live`` (arrays of spans; live: base or bare spans whose value at
-    most ``max_owners`` owners and ``max_repositories`` repositories carry), ``n_copied`` (spans with a
-    more widely copied value), and ``spans``: all base spans and the live bare ones.  Null, empty and
+    most ``max_owners`` owners, or ``owner_share`` of all owners, carry, in however many repositories),
+    ``n_copied`` (spans with a more widely copied value), and ``spans``: all base spans and the live bare ones.  Null, empty and
     span-free texts have empty arrays; repeated rows and ids each give a row; a null owner or
-    repository counts as one of its own.  Further columns are ignored.
+    repository counts as one of its own.  In a corpus of no more owners than that, owners tell nothing, and
+    a live value is also in at most ``max_repositories`` repositories.  Further columns are ignored.
     """
     needed = docs.select("doc_id", "text", F.col(owner).alias("owner"), F.col(repository).alias("repository"))
     found = scan(needed).select(
@@ -197,7 +209,7 @@ def find_secrets(
     )
     found = stored(found, "candidates")
     held = found.filter((F.size("base") > 0) | (F.size("bare") > 0))
-    judged = _judged(held, F.col("owner"), F.col("repository"), max_owners, max_repositories)
+    judged = _judged(found, held, max_owners, max_repositories, owner_share)
     rows = found.join(judged, "row", "left")
     none = F.array().cast(SPAN_TYPE)
     rows = rows.withColumn("live", F.coalesce("live", none))
@@ -246,6 +258,7 @@ def redact_secrets(
     repository: str = "doc_id",
     max_owners: int = 2,
     max_repositories: int = 10,
+    owner_share: float = 0.15,
 ) -> DataFrame:
     """``docs`` with every live span of ``text`` replaced; all rows and columns stay.
 
@@ -256,13 +269,9 @@ def redact_secrets(
     found = stored(found, "scanned")
     has = (F.size("base") > 0) | (F.size("bare") > 0)
     held = found.filter(has)
-    judged = _judged(
-        held.select("row", "base", "bare", F.col(f"doc.`{owner}`").alias("o"), F.col(f"doc.`{repository}`").alias("r")),
-        F.col("o"),
-        F.col("r"),
-        max_owners,
-        max_repositories,
-    ).select("row", "live")
+    owners = F.col(f"doc.`{owner}`").alias("owner")
+    spans = held.select("row", "base", "bare", owners, F.col(f"doc.`{repository}`").alias("repository"))
+    judged = _judged(found.select(owners), spans, max_owners, max_repositories, owner_share).select("row", "live")
     clean = redacted(F.col("doc.text"), F.col("live"))
     joined = held.select("row", "doc").join(judged, "row")
     joined = joined.withColumn("clean", F.when(F.size("live") > 0, clean).otherwise(F.col("doc.text")))

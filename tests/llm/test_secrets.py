@@ -139,3 +139,20 @@ def test_empty_table_and_null_owners(docs, spark):
         "source", F.lit(None).cast("string")
     )
     assert all(r.live for r in secrets.find_secrets(frame).collect())
+
+
+def test_owners_decide_whatever_the_number_of_documents(docs):
+    """Twenty owners; one has its credential in 40 documents, three share one, ten copy an example."""
+    own, bare, shared, example = "own-value-5678-90", "ghp_0aB1cD2eF3gH4iJ5kL6m", "shared-value-1234", "EXAMPLE-value-1234"
+    frames = [docs(*[(n, f"token = {own} and {bare}") for n in range(40)], source="s0")]
+    frames += [docs((100 + n, f"token = {shared}"), source=f"s{n}") for n in range(3)]
+    frames += [docs((200 + n, f"token = {example}" if n < 10 else "plain"), source=f"s{n}") for n in range(20)]
+    frame = frames[0]
+    for more in frames[1:]:
+        frame = frame.unionByName(more)
+    found = spans_of(secrets.find_secrets(frame))
+    assert all([s["value"] for s in found[n].live] == [own, bare] and len(found[n].spans) == 2 for n in range(40))
+    assert all(len(found[100 + n].live) == 1 for n in range(3))
+    assert all(not found[200 + n].live and found[200 + n].n_copied == 1 for n in range(10))
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(frame).collect()}
+    assert clean[39] == "[secret] and [secret]" and clean[102] == "[secret]" and clean[209] == f"token = {example}"
