@@ -39,3 +39,16 @@ def test_entry(spark):
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) <= set(entry.oracle_sql())
+
+
+def test_snapshot_arrays_are_one_whole_file_per_range(spark, tmp_path):
+    import json
+
+    from workload import frames
+
+    records = frames.raw_items(spark, "/root/testdata/sf0.001")
+    frames.write_arrays(records, f"{tmp_path}/arrays", 64)
+    ids = [[int(x["id"]) for x in json.loads(f.read_text())] for f in sorted(tmp_path.glob("arrays/range=*/part-*"))]
+    assert len(ids) == len({i // 64 for own in ids for i in own}) > 2
+    assert all(own == sorted(own) and len({i // 64 for i in own}) == 1 for own in ids)
+    assert sorted(i for own in ids for i in own) == sorted(int(r["id"]) for r in records.select("id").collect())

@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
 from pricetrail.operators.conform import conform
@@ -246,18 +247,21 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "snapshot_lines", lambda path: raw_items(spark, sf_dir).write.json(path))
 
 
-def snapshot_array(spark: SparkSession, sf_dir: str) -> str:
-    """The same records as one JSON array: one file, with one element per line."""
+def write_arrays(records: DataFrame, path: str, size: int = 10_000) -> None:
+    """One complete JSON array per range of ``size`` ids, each a file of its own with one element per line."""
+    n = F.col("id").cast("long")
+    elements = records.select(n.alias("n"), F.floor(n / size).alias("range"), F.to_json(F.struct("*")).alias("element"))
+    own = Window.partitionBy("range")
+    opening = F.when(F.col("n") == F.min("n").over(own), "[\n").otherwise("")
+    closing = F.when(F.col("n") == F.max("n").over(own), "\n]").otherwise(",")
+    lines = elements.select("range", "n", F.concat(opening, "element", closing).alias("value"))
+    lines = lines.sortWithinPartitions("range", "n").select("range", "value")
+    lines.write.partitionBy("range").text(path)
 
-    def write(path):
-        records = raw_items(spark, sf_dir)
-        last = records.agg(F.max(F.col("id").cast("long"))).scalar()
-        comma = F.when(F.col("id").cast("long") == last, "").otherwise(",")
-        elements = records.select(F.col("id").cast("long").alias("n"), F.concat(F.to_json(F.struct("*")), comma).alias("value"))
-        brackets = spark.createDataFrame([(-1, "["), (2**62, "]")], "n LONG, value STRING")
-        elements.unionByName(brackets).orderBy("n").coalesce(1).select("value").write.text(path)
-
-    return once(spark, sf_dir, "snapshot_array", write)
+
+def snapshot_array(spark: SparkSession, sf_dir: str) -> str:
+    """The same records as JSON arrays with one element per line, one file per range of ids."""
+    return once(spark, sf_dir, "snapshot_array", lambda path: write_arrays(raw_items(spark, sf_dir), path))
 
 
 def landing_rows(spark: SparkSession, sf_dir: str, prices: DataFrame | None = None) -> DataFrame:

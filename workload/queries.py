@@ -424,7 +424,7 @@ def load_mixed_types(spark, sf):
     kinds = ("double", frames.CENTS, "string")
     for n, kind in enumerate(kinds):
         part = rows.filter(F.dayofmonth(F.col("pull_date").cast("date")) % len(kinds) == n)
-        part.withColumns({c: F.col(c).cast(kind) for c in ("usd", "usd_foil")}).coalesce(1).write.parquet(
+        part.withColumns({c: F.col(c).cast(kind) for c in ("usd", "usd_foil")}).write.parquet(
             f"{stage.path}/kind={n}"
         )
     spark.range(1).select(F.lit("no table").alias("value")).write.text(f"{stage.path}/broken dir.parquet")
