@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from pricetrail.llm import (
     decontaminate,
+    lines,
     neighbours,
     packing,
+    pivots,
     quality,
     secrets,
     simhash,
     substrings,
     toxicity,
+    turns,
     url_rules,
     wrappers,
 )
@@ -120,4 +123,25 @@ def op10_embedding_dedup(spark, sf):
     return neighbours.near_vectors(table(spark, sf, "embeddings"))
 
 
+@query
+def op11_line_dedup(spark, sf):
+    """Lines, dropped lines and digest of the rest of all documents: 40 code points, five documents."""
+    found = lines.without_repeated_lines(table(spark, sf, "documents"), 40, 5)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op12_conversation_trie(spark, sf):
+    """All prefixes of all rebuilt conversations."""
+    return turns.conversation_trie(table(spark, sf, "conversations"))
+
+
+@query
+def op13_centroids(spark, sf):
+    """Cluster, distance, inertia and centroid of all vectors of 64 components."""
+    found = pivots.with_inertia(pivots.cluster_vectors(table(spark, sf, "embeddings")))
+    digest = F.sha2(F.array_join("centroid", ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
 from pricetrail.llm.oracle import ORACLE  # noqa: E402, F401

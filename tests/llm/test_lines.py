@@ -1,0 +1,75 @@
+"""Line dedup: plain counting, its SQL, and odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import defaultdict
+
+import duckdb
+
+from pricetrail.llm import lines, queries
+from pricetrail.llm.oracle import ORACLE
+
+BLANKS = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(rows, least_chars=40, least_docs=5):
+    holders = defaultdict(set)
+    key = lambda line: line.strip(BLANKS).translate(LOWER)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= least_chars:
+                holders[key(line)].add(i)
+    keeper = {
+        k: max((i for i in ids if i is not None), default=None) for k, ids in holders.items() if len(ids) >= least_docs
+    }
+    out = []
+    for i, text in rows:
+        own = (text or "").split("\n")
+        kept = [line for line in own if key(line) not in keeper or i == keeper[key(line)]]
+        out.append((i, len(own), len(own) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted(
+        ((r.doc_id, r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in df.collect()), key=str
+    )
+
+
+NOTICE = "All rights reserved by the Owners of this page ÄÖÜ"
+
+
+def test_against_plain_counting(docs):
+    line = [f"line {n} of the text that many pages have in common" for n in range(8)]
+    rows = [(n, "\n".join([f"own {n}", *line[: n % 9], NOTICE.upper() if n % 2 else f"\t{NOTICE} \r", ""])) for n in range(60)]
+    rows += [
+        (None, NOTICE), (None, line[0]), (70, None), (71, ""), (72, "\n\n"), (7, f"{line[7]}\n{line[7]}\n{line[0]}"),
+        (7, f"{line[7]}\n{line[7]}\n{line[0]}"), (73, "\n".join([line[3]] * 9)), (74, "x" * 300_000 + "\n" + line[1]),
+        (75, "\n".join(f"{n} {NOTICE}" for n in range(20_000))), (2**60, " " + line[2]), (76, f"{line[4]}\r\n\x0b"),
+    ]
+    assert found(lines.without_repeated_lines(docs(*rows))) == plain(rows)
+
+
+def test_thresholds(docs):
+    """A key of 39 code points, and one in four documents and twice in one of them, stay."""
+    rows = [(n, "é" * 39) for n in range(6)] + [(n, "b" * 40) for n in (10, 11, 12, 13, 13)] + [(14, "b" * 39 + "\n" + "b" * 39)]
+    assert all(r.n_dropped == 0 for r in lines.without_repeated_lines(docs(*rows)).collect())
+    rows += [(9, "b" * 40)]
+    assert found(lines.without_repeated_lines(docs(*rows))) == plain(rows)
+
+
+def test_other_columns_stay_and_empty_tables(docs):
+    df = lines.without_repeated_lines(docs((1, "a"), (2, None)))
+    assert set(docs((1, "a")).columns) < set(df.columns)
+    assert {r.lang for r in df.collect()} == {"en"}
+    assert lines.without_repeated_lines(docs((1, "a")).limit(0)).collect() == []
+
+
+def test_query_against_sql(spark, sf):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    theirs = duck.execute(ORACLE["op11_line_dedup"]).fetchall()
+    ours = [tuple(r) for r in queries.QUERIES["op11_line_dedup"](spark, sf).collect()]
+    assert sorted(ours) == sorted(theirs) and any(row[2] for row in ours)

@@ -1,0 +1,130 @@
+"""The prefix trie: a plain trie over the same rows, every number of shards, and odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import zlib
+
+import duckdb
+import pytest
+
+from pricetrail.llm import queries, turns
+from pricetrail.llm.oracle import ORACLE
+
+KIND = "conv_id LONG, turn LONG, role STRING, text STRING, h1 STRING, seq STRING, key STRING"
+
+
+def plain_nodes(seqs):
+    """conv_id -> list of (turn, code points), as rows of the trie."""
+    members, children = {}, {}
+    for c, seq in seqs.items():
+        for d in range(len(seq) + 1):
+            members.setdefault(tuple(seq[:d]), []).append(c)
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    leaves, saved, out = {}, {}, set()
+    for node in sorted(members, key=len, reverse=True):
+        inside, below = members[node], children.get(node, [])
+        leaves[node] = sum(leaves[p] for p in below) or 1
+        saved[node] = sum(saved[p] for p in below) + (len(inside) - 1) * (node[-1][1] if node else 0)
+        ends = ",".join(str(c) for c in sorted(inside) if len(seqs[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        out.add((min(inside), len(node), parent, len(inside), len(below), leaves[node], saved[node], digest))
+    return out
+
+
+def plain_rebuilt(rows):
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    out = {}
+    for c, seq in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = own.get(c - int(math.fmod(c, 100)), [])[:h] + seq[h:]
+    return {c: [((r, t), len(t)) for r, t in seq] for c, seq in out.items()}
+
+
+def table_of(spark, rows):
+    return spark.createDataFrame([(*row, "x", "x", "x") for row in rows], KIND)
+
+
+def as_set(df):
+    found = [tuple(r) for r in df.select(*turns.NODE).collect()]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def random_rows(seed, n=300):
+    rng = random.Random(seed)
+    words = ["hi", "héllo wörld", "", "x" * 50, "ok 😀"]
+    rows = []
+    for c in rng.sample(range(0, 900), n):
+        copied = rng.random() < 0.4
+        for turn in range(1 if copied else rng.randint(1, 7)):
+            rows.append((c, turn, "user" if turn % 2 == 0 else "assistant", "same" if copied else rng.choice(words)))
+    return rows
+
+
+@pytest.mark.parametrize("shards", [1, 2, 7, 40])
+def test_every_number_of_shards_gives_the_plain_trie(spark, shards):
+    rows = random_rows(3)
+    seqs = plain_rebuilt(rows)
+    coded = turns.rebuilt(turns.sequences(turns.coded_turns(table_of(spark, rows))))
+    assert as_set(turns.prefix_trie(coded, shards)) == plain_nodes(seqs)
+
+
+def test_one_sequence_over_many_shards(spark):
+    """Copies of one conversation, its prefixes and one that goes on, in more shards than there are texts."""
+    rng = random.Random(1)
+    seqs = {c: [1] * (3 if c % 3 else rng.choice([0, 2, 3, 4])) + [9] * (c % 50 == 7) for c in range(4000)}
+    rows = [(c, seq, [5] * len(seq)) for c, seq in seqs.items()]
+    given = spark.createDataFrame(rows, "conv_id LONG, seq ARRAY<LONG>, chars ARRAY<LONG>")
+    expected = plain_nodes({c: [(t, 5) for t in seq] for c, seq in seqs.items()})
+    assert as_set(turns.prefix_trie(given, 23)) == expected
+
+
+def test_odd_rows(spark):
+    """Nulls, ties, repeated rows, absent donors, negative and wide ids, long texts, clashing columns."""
+    rows = [
+        (100, 0, "user", "a"), (100, 1, "assistant", "b"), (100, 2, None, None), (100, None, "user", "first"),
+        (101, 0, "user", "z"), (101, 0, "user", "y"), (101, 0, "assistant", "y"), (101, 0, "user", "y"),
+        (150, 5, "user", "own"), (777, 1, "user", "no donor"), (-5, 0, "user", "minus"), (-105, 3, "", ""),
+        (2**60 + 1, 0, "user", "wide"), (None, 0, "user", "no conversation"), (102, 0, "user", "w" * 400_000),
+        (0, 0, "user", "zero"), *[(103, n, "user", f"t{n % 3}") for n in range(300)],
+    ]
+    assert as_set(turns.conversation_trie(table_of(spark, rows))) == plain_nodes(plain_rebuilt(rows))
+
+
+def test_empty_table(spark):
+    assert turns.conversation_trie(table_of(spark, [])).collect() == []
+
+
+def test_tree_is_balanced_and_finds_paths():
+    tree = turns.Tree()
+    seqs = [[n, n % 7] for n in range(1023)]
+    for i in turns.median_order(len(seqs)):
+        tree.insert(seqs[i], [1, 1], i)
+    depth, stack = 0, [(tree.eq[0], 1)]
+    while stack:
+        node, level = stack.pop()
+        if node >= 0:
+            depth = max(depth, level)
+            stack += [(tree.lo[node], level + 1), (tree.hi[node], level + 1)]
+    assert depth == 10
+    assert [tree.turn[n] for n in tree.path([700, 0])] == [-1, 700, 0]
+    assert tree.end[tree.path([700, 0])[-1]] == 700
+
+
+def test_query_against_sql(spark, sf):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
+    found = duck.execute(ORACLE["op12_conversation_trie"])
+    names = [d[0] for d in found.description]
+    theirs = {tuple(dict(zip(names, row, strict=True))[c] for c in turns.NODE) for row in found.fetchall()}
+    assert as_set(queries.QUERIES["op12_conversation_trie"](spark, sf)) == theirs
