@@ -49,10 +49,12 @@ def repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5)
     lines = _exploded(docs, least_chars)
     # Combined in each task first, so a line that everybody has is one row per task.
     often = lines.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
-    often = often.filter(F.col("n") >= least_docs).drop("n")
+    # Both small sides are stored: beside a plain exchange Spark can split the tasks of a hot key in the join.
+    often = stored(often.filter(F.col("n") >= least_docs).drop("n"), "often")
     found = stored(lines.join(often, KEY), "lines")
     ids = found.groupBy(*KEY, "doc_id").agg(F.first("keeper").alias("keeper"))
     shared = ids.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_docs).drop("n")
+    shared = stored(shared, "shared")
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))).join(shared, KEY)
     # Rows of the same id and text are the same lines, so the set of positions is theirs in common.
     return gone.groupBy("doc_id", "t1", "t2").agg(F.collect_set("pos").alias("dropped"))
