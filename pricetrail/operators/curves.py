@@ -44,15 +44,8 @@ def launch_curve(
     kind stays, with NULL.
     """
     first, last = days
-    wanted = items
-    if set_types is not None:
-        wanted = wanted.filter(F.col("set_type").isin(list(set_types)))
-    if rarities is not None:
-        wanted = wanted.filter(F.col("rarity").isin(list(rarities)))
-    if set_names is not None:
-        wanted = wanted.filter(F.col("set_name").isin(list(set_names)))
+    wanted = _selected(items, set_types, released_from, rarities, set_names)
     if released_from is not None:
-        wanted = wanted.filter(F.col("released_at") >= F.lit(released_from))
         # No earlier price can qualify, and on the partition column this prunes files.
         prices = prices.filter(F.col("pull_date") >= F.lit(released_from + timedelta(days=first)))
 
@@ -72,3 +65,30 @@ def launch_curve(
     in_range = joined.withColumn("date_diff", offset).filter(F.col("date_diff").between(first, last))
     curve = in_range.groupBy("date_diff", *keys).agg(mean_of(F.col(price)).alias("avg_usd"))
     return curve.select("date_diff", "avg_usd", *keys).orderBy(F.desc("date_diff"), *keys)
+
+
+def curve_from_state(
+    state: DataFrame,
+    price: str = "usd",
+    days: tuple[int, int] = AFTER,
+    set_types: Sequence[str] | None = SET_TYPES,
+    released_from: date | None = RELEASED_FROM,
+    rarities: Sequence[str] | None = None,
+    set_names: Sequence[str] | None = None,
+    by_rarity: bool = False,
+) -> DataFrame:
+    """``launch_curve`` from kept sums (``LaunchState.state``): neither the fact nor the items are read."""
+    keys = ["set_name", "rarity"] if by_rarity else ["set_name"]
+    wanted = _selected(state, set_types, released_from, rarities, set_names)
+    dated = wanted.withColumn("date_diff", day_offset(F.col("released_at"), F.col("pull_date")))
+    mean = F.try_divide(F.sum(f"{price}_sum").cast("double"), F.sum(f"{price}_n"))
+    curve = dated.filter(F.col("date_diff").between(*days)).groupBy("date_diff", *keys).agg(mean.alias("avg_usd"))
+    return curve.select("date_diff", "avg_usd", *keys).orderBy(F.desc("date_diff"), *keys)
+
+
+def _selected(rows: DataFrame, set_types, released_from, rarities, set_names) -> DataFrame:
+    """Rows of the wanted item traits; None leaves a trait open."""
+    for name, values in (("set_type", set_types), ("rarity", rarities), ("set_name", set_names)):
+        if values is not None:
+            rows = rows.filter(F.col(name).isin(list(values)))
+    return rows if released_from is None else rows.filter(F.col("released_at") >= F.lit(released_from))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions.columns import matches_term, mean_cents, product_url
 from pricetrail.operators.joins import broadcast_if_small
+from pricetrail.operators.maintained import stat_measures
 
 MAX_MATCHES = 10_000
 
@@ -36,9 +37,7 @@ def search_items(
     are dropped where they are read; otherwise every item's prices are reduced to one row
     per task first, so that no item is large in the shuffle.
     """
-    found = items.filter(
-        matches_term(F.col("name"), name_term) & matches_term(F.col("set_name"), set_term)
-    ).select("name", "set_name", "id", "tcgplayer_id")
+    found = _found(items, name_term, set_term)
     few = broadcast_if_small(found.select("id")) if name_term or set_term else None
     if few is not None:
         prices = prices.join(few, "id", "left_semi")
@@ -51,6 +50,28 @@ def search_items(
         F.min("usd_foil").alias("min_foil_price"),
         F.max("usd_foil").alias("max_foil_price"),
     )
+    return _report(found, stats, limit)
+
+
+def search_stats(
+    stats: DataFrame,
+    items: DataFrame,
+    name_term: str | None = None,
+    set_term: str | None = None,
+    limit: int = MAX_MATCHES,
+) -> DataFrame:
+    """``search_items`` over kept statistics (``ItemStats.current``): the fact is not read."""
+    measures = [column.alias(name) for name, column in stat_measures().items()]
+    return _report(_found(items, name_term, set_term), stats.select("id", "records", *measures), limit)
+
+
+def _found(items: DataFrame, name_term: str | None, set_term: str | None) -> DataFrame:
+    wanted = matches_term(F.col("name"), name_term) & matches_term(F.col("set_name"), set_term)
+    return items.filter(wanted).select("name", "set_name", "id", "tcgplayer_id")
+
+
+def _report(found: DataFrame, stats: DataFrame, limit: int) -> DataFrame:
+    """Items with their statistics, in order, at most ``limit``."""
     measures = ("avg_price", "min_price", "max_price", "avg_foil_price", "min_foil_price", "max_foil_price")
     # Repeated item rows form one group whose counts add up; their other figures are equal.
     grouped = (

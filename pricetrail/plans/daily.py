@@ -14,25 +14,21 @@ from pricetrail.operators.flatten import daily_prices, static_fields
 from pricetrail.operators.merge import newest_per_item
 from pricetrail.operators.movers import price_movers
 from pricetrail.plans.loads import merge_items, merge_prices, one_row
-from pricetrail.schemas import DAY_PARTITIONS, ITEM_RENAMES, ITEMS
+from pricetrail.schemas import ITEM_RENAMES, ITEMS
 from pricetrail.sources.landing import (
     Stage,
     day_path,
     item_stage,
-    latest_snapshot,
     open_prices,
     price_stage,
     publish_csv,
     write_counted,
     write_day,
 )
-from pricetrail.sources.ledger import VersionedTable
+from pricetrail.sources.versions import VersionedTable
 from pricetrail.sources.snapshots import parse_snapshot, readable, unreadable
 
 
-DAYS = DAY_PARTITIONS.fieldNames()
-
-
 @dataclass(frozen=True)
 class Lake:
     """Where the tables of one installation live."""
@@ -66,14 +62,11 @@ class Lake:
 def land_snapshot(spark: SparkSession, raw: DataFrame, lake: Lake, day: date) -> DataFrame:
     """Write both landing datasets of one day from one parse of the snapshot.
 
-    Returns (dataset, row_count).  Both counts come from the writes themselves.
+    Returns (dataset, row_count).  Both counts come from the writes themselves.  What ``raw`` is
+    parsed from should be kept by the caller, since both writes read it.
     """
-    shared = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n_prices = write_day(daily_prices(shared, day), lake.landing_prices.path, day, "none")
-        n_items = write_day(static_fields(shared, day), lake.landing_items.path, day, "snappy")
-    finally:
-        shared.unpersist()
+    n_prices = write_day(daily_prices(raw, day), lake.landing_prices.path, day, "none")
+    n_items = write_day(static_fields(raw, day), lake.landing_items.path, day, "snappy")
     return one_row(spark, dataset="prices", row_count=n_prices).unionByName(
         one_row(spark, dataset="items", row_count=n_items)
     )
@@ -99,8 +92,7 @@ def run_day(
     rejects = day_path(f"{lake.base}/rejects", day)
     merged = merge_prices(spark, lake.landing_prices.read_day(spark, day), lake.prices, rejects)
     changed = merge_items(spark, lake.landing_items, lake.items(spark), day)
-    snapshots = lake.landing_items.read(spark).withColumn("snapshot", F.make_date(*[F.col(c).cast("int") for c in DAYS]))
-    items = conform(latest_snapshot(snapshots, F.lit(day), "snapshot"), ITEMS, ITEM_RENAMES)
+    items = conform(lake.landing_items.read_day(spark, day), ITEMS, ITEM_RENAMES)
     items = newest_per_item(items.filter(F.col("id").isNotNull()))
     report = price_movers(open_prices(spark, lake.prices), items, day)
     publish_csv(report, lake.report(day), F.desc_nulls_last("4wk_diff"), F.col("id"))

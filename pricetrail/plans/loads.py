@@ -8,18 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricetrail.operators.conform import BAD_COLUMNS, conform_checked, split_rejects
-from pricetrail.operators.merge import (
-    PRICE_KEY,
-    classified_upsert,
-    new_price_rows,
-    outcome_counts,
-    upsert_outcome,
-)
+from pricetrail.operators.conform import BAD_COLUMNS, conform_checked
+from pricetrail.operators.merge import PRICE_KEY, new_price_rows
+from pricetrail.plans.maintained import Maintained
 from pricetrail.schemas import ITEM_RENAMES, ITEMS, PRICES
 from pricetrail.session import scratch_dir
-from pricetrail.sources.landing import Stage, append_prices, day_path, open_prices, write_observed
-from pricetrail.sources.ledger import VersionedTable, pending_files, read_ledger, record_files
+from pricetrail.sources.landing import Stage, append_prices, day_path, open_prices, path_exists, write_observed
+from pricetrail.sources.ledger import pending_files, read_ledger, record_files
+from pricetrail.sources.versions import VersionedTable
 
 # How Spark names the failure to read a file or its footer, or to give files one schema.
 UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "CANNOT_MERGE_SCHEMAS", "UNABLE_TO_INFER_SCHEMA")
@@ -46,17 +42,28 @@ def stage_prices(spark: SparkSession, landed: DataFrame) -> tuple[DataFrame, int
     return spark.read.schema(checked.schema).parquet(path), bad
 
 
-def merge_staged(spark: SparkSession, staged: DataFrame, target_path: str, rejects_path: str) -> int:
-    """Append what is new in checked rows to the curated fact; returns the number appended."""
+def merge_staged(
+    spark: SparkSession, staged: DataFrame, target_path: str, rejects_path: str, maintained: Maintained | None = None
+) -> int:
+    """Append what is new in checked rows to the curated fact; returns the number appended.
+
+    With ``maintained``, the states that follow the fact take the new rows in as well.
+    """
+    if maintained:
+        maintained.recover()
     fit = F.size(BAD_COLUMNS) == 0
     staged.filter(~fit).write.mode("overwrite").parquet(rejects_path)
     clean = staged.filter(fit).drop(BAD_COLUMNS)
     fresh = new_price_rows(open_prices(spark, target_path), clean, keyless=False)
-    return append_prices(fresh, target_path)
+    return maintained.append(fresh) if maintained else append_prices(fresh, target_path)
 
 
 def merge_prices(
-    spark: SparkSession, landed: DataFrame, target_path: str, rejects_path: str | None = None
+    spark: SparkSession,
+    landed: DataFrame,
+    target_path: str,
+    rejects_path: str | None = None,
+    maintained: Maintained | None = None,
 ) -> dict[str, int]:
     """Append what is new in landing rows to the curated fact; returns rows inserted and rejected.
 
@@ -66,7 +73,7 @@ def merge_prices(
     """
     staged, bad = stage_prices(spark, landed)
     rejects = rejects_path or f"{target_path}/_rejects/last"
-    return {"rows_inserted": merge_staged(spark, staged, target_path, rejects), "rows_rejected": bad}
+    return {"rows_inserted": merge_staged(spark, staged, target_path, rejects, maintained), "rows_rejected": bad}
 
 
 def _stage_files(spark: SparkSession, stage: Stage, paths: list[str]) -> tuple[list[str], list[DataFrame], int]:
@@ -90,13 +97,19 @@ def _stage_files(spark: SparkSession, stage: Stage, paths: list[str]) -> tuple[l
 
 
 def merge_files(
-    spark: SparkSession, stage: Stage, paths: list[str], target_path: str, rejects_path: str
+    spark: SparkSession,
+    stage: Stage,
+    paths: list[str],
+    target_path: str,
+    rejects_path: str,
+    maintained: Maintained | None = None,
 ) -> tuple[list[str], int, int]:
     """Merge files by one merge; returns those that could be read, and the rows inserted and rejected."""
     done, staged, bad = _stage_files(spark, stage, paths)
     if not done:
         return [], 0, 0
-    return done, merge_staged(spark, reduce(DataFrame.unionByName, staged), target_path, rejects_path), bad
+    rows = reduce(DataFrame.unionByName, staged)
+    return done, merge_staged(spark, rows, target_path, rejects_path, maintained), bad
 
 
 def load_prices(
@@ -109,6 +122,7 @@ def load_prices(
     rejects_path: str | None = None,
     max_files: int = 10_000,
     modified_after: datetime | None = None,
+    maintained: Maintained | None = None,
 ) -> DataFrame:
     """Load the files that the ledger does not know yet, continuing past bad rows and files.
 
@@ -131,7 +145,8 @@ def load_prices(
         if files:
             last = files[-1].path
             rejects = f"{base}/from={loaded + failed}"
-            done, rows, bad = merge_files(spark, stage, [file.path for file in files], target_path, rejects)
+            paths = [file.path for file in files]
+            done, rows, bad = merge_files(spark, stage, paths, target_path, rejects, maintained)
             if done:
                 read = set(done)
                 names = [file for file in files if file.path in read]
@@ -157,18 +172,18 @@ def load_prices(
 def merge_item_rows(landed: DataFrame, items: VersionedTable, rejects: str = "last") -> dict:
     """Merge item rows, the later pull_date wins; returns what changed.
 
-    Rows without id are kept below the table's ``rejects`` and counted.  Whether anything changes
-    is found on ids and dates alone; if nothing does, no version is written.
+    The rows are checked and written once.  Those without id are kept below the table's ``rejects`` and
+    counted; other values that do not convert load as NULL.
     """
-    clean, bad = split_rejects(landed, ITEMS, ITEM_RENAMES, required=("id",), nulls=True)
-    counter = {"rows_rejected": F.count(F.lit(1))}
-    lost = write_observed(bad, lambda w: w.mode("overwrite").parquet(f"{items.base}/rejects/{rejects}"), **counter)
-    current = items.current()
-    narrow = [rows.select("id", "pull_date") for rows in (current, clean)]
-    outcome = upsert_outcome(*narrow).first().asDict()
-    if outcome["rows_merged"]:
-        outcome = items.replace(classified_upsert(current, clean), **outcome_counts())
-    return outcome | lost
+    spark, path = items.spark, scratch_dir(items.spark, "staged-items")
+    checked = conform_checked(landed, ITEMS, ITEM_RENAMES, required=("id",))
+    unfit = F.array_contains(BAD_COLUMNS, "id")
+    lost = write_observed(checked, lambda writer: writer.parquet(path), rows_rejected=F.count_if(unfit))
+    staged = spark.read.schema(checked.schema).parquet(path)
+    kept_aside = f"{items.base}/rejects/{rejects}"
+    if lost["rows_rejected"] or path_exists(spark, kept_aside):
+        staged.filter(unfit).write.mode("overwrite").parquet(kept_aside)
+    return items.upsert(staged.filter(~unfit).drop(BAD_COLUMNS)) | lost
 
 
 def merge_items(spark: SparkSession, stage: Stage, items: VersionedTable, day: date) -> dict:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from pricetrail.functions.table_functions import register_item_prices, register_item_search
-from pricetrail.operators.curves import BEFORE, NAMED_SETS, SCARCE, launch_curve
+from pricetrail.operators.curves import BEFORE, NAMED_SETS, SCARCE, curve_from_state, launch_curve
 from pricetrail.operators.usage import cost_daily, cost_rollup
 
 # View name -> arguments of launch_curve where they differ from its defaults.
@@ -31,6 +31,11 @@ def launch_views(prices: DataFrame, items: DataFrame, **overrides) -> dict[str,
     return {name: launch_curve(prices, items, **{**settings, **own}) for name, own in LAUNCH_VIEWS.items()}
 
 
+def launch_views_from_state(state: DataFrame, **overrides) -> dict[str, DataFrame]:
+    """All launch curves from kept sums."""
+    return {name: curve_from_state(state, **{**overrides, **own}) for name, own in LAUNCH_VIEWS.items()}
+
+
 def register_views(
     spark: SparkSession,
     prices: DataFrame,

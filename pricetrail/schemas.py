@@ -39,7 +39,20 @@ ITEM_RENAMES = {"set": "set_abbr"}
 LOOKUP = _schema(id=STRING, game=T.IntegerType())
 USAGE = _schema(start_time=TIMESTAMP, warehouse_name=STRING, credits_used=T.DecimalType(18, 9))
 LEDGER = _schema(table_name=STRING, file_name=STRING, file_mb=DOUBLE, load_time=TIMESTAMP)
-VERSIONS = _schema(version=T.LongType(), path=STRING)
+PARTS = _schema(version=T.LongType(), part=STRING, path=STRING, rows=T.LongType(), load=STRING)
+JOURNAL = _schema(load=STRING, path=STRING)
+GENERATIONS = _schema(generation=T.IntegerType(), pull_date=DATE)
+
+# Maintained aggregates.
+_SUMS = {
+    "records": T.LongType(), "usd_sum": T.DecimalType(20, 2), "usd_n": T.LongType(),
+    "usd_foil_sum": T.DecimalType(20, 2), "usd_foil_n": T.LongType(),
+}
+ITEM_STATS = _schema(id=STRING, **_SUMS, usd_min=MONEY, usd_max=MONEY, usd_foil_min=MONEY, usd_foil_max=MONEY)
+TRAITS = _schema(id=STRING, released_at=DATE, set_name=STRING, set_type=STRING, rarity=STRING)
+LAUNCH_STATE = _schema(
+    pull_date=DATE, released_at=DATE, set_name=STRING, set_type=STRING, rarity=STRING, **_SUMS
+)
 
 # The rows between the price slice and the movers report.
 MOVER_SLICE = _schema(

@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSe
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricetrail.schemas import DAY_PARTITIONS, LANDING_ITEMS, LANDING_PRICES, PRICES
+from pricetrail.schemas import DAY_PARTITIONS, GENERATIONS, LANDING_ITEMS, LANDING_PRICES, PRICES
 
 
 LIST_TASKS = 64  # a listing reads no content, so its tasks need not follow file sizes
 ROWS_PER_RANGE = 5_000_000
+GENERATION = "generation"
 CSV_FORM = {
     "header": True,
     "escape": '"',
@@ -178,25 +179,72 @@ def written_by_stream(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 
 
-def open_table(spark: SparkSession, path: str, schema: T.StructType, *partitions: str) -> DataFrame:
-    """A Parquet table of ours, created empty on first use."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").partitionBy(*partitions).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table of ours; empty before its first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def days_folder(path: str) -> str:
+    """Where the generations of a fact's compacted days are."""
+    return f"{path.rstrip('/')}/_compacted/days"
+
+
+@dataclass(frozen=True)
+class Generations:
+    """The current generation of every compacted day; at most one entry per day of the calendar."""
+
+    of: dict[date, int]
+
+    def column(self, day: Column) -> Column:
+        """The generation of a day; NULL if it was never compacted."""
+        pairs = [F.lit(x) for pair in sorted(self.of.items()) for x in pair]
+        return F.create_map(*pairs)[day] if pairs else F.lit(None).cast("int")
+
+
+def compacted_days(spark: SparkSession, path: str) -> Generations:
+    entries = f"{path.rstrip('/')}/_compacted/entries"
+    if not path_exists(spark, entries):
+        return Generations({})
+    newest = open_table(spark, entries, GENERATIONS).groupBy("pull_date").agg(F.max("generation").alias("generation"))
+    return Generations({row["pull_date"]: row["generation"] for row in newest.collect()})
 
 
 def open_prices(spark: SparkSession, path: str) -> DataFrame:
-    """The curated fact, for loads that merge; a file stream's own table is refused."""
+    """The curated fact, for loads that merge; a file stream's own table is refused.
+
+    Days that were compacted are read from their current generation, the others from their
+    own folder; both conditions are on partition columns.
+    """
     if written_by_stream(spark, path):
         raise ValueError(f"{path} belongs to a file stream; load it by append_stream only")
-    return open_table(spark, path, PRICES, "pull_date")
+    plain = open_table(spark, path, PRICES)
+    known = compacted_days(spark, path)
+    if not known.of:
+        return plain
+    whole = T.StructType([*PRICES.fields, T.StructField(GENERATION, T.IntegerType())])
+    current = F.coalesce(known.column(F.col("pull_date")), F.lit(0))
+    days = spark.read.schema(whole).parquet(days_folder(path)).filter(F.col(GENERATION) == current).drop(GENERATION)
+    return plain.filter(~F.col("pull_date").isin(sorted(known.of))).unionByName(days)
 
 
 def append_prices(rows: DataFrame, path: str) -> int:
-    """Append to the curated fact, partitioned by pull_date; returns the rows written."""
+    """Append to the curated fact, partitioned by pull_date; returns the rows written.
+
+    Once days of a table were compacted, rows go to the current generation of their day, or to generation 0.
+    """
+    known = compacted_days(rows.sparkSession, path)
+    parts, root = ["pull_date"], path
+    if known.of:
+        current = F.coalesce(known.column(F.col("pull_date")), F.lit(0))
+        rows, parts, root = rows.withColumn(GENERATION, current), [GENERATION, "pull_date"], days_folder(path)
     return write_counted(
         rows.hint("rebalance", "pull_date"),
-        lambda writer: writer.mode("append").partitionBy("pull_date").parquet(path),
+        lambda writer: writer.mode("append").partitionBy(*parts).parquet(root),
     )
 
 

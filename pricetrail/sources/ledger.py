@@ -1,17 +1,15 @@
-"""The ledger of loaded files, and versioned item tables."""
+"""The ledger of loaded files."""
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricetrail.functions.columns import megabytes
-from pricetrail.schemas import LEDGER, VERSIONS
-from pricetrail.sources.landing import Stage, open_table, write_observed
+from pricetrail.schemas import LEDGER
+from pricetrail.sources.landing import Stage, open_table
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -53,51 +51,3 @@ def ledger_recent(ledger: DataFrame, table: str, since: Column) -> DataFrame:
     """Loads of one table from ``since`` on, by file name, last first."""
     recent = ledger.filter((F.col("table_name") == table) & (F.col("load_time") >= since))
     return recent.orderBy(F.desc("file_name"))
-
-
-class VersionedTable:
-    """A Parquet table that is replaced as a whole, without overwriting what readers use.
-
-    Each version has its own directory.  It becomes current when its name is appended to
-    the list of versions, after its data is complete; a failed write leaves no trace in
-    the list.  Older versions stay for readers; ``retired`` names those that may go.  One
-    writer at a time.
-    """
-
-    def __init__(self, spark: SparkSession, base: str, schema: T.StructType):
-        self.spark = spark
-        self.base = base.rstrip("/")
-        self.schema = schema
-
-    def _newest(self):
-        versions = open_table(self.spark, f"{self.base}/versions", VERSIONS)
-        return versions.agg(F.max(F.struct("version", "path")).alias("v")).select("v.*").first()
-
-    def current(self) -> DataFrame:
-        path = self._newest()["path"]
-        if path is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(path)
-
-    def retired(self, keep: int = 7) -> DataFrame:
-        """Version and path of all but the newest ``keep`` versions, for the storage's clean-up."""
-        versions = open_table(self.spark, f"{self.base}/versions", VERSIONS)
-        oldest_kept = (self._newest()["version"] or 0) - keep + 1
-        return versions.filter(F.col("version") < oldest_kept).orderBy("version")
-
-    def replace(self, rows: DataFrame, **metrics: Column) -> dict:
-        """Write ``rows``, which may derive from ``current()``, as the next version.
-
-        Returns aggregates of the rows, which may use columns beyond the table's own.
-        """
-        version = (self._newest()["version"] or 0) + 1
-        path = f"{self.base}/data/{version:08d}-{uuid.uuid4().hex}"
-        seen = write_observed(
-            rows.hint("rebalance"),
-            lambda writer: writer.parquet(path),
-            self.schema.fieldNames(),
-            **(metrics or {"rows": F.count(F.lit(1))}),
-        )
-        entry = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"))
-        entry.write.mode("append").parquet(f"{self.base}/versions")
-        return seen

@@ -16,9 +16,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pricetrail.operators.conform import split_rejects
 from pricetrail.operators.merge import PRICE_KEY
 from pricetrail.plans.loads import merge_files, merge_item_rows
+from pricetrail.plans.maintained import Maintained
 from pricetrail.schemas import PRICES
 from pricetrail.sources.landing import Stage, path_exists, written_by_stream
-from pricetrail.sources.ledger import VersionedTable
+from pricetrail.sources.versions import VersionedTable
 
 
 MAX_FILES = 1000
@@ -74,6 +75,7 @@ def _each_batch(
 def merge_stream(
     spark: SparkSession, stage: Stage, target_path: str, checkpoint: str,
     rejects_path: str | None = None, available_now: bool = True, max_files: int | None = MAX_FILES,
+    maintained: Maintained | None = None,
 ) -> StreamingQuery:
     """Insert-only merge of arriving price files; each batch keeps its rejects.
 
@@ -87,7 +89,7 @@ def merge_stream(
         rejects = f"{rejects_path or f'{target_path}/_rejects'}/batch={batch_id}"
         paths = sorted(unquote(row["file_path"]) for row in batch.distinct().collect())
         if paths:
-            done, _, _ = merge_files(batch.sparkSession, stage, paths, target_path, rejects)
+            done, _, _ = merge_files(batch.sparkSession, stage, paths, target_path, rejects, maintained)
             if len(done) < len(paths) and not stage.skip_unreadable:
                 raise ValueError(f"unreadable: {sorted(set(paths) - set(done))}")
 

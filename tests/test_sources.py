@@ -15,7 +15,7 @@ from pricetrail.plans import loads
 from pricetrail.plans.daily import Lake, run_day
 from pricetrail.plans.loads import load_items, load_prices
 from pricetrail.schemas import ITEMS, LANDING_ITEMS, LANDING_PRICES, LEDGER, PRICES
-from pricetrail.sources import landing, ledger
+from pricetrail.sources import landing, ledger, versions
 
 D1, D2 = date(2024, 8, 1), date(2024, 8, 2)
 
@@ -213,7 +213,7 @@ def test_ranges_follow_the_rows(spark, base, prices):
 
 
 def test_old_versions_are_named(spark, base):
-    table = ledger.VersionedTable(spark, base, PRICES)
+    table = versions.VersionedTable(spark, base, PRICES)
     for n in range(3):
         table.replace(spark.createDataFrame([(str(n), None, None, D1)], PRICES))
     assert [r["version"] for r in table.retired(keep=1).collect()] == [1, 2]
@@ -237,7 +237,7 @@ def item_rows(spark, day, *names):
 
 
 def test_load_items(spark, base):
-    stage, table = landing.item_stage(f"{base}/in"), ledger.VersionedTable(spark, f"{base}/items", ITEMS)
+    stage, table = landing.item_stage(f"{base}/in"), versions.VersionedTable(spark, f"{base}/items", ITEMS)
     assert table.current().count() == 0
     landing.write_day(item_rows(spark, D2, "A", "B"), stage.path, D2)
     landing.write_day(item_rows(spark, D1, "a", "c"), stage.path, D1)
@@ -253,7 +253,7 @@ def test_load_items(spark, base):
 
 
 def test_a_failed_replace_leaves_the_table_alone(spark, base):
-    table = ledger.VersionedTable(spark, base, PRICES)
+    table = versions.VersionedTable(spark, base, PRICES)
     good = spark.createDataFrame([("a", None, None, D1)], PRICES)
     table.replace(good)
     with pytest.raises(Exception):
@@ -304,7 +304,7 @@ def test_run_day_twice(spark, base, tmp_path):
     assert [(r["id"], r["today_price"]) for r in report.collect()] == [("a", "2.00")]
     assert rows(checks.day_count(landing.open_prices(spark, lake.prices), D1)) == [(1,)]
     items = lake.items(spark)
-    assert items.current().count() == 2 and items._newest()["version"] == 1
+    assert items.current().count() == 2 and items.newest().number == 1
     # A later day renames the item; the report of the past day, repeated, keeps its name.
     later = tmp_path / "later.json"
     later.write_text('{"id": "a", "name": "Z", "released_at": "2024-01-01", "prices": {"usd": "3.00"}}')

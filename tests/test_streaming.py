@@ -10,7 +10,7 @@ from pricetrail.operators.merge import merge_insert_only
 from pricetrail.plans.loads import load_prices
 from pricetrail.schemas import ITEMS, LANDING_ITEMS, LANDING_PRICES, PRICES
 from pricetrail.sources import landing
-from pricetrail.sources.ledger import VersionedTable
+from pricetrail.sources.versions import VersionedTable
 from pricetrail.streaming import ingest
 
 D1, D2 = date(2024, 8, 1), date(2024, 8, 2)

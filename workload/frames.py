@@ -7,7 +7,7 @@ data directory, below the shared scratch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,10 @@ from pyspark.sql import types as T
 
 from pricetrail.operators.conform import conform
 from pricetrail.schemas import FACE_FIELDS, IMAGE_SIZES, ITEM_FLAGS, ITEM_LISTS, LANDING_ITEMS, LEGALITY_FORMATS, PRICES
+from pricetrail.plans.loads import load_prices
+from pricetrail.plans.maintained import ItemStats, LaunchState, Maintained
 from pricetrail.session import scratch_dir
-from pricetrail.sources.landing import append_prices, day_path, write_day, write_days
+from pricetrail.sources.landing import append_prices, day_path, price_stage, write_day, write_days
 
 AS_OF = date(2024, 1, 30)
 USAGE_AS_OF = date(2024, 2, 10)
@@ -275,6 +277,42 @@ def landing_rows(spark: SparkSession, sf_dir: str, prices: DataFrame | None = No
     )
 
 
+def items_month(spark: SparkSession, sf_dir: str, early: bool = False) -> DataFrame:
+    """Items released around the month; the early table lacks some and has other release dates of some."""
+    size = F.col("p_size")
+    late = F.when(size % 7 == 3, 30).otherwise(0) if early else F.lit(0)
+    parts = table(spark, sf_dir, "part")
+    return (parts.filter(size % 5 != 0) if early else parts).select(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.col("p_partkey").alias("tcgplayer_id"),
+        F.col("p_name").alias("name"),
+        F.col("p_brand").alias("set_name"),
+        F.col("p_type").alias("set_type"),
+        F.date_add(F.lit(date(2023, 10, 1)), size * 2 + late).alias("released_at"),
+        rarity().alias("rarity"),
+    )
+
+
+def maintained_month(spark: SparkSession, sf_dir: str) -> str:
+    """The month's prices in three arrivals, each followed by item statistics and launch sums; items change before the last."""
+
+    def write(base):
+        stats, launch = ItemStats(spark, f"{base}/stats"), LaunchState(spark, f"{base}/launch")
+        maintained = Maintained(spark, f"{base}/prices", f"{base}/maintained", stats, launch)
+        maintained.update_items(items_month(spark, sf_dir, early=True))
+        rows = landing_rows(spark, sf_dir)
+        for turn in range(3):
+            stage = price_stage(f"{base}/landing-{turn}")
+            write_days(rows.filter(F.dayofmonth(F.col("pull_date").cast("date")) % 3 == turn), stage.path)
+            if turn == 2:
+                maintained.update_items(items_month(spark, sf_dir))
+            load_prices(
+                spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 2, 1 + turn), maintained=maintained
+            )
+
+    return once(spark, sf_dir, "maintained", write)
+
+
 def landing_prices(spark: SparkSession, sf_dir: str) -> str:
     return once(
         spark, sf_dir, "landing_prices", lambda path: write_days(landing_rows(spark, sf_dir), path)

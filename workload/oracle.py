@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pricetrail.functions.columns import PRODUCT_URL_PREFIX
+from pricetrail.plans.views import LAUNCH_VIEWS
 from workload.frames import AS_OF, SNAPSHOT_DAY, USAGE_AS_OF
-from workload.queries import FIVE_SETS, ITEM_ID, LEDGER_SINCE, SINCE
+from workload.queries import FIVE_SETS, ITEM_ID, LEDGER_SINCE, MONTH_SINCE, SINCE
 
 ORACLE: dict[str, str] = {}
 
@@ -122,6 +123,32 @@ ORACLE["launch_variable"] = _curve(five=True)
 ORACLE["launch_before"] = _curve(days=(-45, 0))
 ORACLE["launch_before_foil"] = _curve("usd_foil", days=(-45, 0))
 
+ITEMS_MONTH = f"""items_month AS (
+    SELECT CAST(p_partkey AS VARCHAR) AS id, p_partkey AS tcgplayer_id, p_name AS name, p_brand AS set_name,
+           p_type AS set_type, DATE '2023-10-01' + p_size * 2 AS released_at, {RARITY} AS rarity FROM part)"""
+PRICES_MONTH = f"""{PRICES_M}, prices_month AS (
+    SELECT CAST(id AS VARCHAR) AS id, usd, CAST(usd * 2 AS DECIMAL(10,2)) AS usd_foil, pull_date FROM prices_m)"""
+
+
+def _month_curve(view: str) -> str:
+    price = "usd_foil" if "foil" in view else "usd"
+    days = "BETWEEN -45 AND 0" if "before" in view else "BETWEEN 1 AND 300"
+    five = view.endswith("variable")
+    where = f"set_name IN ({quoted(FIVE_SETS)})" if five else f"released_at >= DATE '{MONTH_SINCE}'"
+    if view.endswith("rare_mythic"):
+        where += " AND rarity IN ('mythic', 'rare')"
+    return f"""SELECT '{view}' AS view, CAST(date_diff AS INTEGER) AS date_diff,
+    CAST(sum({price}) AS DOUBLE) / nullif(count({price}), 0) AS avg_usd, set_name,
+    {"rarity" if five else "CAST(NULL AS VARCHAR)"} AS rarity
+FROM offsets WHERE set_type = 'PROMO' AND date_diff {days} AND {where}
+GROUP BY date_diff, set_name{", rarity" if five else ""}"""
+
+
+ORACLE["launch_from_state"] = f"""WITH {PRICES_MONTH}, {ITEMS_MONTH}, offsets AS (
+    SELECT i.*, p.usd, p.usd_foil, p.pull_date - i.released_at AS date_diff
+    FROM items_month i JOIN prices_month p ON i.id = p.id)
+""" + "\nUNION ALL ".join(_month_curve(view) for view in LAUNCH_VIEWS)
+
 # --- usage and ledger ---------------------------------------------------------------------
 
 USAGE = """log AS (
@@ -172,21 +199,22 @@ def _mean(price: str) -> str:
         // nullif(2 * count({price}), 0)) / 100.0"""
 
 
-def _search(where: str) -> str:
-    return f"""WITH {PRICES_L}, {ITEMS_L}
+def _search(where: str, inputs: str = f"{PRICES_L}, {ITEMS_L}", prices: str = "prices_l", items: str = "items_l") -> str:
+    return f"""WITH {inputs}
 SELECT i.name, i.set_name, i.id, '{PRODUCT_URL_PREFIX}' || i.tcgplayer_id AS tcgplayer_url,
        count(p.id) AS price_records_count,
        CAST({_mean("p.usd")} AS DOUBLE) AS avg_price,
        CAST(min(p.usd) AS DOUBLE) AS min_price, CAST(max(p.usd) AS DOUBLE) AS max_price,
        CAST({_mean("p.usd_foil")} AS DOUBLE) AS avg_foil_price,
        CAST(min(p.usd_foil) AS DOUBLE) AS min_foil_price, CAST(max(p.usd_foil) AS DOUBLE) AS max_foil_price
-FROM items_l i LEFT JOIN prices_l p ON i.id = p.id
+FROM {items} i LEFT JOIN {prices} p ON i.id = p.id
 WHERE {where} GROUP BY i.name, i.set_name, i.id, i.tcgplayer_id
 ORDER BY i.name, i.set_name, i.id LIMIT 10000"""
 
 
 ORACLE["search_items"] = _search("lower(i.name) LIKE '%red%' AND lower(i.set_name) LIKE '%brand#1%'")
 ORACLE["search_items_any"] = _search("TRUE")
+ORACLE["search_from_state"] = _search("TRUE", f"{PRICES_MONTH}, {ITEMS_MONTH}", "prices_month", "items_month")
 ORACLE["table_fn_search"] = ORACLE["search_items"]
 ORACLE["lookup_join"] = f"""WITH {PRICES_L}
 SELECT p.id, p.pull_date, CAST(p.usd AS DOUBLE) AS usd, CAST(p.usd_foil AS DOUBLE) AS usd_foil, g.game
@@ -340,6 +368,7 @@ SELECT turn, CASE turn WHEN 1 THEN n ELSE 0 END AS rows_inserted, CASE turn WHEN
 FROM (SELECT count(*) AS n FROM part), (VALUES (1), (2), (3)) turns(turn)"""
 ORACLE["partition_slice"] = f"WITH {LANDED} SELECT * FROM landed WHERE pull_date = DATE '2024-01-08'"
 ORACLE["stream_ingest"] = f"WITH {LANDED} SELECT * FROM landed"
+ORACLE["compact_days"] = f"WITH {LANDED} SELECT *, TRUE AS few_files FROM landed"
 ORACLE["day_count"] = f"WITH {PRICES_M} SELECT count(*) AS total_count FROM prices_m WHERE pull_date = DATE '2024-01-16'"
 ORACLE["partition_missing"] = """
 SELECT DISTINCT 'items' AS dataset, CAST(ts AS DATE) AS pull_date FROM events WHERE dayofweek(ts) <> 1"""

@@ -14,9 +14,11 @@ from pricetrail.operators import checks, curves, flatten, lookup, merge, movers,
 from pricetrail.operators.conform import BAD_COLUMNS, conform, conform_checked
 from pricetrail.plans import loads
 from pricetrail.plans.daily import Lake, land_snapshot, run_day
+from pricetrail.plans.maintained import ItemStats, LaunchState
+from pricetrail.plans.views import LAUNCH_VIEWS
 from pricetrail.schemas import ITEM_RENAMES, ITEMS, MOVER_SLICE, PRICES, RAW_WIDE
 from pricetrail.session import scratch_dir
-from pricetrail.sources import landing, ledger, snapshots
+from pricetrail.sources import compaction, landing, ledger, snapshots, versions
 from pricetrail.streaming import ingest
 from workload import frames
 from workload.frames import AS_OF, SNAPSHOT_DAY, USAGE_AS_OF, plain
@@ -27,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 # The launch curves on these tables: which type plays the expansion, and since when.
 EXPANSION = ("PROMO",)
 SINCE = date(1998, 6, 1)
+MONTH_SINCE = date(2023, 10, 15)
 FIVE_SETS = ("Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5")
 ITEM_ID = 7
 LEDGER_SINCE = date(1998, 8, 1)
@@ -120,6 +123,21 @@ def launch_before_foil(spark, sf):
     return _curve(spark, sf, price="usd_foil", days=curves.BEFORE)
 
 
+@query
+def launch_from_state(spark, sf):
+    """All seven curves of the month's prices from kept sums."""
+    state = LaunchState(spark, f"{frames.maintained_month(spark, sf)}/launch").state()
+    settings = {"set_types": EXPANSION, "released_from": MONTH_SINCE}
+    found = None
+    for name, own in LAUNCH_VIEWS.items():
+        named = {"set_names": FIVE_SETS} if "set_names" in own else {}
+        curve = curves.curve_from_state(state, **{**settings, **own, **named})
+        rarity = F.col("rarity") if own.get("by_rarity") else F.lit(None).cast("string")
+        curve = curve.select(F.lit(name).alias("view"), "date_diff", "avg_usd", "set_name", rarity.alias("rarity"))
+        found = curve if found is None else found.unionByName(curve)
+    return found
+
+
 # --- usage and ledger ---------------------------------------------------------------------
 
 
@@ -179,6 +197,13 @@ def search_items_any(spark, sf):
     return plain(lookup.search_items(frames.prices_l(spark, sf), frames.items_l(spark, sf), None, ""))
 
 
+@query
+def search_from_state(spark, sf):
+    """Every item of the month with its kept statistics."""
+    stats = ItemStats(spark, f"{frames.maintained_month(spark, sf)}/stats").current()
+    return plain(lookup.search_stats(stats, frames.items_month(spark, sf)))
+
+
 @query
 def lookup_join(spark, sf):
     return plain(lookup.lookup_join(frames.prices_l(spark, sf), frames.games(spark, sf)))
@@ -262,7 +287,11 @@ def reject_split(spark, sf):
 @query
 def job_counts(spark, sf):
     lake = Lake(scratch_dir(spark, "lake"))
-    return land_snapshot(spark, _raw(spark, sf), lake, SNAPSHOT_DAY)
+    raw = _raw(spark, sf).persist()
+    try:
+        return land_snapshot(spark, raw, lake, SNAPSHOT_DAY)
+    finally:
+        raw.unpersist()
 
 
 # --- merges -------------------------------------------------------------------------------
@@ -447,11 +476,27 @@ def shared_table_load(spark, sf):
     return plain(landing.open_prices(spark, f"{base}/prices"))
 
 
+@query
+def compact_days(spark, sf):
+    """The month in five arrivals, compacted, with a late sixth: its rows, and whether few files hold each day."""
+    base = scratch_dir(spark, "compact")
+    path = f"{base}/prices"
+    rows = conform(frames.landing_rows(spark, sf), PRICES)
+    arrival = F.pmod(F.xxhash64("id"), F.lit(6))
+    for turn in range(5):
+        landing.append_prices(rows.filter(arrival == turn), path)
+    compaction.compact_days(spark, path)
+    landing.append_prices(rows.filter(arrival == 5), path)
+    files = compaction.data_files(spark, path).filter("live").groupBy("pull_date").agg(F.count("*").alias("n"))
+    whole = landing.open_prices(spark, path).join(files, "pull_date")
+    return plain(whole.select("id", "usd", "usd_foil", "pull_date", (F.col("n") <= 2).alias("few_files")))
+
+
 @query
 def load_items(spark, sf):
     """Outcomes of loading a snapshot, an older one, and a newer one."""
     stage = landing.item_stage(frames.landing_items(spark, sf))
-    items = ledger.VersionedTable(spark, scratch_dir(spark, "items"), ITEMS)
+    items = versions.VersionedTable(spark, scratch_dir(spark, "items"), ITEMS)
     outcomes = [
         loads.load_items(spark, stage, items, date(2024, 1, day)).select(
             F.lit(turn).alias("turn"), "rows_inserted", "rows_updated", "rows_skipped", "rows_merged"
@@ -496,7 +541,7 @@ def stream_upsert(spark, sf):
     """A newer snapshot without promotional items, then an older one with them."""
     base = scratch_dir(spark, "upsert")
     stage = landing.item_stage(f"{base}/landing")
-    items = ledger.VersionedTable(spark, f"{base}/items", ITEMS)
+    items = versions.VersionedTable(spark, f"{base}/items", ITEMS)
     newer = frames.landing_item_rows(spark, sf, date(2024, 1, 8)).filter(F.col("set_type") != "PROMO")
     newer = newer.withColumn("name", F.upper("name"))
     older = frames.landing_item_rows(spark, sf, date(2024, 1, 1))
