@@ -5,9 +5,11 @@ weight.  The radius stays below half the linking angle, so any two vectors of a
 linked, and a group of copies of any size is one node.  NN-descent then refines a neighbour
 graph of the balls: lists start from sorted random projections, whose number grows with the
 number of balls, and neighbours of neighbours are compared until the lists stop changing.
-Lists keep their nearest entries, however far, and are enlarged by every entry that can still
-hold a link.  Two balls are linked as a whole, not at all, or, in between, vector by vector in
-tiles.  A sample compared by brute force audits recall.
+Lists keep their nearest entries, and more of them in every further round.  The entries that can hold a
+link join balls into clusters; inside a cluster links are counted exactly, by products of tiles
+of balls, so a dense group costs no row per pair.  Two balls are linked as a whole, not at
+all, or, in between, vector by vector.  A sample compared by brute force audits recall; should
+every round miss the target, all balls are counted as one cluster.
 """
 
 from __future__ import annotations
@@ -26,11 +28,12 @@ from pricetrail.llm.common import components, stored
 
 BITS = 40  # of a projection key
 BLOCK = 512  # neighbours in the sorted order that are compared
-NEAREST = 8  # entries of a list besides those that can hold a link
+NEAREST = 12  # entries of a list in the first round; each further round doubles them
 MISSED = 0.002  # of the pairs at the linking angle, by the signs' chance, that no projection brings together
 AT_ONCE = 6  # projections whose entries are put into the lists together
-JOINED = 48  # entries of a list that meet in one refinement
-TILE = 256
+JOINED = 48  # entries of a list, with those that list it, that meet in one refinement
+TILE = 256  # vectors
+BALLS = 1024  # of a tile of balls
 ENOUGH = 100  # audited vectors with a partner outside their ball
 AUDITED = 32_768  # vectors that the audit compares at most, where partners are rare
 AUDIT_VALUES = 1 << 21  # vector components that are compared at once
@@ -161,25 +164,20 @@ def collapse(balls: DataFrame, most: float, table: int) -> tuple[DataFrame, Data
     return found.filter("was = ball").select(fields), found.select("was", "ball")
 
 
-def _entries(
-    ids: np.ndarray, center: np.ndarray, radius: np.ndarray, theta: float, worst: np.ndarray | None = None
-) -> pd.DataFrame:
-    """Pairs a < b of a block for the lists: every one that can hold a link, and the nearest others.
+def _entries(ids: np.ndarray, center: np.ndarray, radius: np.ndarray, k: int, worst: np.ndarray | None = None) -> pd.DataFrame:
+    """Pairs a < b of a block for the lists: the ``k`` nearest of each.
 
     ``worst`` is the reach of the furthest entry of each full list; others beyond it change nothing.
     """
     angle = _angles(center, center)
     reach = angle - radius[:, None] - radius[None, :]
     np.fill_diagonal(reach, np.inf)
-    keep = reach <= theta + MARGIN
-    others = np.where(keep, np.inf, reach)
-    most = min(NEAREST, len(ids) - 1)
-    nearest = np.argpartition(others, most, axis=1)[:, :most] if most else np.zeros((len(ids), 0), int)
+    most = min(k, len(ids) - 1)
+    nearest = np.argpartition(reach, most, axis=1)[:, :most] if most else np.zeros((len(ids), 0), int)
     rows = np.arange(len(ids))[:, None]
     limit = np.inf if worst is None else worst[:, None]
-    chosen = np.zeros_like(keep)
-    chosen[rows, nearest] = others[rows, nearest] < limit
-    keep |= chosen
+    keep = np.zeros_like(reach, bool)
+    keep[rows, nearest] = reach[rows, nearest] < limit
     a, b = np.nonzero(keep | keep.T)
     once = ids[a] < ids[b]
     a, b = a[once], b[once]
@@ -189,12 +187,12 @@ def _entries(
 EDGE = "a long, b long, angle double, reach double"
 
 
-def sorted_neighbours(balls: DataFrame, theta: float, table: int) -> DataFrame:
+def sorted_neighbours(balls: DataFrame, table: int, k: int) -> DataFrame:
     """List entries among neighbours in the order of one projection."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _blocks(frames, BLOCK):
-            yield _entries(block["ball"].to_numpy(), _matrix(block["center"]), block["radius"].to_numpy(), theta)
+            yield _entries(block["ball"].to_numpy(), _matrix(block["center"]), block["radius"].to_numpy(), k)
 
     ordered = _in_order(balls, table).select("ball", "center", "radius")
     return ordered.mapInPandas(run, EDGE)
@@ -215,24 +213,21 @@ def _both_ways(edges: DataFrame, *columns: str) -> DataFrame:
     return there.union(edges.select("b", "a", *columns))
 
 
-def _nearest(edges: DataFrame, theta: float) -> DataFrame:
-    """pivot, ball and the other columns: of each list the ``NEAREST`` entries that can hold no link."""
-    far = _both_ways(edges.filter(F.col("reach") > theta + MARGIN), "angle", "reach", "fresh")
+def _ranked(edges: DataFrame, k: int) -> DataFrame:
+    """pivot, ball, the other columns and ``place``: the ``k`` nearest entries of each list."""
     place = F.row_number().over(Window.partitionBy("pivot").orderBy("reach", "ball"))
-    return far.withColumn("place", place).filter(F.col("place") <= NEAREST)
+    return _both_ways(edges, "angle", "reach", "fresh").withColumn("place", place).filter(F.col("place") <= k)
 
 
-def _lists(entries: DataFrame, theta: float) -> DataFrame:
-    """Entries (with ``fresh``: 1 if new) as edges a < b: those that can hold a link, and those in a list of nearest."""
+def _lists(entries: DataFrame, k: int) -> DataFrame:
+    """Entries (with ``fresh``: 1 if new) as edges a < b, which are in the list of one end or of both."""
     least = [F.min(c).alias(c) for c in ("angle", "reach", "fresh")]
     edges = entries.groupBy("a", "b").agg(*least)
-    near = edges.filter(F.col("reach") <= theta + MARGIN)
     ends = [F.least("pivot", "ball").alias("a"), F.greatest("pivot", "ball").alias("b")]
-    kept = _nearest(edges, theta).select(*ends, "angle", "reach", "fresh").distinct()
-    return near.unionByName(kept)
+    return _ranked(edges, k).select(*ends, "angle", "reach", "fresh").distinct()
 
 
-def refine(edges: DataFrame, balls: DataFrame, theta: float, turn: int) -> DataFrame:
+def refine(edges: DataFrame, balls: DataFrame, k: int, turn: int) -> DataFrame:
     """One step of NN-descent: the entries of every list, forward and reverse, are compared with each other.
 
     Of a longer list another choice of ``JOINED`` entries meets in each turn; in a shorter one, pairs
@@ -240,8 +235,7 @@ def refine(edges: DataFrame, balls: DataFrame, theta: float, turn: int) -> DataF
     """
     place = Window.partitionBy("pivot").orderBy(F.xxhash64(F.col("ball") + F.lit(turn)))
     lists = _both_ways(edges, "fresh").withColumn("place", F.row_number().over(place)).filter(F.col("place") <= JOINED)
-    full = _nearest(edges, theta).groupBy("pivot").agg(F.max("reach").alias("worst"), F.max("place").alias("n"))
-    worst = full.filter(F.col("n") == NEAREST).select(F.col("pivot").alias("ball"), "worst")
+    worst = _ranked(edges, k).filter(F.col("place") == k).select(F.col("pivot").alias("ball"), F.col("reach").alias("worst"))
     ends = balls.select("ball", "center", "radius").join(worst, "ball", "left")
     lists = lists.join(ends.fillna(float("inf"), ["worst"]), "ball")
     lists = lists.groupBy("pivot").agg(
@@ -259,31 +253,102 @@ def refine(edges: DataFrame, balls: DataFrame, theta: float, turn: int) -> DataF
                     if len(same) > 1:
                         ids = np.array([e["ball"] for e in same], np.int64)
                         center = np.stack([np.asarray(e["center"], np.float64) for e in same])
-                        radius, worst = (np.array([e[k] for e in same]) for k in ("radius", "worst"))
-                        yield _entries(ids, center, radius, theta, worst)
+                        radius, worst = (np.array([e[c] for e in same]) for c in ("radius", "worst"))
+                        yield _entries(ids, center, radius, k, worst)
 
     return lists.select("entries").mapInPandas(run, EDGE)
 
 
-def neighbour_graph(balls: DataFrame, theta: float, tables: list[int], seen: DataFrame | None) -> DataFrame:
-    """Edges a < b of the refined graph, with the angle of their centres."""
+def neighbour_graph(balls: DataFrame, tables: list[int], seen: DataFrame | None, k: int) -> DataFrame:
+    """Edges a < b of the refined graph, with the angle of their centres: at most ``k`` for each ball."""
     label = f"graph-{tables[0]}"
     edges = seen
     for low in range(0, len(tables), AT_ONCE):
-        parts = [sorted_neighbours(balls, theta, t).withColumn("fresh", F.lit(1)) for t in tables[low : low + AT_ONCE]]
+        parts = [sorted_neighbours(balls, t, k).withColumn("fresh", F.lit(1)) for t in tables[low : low + AT_ONCE]]
         parts += [edges] if edges is not None else []
-        edges = stored(_lists(functools.reduce(DataFrame.unionByName, parts), theta), f"{label}-from-{low}")
+        edges = stored(_lists(functools.reduce(DataFrame.unionByName, parts), k), f"{label}-from-{low}")
     edges = edges.withColumn("fresh", F.lit(1))
     turn = 0
     while True:
-        new = refine(edges, balls, theta, turn).withColumn("fresh", F.lit(1))
-        edges = stored(_lists(edges.withColumn("fresh", F.lit(0)).unionByName(new), theta), f"{label}-{turn}")
+        new = refine(edges, balls, k, turn).withColumn("fresh", F.lit(1))
+        edges = stored(_lists(edges.withColumn("fresh", F.lit(0)).unionByName(new), k), f"{label}-{turn}")
         n, fresh = edges.agg(F.count(F.lit(1)), F.sum("fresh")).first()
         if (fresh or 0) * 1000 <= n:
             return edges
         turn += 1
 
 
+def _first_of_each(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The smallest id that each row reaches by symmetric links."""
+    label = ids.copy()
+    while True:
+        new = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
+        new = np.minimum(new, label)
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _ball_counts(met: DataFrame, theta: float) -> DataFrame:
+    """Of pairs of tiles of balls: what each ball has there, and pairs of balls that must be compared by vector.
+
+    ball, ``n`` (vectors of other balls that it is linked to as a whole) and ``first`` (the smallest ball that it reaches
+    by such links); or a and b.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for same, x, y in zip(frame["same"], frame["x"], frame["y"], strict=True):
+                both = list(x) if same else [*x, *y]
+                ids = np.array([e["ball"] for e in both], np.int64)
+                center = np.stack([np.asarray(e["center"], np.float64) for e in both])
+                radius, weight = np.array([e["radius"] for e in both]), np.array([e["weight"] for e in both], np.int64)
+                angle, apart = _angles(center, center), radius[:, None] + radius[None, :]
+                across = ~np.eye(len(ids), dtype=bool)
+                if not same:
+                    side = np.arange(len(ids)) < len(x)
+                    across &= side[:, None] != side[None, :]
+                sure = (angle + apart <= theta - MARGIN) & across
+                n = sure @ weight
+                some = n > 0
+                yield pd.DataFrame(
+                    {"ball": ids[some], "n": n[some], "first": _first_of_each(sure, ids)[some], "a": None, "b": None}
+                ).astype({"a": "Int64", "b": "Int64"})
+                a, b = np.nonzero((angle - apart <= theta + MARGIN) & ~sure & across & (ids[:, None] < ids[None, :]))
+                yield pd.DataFrame({"ball": None, "n": None, "first": None, "a": ids[a], "b": ids[b]}).astype(
+                    {"ball": "Int64", "n": "Int64", "first": "Int64"}
+                )
+
+    return met.mapInPandas(run, "ball long, n long, first long, a long, b long")
+
+
+def _counted_balls(balls: DataFrame, edges: DataFrame | None, theta: float, label: str) -> DataFrame:
+    """``_ball_counts`` inside every cluster of balls; without ``edges`` all balls of a dimension are one."""
+    dealt = balls.withColumn("d", F.size("center"))
+    if edges is None:
+        dealt = dealt.withColumn("cluster", F.lit(0).cast("long"))
+    else:
+        near = edges.filter(F.col("reach") <= theta + MARGIN).select("a", "b")
+        dealt = dealt.join(components(near, f"clusters-{label}"), F.col("ball") == F.col("node")).withColumnRenamed(
+            "component", "cluster"
+        )
+    dealt = stored(dealt.select("ball", "center", "radius", "weight", "d", "cluster"), f"clustered-{label}")
+    sizes = dealt.groupBy("cluster", "d").agg(F.ceil(F.count(F.lit(1)) / BALLS).cast("int").alias("tiles"))
+    sizes = stored(sizes, f"sizes-{label}")
+    tile = F.pmod(F.xxhash64("ball"), F.col("tiles")).cast("int")
+    rows = F.collect_list(F.struct("ball", "center", "radius", "weight")).alias("rows")
+    tiles = stored(dealt.join(sizes, ["cluster", "d"]).groupBy("cluster", "d", tile.alias("tile")).agg(rows), f"ball-tiles-{label}")
+    # Pairs of tiles, not of balls: with m balls in a cluster (m / BALLS) squared.
+    pairs = sizes.select("cluster", "d", "tiles", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"))
+    pairs = pairs.select("cluster", "d", "i", F.explode(F.sequence(F.col("i"), F.col("tiles") - 1)).alias("j"))
+    left = tiles.select("cluster", "d", F.col("tile").alias("i"), F.col("rows").alias("x"))
+    right = tiles.select("cluster", "d", F.col("tile").alias("j"), F.col("rows").alias("y"))
+    met = pairs.join(left, ["cluster", "d", "i"]).join(right, ["cluster", "d", "j"])
+    # Each pair is a task's work of its own; pairs of one tile are not dealt by its key.
+    met = met.select((F.col("i") == F.col("j")).alias("same"), "x", "y").hint("rebalance")
+    return stored(_ball_counts(met, theta), f"ball-counts-{label}")
+
+
 def _tile_counts(pairs: DataFrame, cosine: float) -> DataFrame:
     """For pairs of tiles: each vector with linked rows in the other tile, their number, and the two balls."""
 
@@ -301,21 +366,19 @@ def _tile_counts(pairs: DataFrame, cosine: float) -> DataFrame:
 
 
 def _links(
-    nodes: DataFrame, node_ball: DataFrame, balls: DataFrame, edges: DataFrame, theta: float, cosine: float, label: str
+    nodes: DataFrame, node_ball: DataFrame, balls: DataFrame, edges: DataFrame | None, theta: float, cosine: float, label: str
 ) -> DataFrame:
-    """node, n_links, of these ``inside`` its own ball, and component (smallest id) of every node."""
-    of = balls.select("ball", "radius", "weight")
-    left = of.select(F.col("ball").alias("a"), F.col("radius").alias("ra"), F.col("weight").alias("wa"))
-    right = of.select(F.col("ball").alias("b"), F.col("radius").alias("rb"), F.col("weight").alias("wb"))
-    pairs = edges.join(left, "a").join(right, "b")
-    pairs = pairs.withColumn("far", F.col("angle") + F.col("ra") + F.col("rb") <= theta - MARGIN)
-    pairs = pairs.withColumn("near", F.col("angle") - F.col("ra") - F.col("rb") <= theta + MARGIN)
-    pairs = stored(pairs.filter("near"), f"pairs-{label}")
-    sure = pairs.filter("far")
-    whole = sure.select(F.col("a").alias("ball"), F.col("wb").alias("n")).union(sure.select("b", "wa"))
-    whole = whole.groupBy("ball").agg(F.sum("n").alias("beside"))
-
-    check = pairs.filter("NOT far").select("a", "b", "wa", "wb")
+    """node, n_links, of these ``inside`` its own ball, and component (smallest id) of every node.
+
+    ``edges`` say which balls are counted with each other; without them all are.
+    """
+    told = _counted_balls(balls, edges, theta, label)
+    whole = told.filter(F.col("ball").isNotNull()).groupBy("ball").agg(F.sum("n").alias("beside"))
+    weights = balls.select(F.col("ball").alias("w_ball"), "weight")
+    check = told.filter(F.col("a").isNotNull()).select("a", "b")
+    check = check.join(weights, F.col("a") == F.col("w_ball")).select("a", "b", F.col("weight").alias("wa"))
+    check = check.join(weights, F.col("b") == F.col("w_ball")).select("a", "b", "wa", F.col("weight").alias("wb"))
+    check = stored(check, f"pairs-{label}")
     wanted = check.select(F.col("a").alias("ball"), F.col("wa").alias("w")).union(check.select("b", "wb")).distinct()
     tiles = node_ball.join(wanted, "ball").join(nodes.select("node", "vector", "weight"), "node")
     tile = F.pmod(F.xxhash64("node"), F.ceil(F.col("w") / TILE))
@@ -328,7 +391,8 @@ def _links(
     counted = stored(_tile_counts(met.select("a", "b", "x", "y"), cosine), f"counts-{label}")
     single = counted.groupBy("node").agg(F.sum("n").alias("single"))
 
-    joined = sure.select("a", "b").union(counted.select("a", "b")).distinct()
+    reached = told.filter(F.col("first") < F.col("ball")).select(F.col("first").alias("a"), F.col("ball").alias("b"))
+    joined = reached.union(counted.select("a", "b")).distinct()
     groups = components(joined, f"balls-{label}")
     firsts = node_ball.join(nodes.select("node", "first"), "node").groupBy("ball").agg(F.min("first").alias("first"))
     named = balls.select("ball", "weight").join(firsts, "ball").join(groups, F.col("ball") == F.col("node"), "left")
@@ -413,7 +477,8 @@ def near_vectors(
     that repeat an id count as vectors of their own.  A row without id links, but names no
     component.  Lists start from ``tables`` projections, or more in large tables.  While the audited
     recall of links between balls, of ``audit`` vectors or more, is below ``recall``, they grow from as
-    many more as there were; after ``rounds`` times below it the call fails.  Where partners are so
+    many more as there were, to twice the length; after ``rounds`` times below it all balls are counted with
+    each other, which is exact.  Where partners are so
     rare that the audit saw fewer than ``ENOUGH``, a warning says so.  Further columns are ignored.
     """
     theta = float(np.arccos(cosine))
@@ -434,10 +499,11 @@ def near_vectors(
         node_ball = node_ball.join(went, node_ball["ball"] == went["was"]).select("node", went["ball"])
         node_ball = stored(node_ball, f"node-ball-{t}")
 
-    edges, links, used = None, None, 0
+    edges, used = None, 0
     tables = projections(balls.count(), theta, tables)
     for n in range(rounds):
-        edges = neighbour_graph(balls, theta, list(range(passes + used, passes + used + tables)), edges)
+        own = list(range(passes + used, passes + used + tables))
+        edges = neighbour_graph(balls, own, edges, NEAREST << n)
         links = _links(nodes, node_ball, balls, edges, theta, cosine, str(n))
         share, seen, sure = audited_recall(nodes, links, cosine, audit)
         if share >= recall:
@@ -445,7 +511,8 @@ def near_vectors(
         used += tables
         tables = used
     else:
-        raise RuntimeError(f"audited recall of links is {share:.4f} of {seen} vectors, below {recall}")
+        warnings.warn(f"audited recall of links is {share:.4f} of {seen} vectors; all balls are counted", stacklevel=2)
+        links, share, sure = _links(nodes, node_ball, balls, None, theta, cosine, "whole"), 1.0, True
     if not sure:
         warnings.warn(f"recall of links is known of {seen} vectors only: {share:.4f}", stacklevel=2)
 

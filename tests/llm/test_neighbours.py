@@ -132,9 +132,35 @@ def test_the_audit_sees_lost_links_between_balls(spark):
     assert neighbours.audited_recall(ball, inside, 0.9, 512)[0] == 0.0
 
 
-def test_a_recall_below_the_target_fails(frame, monkeypatch):
-    none = lambda balls, theta, tables, seen: frame([]).selectExpr("vec_id a", "vec_id b", "0d angle", "0d reach")
+def test_links_are_whole_where_the_graph_finds_nothing(frame, monkeypatch):
+    none = lambda balls, tables, seen, k: frame([]).selectExpr("vec_id a", "vec_id b", "0d angle", "0d reach")
     monkeypatch.setattr(neighbours, "neighbour_graph", none)
-    rows = [(i, v.tolist()) for i, v in enumerate(isolated_pairs(40, 10, 0.905))]
-    with pytest.raises(RuntimeError, match="recall"):
-        neighbours.near_vectors(frame(rows), rounds=2).collect()
+    vectors = dict(enumerate(isolated_pairs(40, 10, 0.905).tolist()))
+    with pytest.warns(UserWarning, match="all balls are counted"):
+        got = found(neighbours.near_vectors(frame(vectors.items()), rounds=1))
+    assert got == plain(vectors) and sum(n for n, _ in got.values()) >= 20
+
+
+def test_one_dense_group_is_counted_exactly_without_pair_rows(spark, frame, monkeypatch):
+    """Cosines around 0.92 between all of 1,600 vectors, which no ball can hold, and a far group beside them."""
+    vectors = clouds(3, [0.295], 1600, 64) | {5000 + i: v for i, v in clouds(4, [0.2, 1.0], 40, 64).items()}
+    stores, real = {}, neighbours.stored
+
+    def watched(df, label):
+        out = real(df, label)
+        stores[label] = out.count()
+        return out
+
+    monkeypatch.setattr(neighbours, "stored", watched)
+    exact = plain(vectors)
+    assert 0.1 < sum(n for n, _ in exact.values()) / 1600**2 < 0.95
+    assert found(neighbours.near_vectors(frame(vectors.items()))) == exact
+    # Lists, counts and all else: rows in proportion to the vectors, where the pairs are 1.28 million.
+    assert max(n for label, n in stores.items()) < 1.5 * neighbours.NEAREST * 1700
+
+
+def test_whole_counting_when_no_round_reaches_the_target(spark, frame):
+    vectors = clouds(5, (0.1, 0.3, 0.35), 60)
+    with pytest.warns(UserWarning, match="all balls are counted"):
+        got = found(neighbours.near_vectors(frame(vectors.items()), recall=1.1, rounds=1))
+    assert got == plain(vectors)
