@@ -53,7 +53,7 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)"
-    r"(?:((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*)(?:>|$))",
+    r"(?:((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+)>|([^>]*)(?:>|$))",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)

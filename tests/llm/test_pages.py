@@ -213,3 +213,10 @@ def test_a_long_attribute_value_is_no_text(spark):
     quoted = data.replace("'", "&#39;")
     body = f'<article><div data-x="{quoted}"><p>yes</p></div><p title=\'{data.replace(chr(39), chr(34))}\'>end</p></article>'
     assert set(texts(spark, [(n, "http://h/", page(body), "", "", "") for n in range(3)]).values()) == {"yes\nend"}
+
+
+@pytest.mark.parametrize("attributes", ["data-x=don't", 'size=5"', "a='b'c", 'title="a>b"', "x = 'y>z' w", "a=b'c d=\"e\""])
+def test_stray_quotes_lose_no_text(attributes):
+    page = f"<article><p {attributes}>First paragraph.</p><p>It's second.</p><p class=\"x\">Third \"one\".</p></article>"
+    assert wrappers.extract(page, None).endswith("It's second.\nThird \"one\".")
+    assert "First paragraph." in wrappers.extract(page, None)
