@@ -158,23 +158,21 @@ def ownership(found: DataFrame, owner: Column, repository: Column) -> DataFrame:
     return owners.join(repos, "hash")
 
 
-def _judged(
-    docs: DataFrame, found: DataFrame, max_owners: int, max_repositories: int, owner_share: float
-) -> DataFrame:
+def _judged(docs: DataFrame, found: DataFrame, spread: float) -> DataFrame:
     """``row`` and, of its spans, those whose value is owner-specific (``live``) and the number of others.
 
-    ``docs`` has the owner of every text, ``found`` the rows with spans.  Few owners are ``max_owners``, or
-    ``owner_share`` of all owners where that is more.  Only where no value can have more owners than that does
-    the number of repositories decide as well.
+    ``docs`` has the owner of every text, ``found`` the rows with spans.  A value dealt at random to r
+    repositories of N owners has e = N (1 - (1 - 1/N) ** r) owners.  A value of n owners scores (n - 1) / N * n / e: how
+    many of all owners copy it, times how scattered it is.  It is live up to ``spread``.
     """
     frequency = stored(ownership(found, F.col("owner"), F.col("repository")), "ownership")
-    owners = docs.select("owner").distinct().agg(F.count(F.lit(1)).alias("all_owners"))
+    owners = docs.select("owner").distinct().agg(F.count(F.lit(1)).cast("double")).scalar()
     spans = found.select("row", F.explode(F.concat("base", "bare")).alias("span"))
     spans = spans.withColumn("hash", F.sha2("span.value", 256))
-    few = F.greatest(F.lit(max_owners), F.floor(F.col("all_owners") * owner_share))
-    told = (F.col("all_owners") > few) | (F.col("n_repositories") <= max_repositories)
-    spans = spans.join(frequency, "hash").crossJoin(F.broadcast(owners))
-    spans = spans.withColumn("live", (F.col("n_owners") <= few) & told)
+    expected = F.col("N") * (1 - F.pow(1 - 1 / F.col("N"), F.col("n_repositories")))
+    score = (F.col("n_owners") - 1) / F.col("N") * F.col("n_owners") / expected
+    judged = frequency.withColumn("N", owners).select("hash", (score <= spread).alias("live"))
+    spans = spans.join(stored(judged, "verdicts"), "hash")
     return spans.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when(F.col("live"), F.col("span")))).alias("live"),
         F.count_if(~F.col("live")).alias("n_copied"),
@@ -185,18 +183,16 @@ def find_secrets(
     docs: DataFrame,
     owner: str = "source",
     repository: str = "doc_id",
-    max_owners: int = 2,
-    max_repositories: int = 10,
-    owner_share: float = 0.15,
+    spread: float = 0.15,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text and the two columns): its spans and their ownership.
 
-    Columns: doc_id, ``base`` and ``live`` (arrays of spans; live: base or bare spans whose value at
-    most ``max_owners`` owners, or ``owner_share`` of all owners, carry, in however many repositories),
+    Columns: doc_id, ``base`` and ``live`` (arrays of spans; live: base or bare spans whose value is not
+    copied by many of the owners, see ``_judged``; a value of one owner is live in however many repositories),
     ``n_copied`` (spans with a more widely copied value), and ``spans``: all base spans and the live bare ones.  Null, empty and
-    span-free texts have empty arrays; repeated rows and ids each give a row; a null owner or
-    repository counts as one of its own.  In a corpus of no more owners than that, owners tell nothing, and
-    a live value is also in at most ``max_repositories`` repositories.  Further columns are ignored.
+    span-free texts have empty arrays; texts of any length are read whole; repeated rows and ids each give
+    a row; a null owner or repository counts as one of its own; an empty table gives no rows.  Further
+    columns are ignored.
     """
     needed = docs.select("doc_id", "text", F.col(owner).alias("owner"), F.col(repository).alias("repository"))
     found = scan(needed).select(
@@ -209,7 +205,7 @@ def find_secrets(
     )
     found = stored(found, "candidates")
     held = found.filter((F.size("base") > 0) | (F.size("bare") > 0))
-    judged = _judged(found, held, max_owners, max_repositories, owner_share)
+    judged = _judged(found, held, spread)
     rows = found.join(judged, "row", "left")
     none = F.array().cast(SPAN_TYPE)
     rows = rows.withColumn("live", F.coalesce("live", none))
@@ -256,13 +252,11 @@ def redact_secrets(
     docs: DataFrame,
     owner: str = "source",
     repository: str = "doc_id",
-    max_owners: int = 2,
-    max_repositories: int = 10,
-    owner_share: float = 0.15,
+    spread: float = 0.15,
 ) -> DataFrame:
     """``docs`` with every live span of ``text`` replaced; all rows and columns stay.
 
-    ``n_chars``, where there is one, follows the new text.  Texts without spans are passed on
+    Null and empty texts stay, and an empty table gives no rows.  ``n_chars``, where there is one, follows the new text.  Texts without spans are passed on
     without a shuffle; the others are joined to their own spans.
     """
     found = scan(docs).select(F.monotonically_increasing_id().alias("row"), "doc", "base", "bare")
@@ -271,7 +265,7 @@ def redact_secrets(
     held = found.filter(has)
     owners = F.col(f"doc.`{owner}`").alias("owner")
     spans = held.select("row", "base", "bare", owners, F.col(f"doc.`{repository}`").alias("repository"))
-    judged = _judged(found.select(owners), spans, max_owners, max_repositories, owner_share).select("row", "live")
+    judged = _judged(found.select(owners), spans, spread).select("row", "live")
     clean = redacted(F.col("doc.text"), F.col("live"))
     joined = held.select("row", "doc").join(judged, "row")
     joined = joined.withColumn("clean", F.when(F.size("live") > 0, clean).otherwise(F.col("doc.text")))

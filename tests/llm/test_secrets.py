@@ -69,11 +69,12 @@ def test_ownership_tells_examples_from_live_ones(docs):
     assert [s["value"] for s in got[10].live] == [own, bare] and got[10].n_copied == 0
     assert [s["rank"] for s in got[10].spans] == [0, 3] and [s["rank"] for s in got[11].spans] == [3]
     assert got[12].spans == []
-    # The same value in one owner's many documents is still that owner's, up to a number of them.
+    # The same value in one owner's many documents is that owner's, whoever else has documents.
     many = [(n, f"token = {own}") for n in range(30)]
-    few = spans_of(secrets.find_secrets(docs(*many[:8], source="s")))
-    assert all(r.live for r in few.values())
-    assert not any(r.live for r in spans_of(secrets.find_secrets(docs(*many, source="s"))).values())
+    alone = docs(*many, source="s")
+    for frame in (docs(*many[:8], source="s"), alone, alone.unionByName(docs((99, "plain"), source="t"))):
+        assert all(r.live for r in spans_of(secrets.find_secrets(frame.unionByName(docs((98, "x"), source="u")))).values() if r.doc_id < 90)
+        assert all(r.live for r in spans_of(secrets.find_secrets(frame)).values() if r.doc_id < 90)
 
 
 def test_redaction(docs):
@@ -156,3 +157,23 @@ def test_owners_decide_whatever_the_number_of_documents(docs):
     assert all(not found[200 + n].live and found[200 + n].n_copied == 1 for n in range(10))
     clean = {r.doc_id: r.text for r in secrets.redact_secrets(frame).collect()}
     assert clean[39] == "[secret] and [secret]" and clean[102] == "[secret]" and clean[209] == f"token = {example}"
+
+
+def test_one_score_against_a_plain_count(docs):
+    """Values of every number of owners and documents, beside owners of uneven size."""
+    rng = random.Random(9)
+    rows = []
+    for n in range(1, 13):
+        for repos in (n, n + 3, 40):
+            value = f"value-of-{n:02d}-and-{repos:02d}"
+            rows += [(value, f"s{i % n}") for i in range(repos)]
+    rows += [(None, f"s{min(rng.randrange(30), 14)}") for _ in range(300)]
+    frame = docs(*[(i, f"token = {v}" if v else "plain") for i, (v, _) in enumerate(rows)]).drop("source")
+    owners = frame.sparkSession.createDataFrame([(i, s) for i, (_, s) in enumerate(rows)], "doc_id LONG, source STRING")
+    frame, total = frame.join(owners, "doc_id"), len({s for _, s in rows})
+    want = {}
+    for value in {v for v, _ in rows if v}:
+        owners, repos = len({s for v, s in rows if v == value}), sum(v == value for v, _ in rows)
+        want[value] = (owners - 1) / total * owners / (total * (1 - (1 - 1 / total) ** repos)) <= 0.15
+    got = {r.base[0]["value"]: bool(r.live) for r in secrets.find_secrets(frame).collect() if r.base}
+    assert got == want and 5 < sum(want.values()) < len(want) - 5
