@@ -76,9 +76,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshol
     # A text is known by its hash: a repeated row adds nothing, and a repeated task gives the same rows.
     held = held.select("doc_id", F.sha2("text", 256).alias("row"), _words(F.col("text")).alias("words"))
     texts = F.array_distinct(F.concat(*[shingles_of(F.col("words"), n) for n in widths]))
-    lines = held.select("doc_id", "row", F.explode(texts).alias("shingle"))
-    wanted = items.select("item", "item_id", "q", F.explode("shingles").alias("shingle"))
-    shared = lines.join(wanted, "shingle").distinct()
+    known = stored(items.select(F.explode("shingles").alias("shingle")).distinct(), "shingles")
+    lines = held.select(F.col("doc_id").alias("id"), "row", F.explode(texts).alias("shingle"))
+    lines = lines.join(known, "shingle", "left_semi").distinct()
+    # Only the shingles of a document's own candidates meet its text.
+    wanted = hits.join(items.select("item", "item_id", "q", "shingles"), "item")
+    wanted = wanted.select("doc_id", "item", "item_id", "q", F.explode("shingles").alias("wanted"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("wanted") == F.col("shingle"))
+    shared = wanted.join(lines, same).select("doc_id", "row", "item", "item_id", "q")
     counts = shared.groupBy("doc_id", "row", "item", "item_id", "q").agg(F.count(F.lit(1)).alias("n"))
     pairs = counts.filter(F.col("n") >= F.lit(threshold) * F.col("q") - 1e-9)
     return _pairs_of(pairs)
@@ -106,7 +111,10 @@ def _pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the rows whose id is in a pair of ``contaminated``; all columns stay."""
+    """``docs`` without the rows whose id is in a pair of ``contaminated``; all columns stay.
+
+    Null and empty texts stay, and an empty table on either side changes nothing.
+    """
     gone = contaminated(docs, benchmark, width, threshold).select(F.col("doc_id").alias("__gone")).distinct()
     gone = stored(gone, "contaminated")
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")

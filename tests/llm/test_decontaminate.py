@@ -71,3 +71,12 @@ def test_empty_tables(docs, bench, prose):
     empty = decontaminate.contaminated(some, bench())
     assert empty.schema == decontaminate.contaminated(some, bench((1, "a b", "x"))).schema
     assert empty.filter(F.col("containment") > 0).count() == 0
+
+
+def test_a_phrase_of_many_items(spark, docs, prose):
+    """A thousand items share one phrase, which every document has; each document holds one item."""
+    phrase = "these five words are common"
+    items = [(n, f"{prose(n, 14)} {phrase} {prose(5000 + n, 14)}") for n in range(1000)]
+    frame = docs(*[(n, f"{prose(9000 + n, 30)} {items[n][1]} {phrase}") for n in range(40)])
+    found = decontaminate.contaminated(frame, spark.createDataFrame(items, "item_id LONG, text STRING"))
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(n, n) for n in range(40)]
