@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +33,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def short_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand texts to Python in batches of at most ``rows`` in this session.
-
-    Workers keep the memory of their largest batch while later stages run beside them.
-    """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def words_of(text: Column) -> Column:
     """The words of a text as an array; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP, -1), lambda w: w != "")
@@ -71,6 +64,27 @@ def text_slices(texts: pd.Series, max_bytes: int) -> Iterator[tuple[int, list[by
         yield first, run
 
 
+def text_runs(texts: Iterable[str | None], max_chars: int) -> Iterator[tuple[int, list[str]]]:
+    """Runs of whole texts, each of about ``max_chars`` or of one longer text, with the place of the first; null is empty."""
+    first, size, run = 0, 0, []
+    for i, text in enumerate(texts):
+        text = text or ""
+        if run and size + len(text) > max_chars:
+            yield first, run
+            first, size, run = i, 0, []
+        run.append(text)
+        size += len(text)
+    if run:
+        yield first, run
+
+
+def arrow_runs(texts: pa.Array, max_chars: int, rows: int = 256) -> Iterator[tuple[int, list[str]]]:
+    """``text_runs`` of an Arrow column, of which ``rows`` at a time become strings, so a batch is never held twice."""
+    for low in range(0, len(texts), rows):
+        for first, run in text_runs(texts.slice(low, rows).to_pylist(), max_chars):
+            yield low + first, run
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """The smallest node id that each linked node can reach.
 

@@ -9,6 +9,8 @@ then finds its sequence from its number among the pieces of its length.
 from __future__ import annotations
 
 import base64
+import functools
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
@@ -17,25 +19,36 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricetrail.llm.common import stored, text_slices
+from pricetrail.llm.common import arrow_runs, stored
 
 PIECES = "row long, doc_id {id}, piece int, start long, length int, ids_crc32 long"
 PLACES = "row long, doc_id {id}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-SLICE_BYTES = 1 << 20
+SLICE_CHARS = 1 << 20
 
 
 def tokenizer(name: str) -> tiktoken.Encoding:
-    """The byte-level BPE of a JSON vocabulary, by the ranks of the same vocabulary: the ids are equal."""
+    """The byte-level BPE of a JSON vocabulary, by the ranks of the same vocabulary: the ids are equal.
+
+    The vocabulary's added tokens have their ids wherever their text stands.
+    """
     path = public_tokenizers.path(name.replace(".json", ".tiktoken"))
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(token[how] for token in added for how in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"{name}: added tokens that do not stand for their text alone")
     return tiktoken.Encoding(
-        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "byte_bpe",
+        pat_str=public_tokenizers.PATTERN,
+        mergeable_ranks=ranks,
+        special_tokens={token["content"]: token["id"] for token in added},
     )
 
 
@@ -50,22 +63,25 @@ def cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, np.ndarray]]:
 def pieces_of(texts: DataFrame, capacity: int, vocabulary: str, end_id: int) -> DataFrame:
     """row, doc_id, piece, start, length and ids_crc32 of the pieces of ``texts`` (row, doc_id, text)."""
 
-    def tokenize(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = tokenizer(vocabulary).encode_ordinary
-        for frame in frames:
-            for first, run in text_slices(frame["text"], SLICE_BYTES):
+    kinds = {"piece": pa.int32(), "start": pa.int64(), "length": pa.int32(), "ids_crc32": pa.int64()}
+    schema = pa.schema(list(kinds.items()))
+
+    def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = functools.partial(tokenizer(vocabulary).encode, allowed_special="all")
+        for batch in batches:
+            for first, run in arrow_runs(batch.column("text"), SLICE_CHARS):
                 at, found = [], []
-                for i, data in enumerate(run, first):
-                    ids = np.array([*encode(data.decode("utf-8", "replace")), end_id], "<u4")
+                for i, text in enumerate(run, first):
+                    ids = np.array([*encode(text), end_id], "<u4")
                     for piece, (start, part) in enumerate(cut(ids, capacity)):
                         at.append(i)
                         found.append((piece, start, len(part), zlib.crc32(part.tobytes())))
-                out = frame[["row", "doc_id"]].iloc[at].reset_index(drop=True)
-                out[["piece", "start", "length", "ids_crc32"]] = np.array(found, np.int64).reshape(-1, 4)
-                yield out
+                named = batch.select(["row", "doc_id"]).take(pa.array(at, pa.int64()))
+                values = [pa.array([row[k] for row in found], field.type) for k, field in enumerate(schema)]
+                yield pa.RecordBatch.from_arrays([*named.columns, *values], names=["row", "doc_id", *schema.names])
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInPandas(tokenize, PIECES.format(id=id_type))
+    return texts.mapInArrow(tokenize, PIECES.format(id=id_type))
 
 
 class Plan:
@@ -214,7 +230,8 @@ def pack(
 
     within = Window.partitionBy("part", "length").orderBy("row", "piece")
     numbered = pieces.withColumn("within", F.row_number().over(within) - 1)
-    numbered = numbered.join(per_part.select("length", "part", "before"), ["length", "part"])
+    # One row per length and task: it grows with the tasks, so it is shuffled to the pieces, which lie by the same keys.
+    numbered = numbered.join(per_part.select("part", "length", "before").hint("merge"), ["part", "length"])
     numbered = numbered.select(
         "row", "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
         (F.col("before") + F.col("within")).cast("long").alias("number"),

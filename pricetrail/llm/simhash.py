@@ -11,15 +11,16 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import components, stored
+from pricetrail.llm.common import arrow_runs, components, stored
 
 BITS = 64
 HASHES_AT_ONCE = 1 << 16
+SLICE_CHARS = 1 << 20
 
 
 def fingerprint(data: bytes, width: int = 3, seed: int = 42) -> int:
@@ -47,10 +48,11 @@ def fingerprint(data: bytes, width: int = 3, seed: int = 42) -> int:
 def fingerprints(text: Column, width: int = 3) -> Column:
     """The fingerprint of a text column as a signed long."""
 
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        found = [fingerprint(b"" if t is None else t.encode("utf-8", "surrogatepass"), width) for t in texts]
-        return pd.Series(np.array(found, np.uint64).view(np.int64))
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:
+        runs = (run for _, run in arrow_runs(texts, SLICE_CHARS))
+        found = [fingerprint(text.encode(), width) for run in runs for text in run]
+        return pa.array(np.array(found, np.uint64).view(np.int64))
 
     return of(text)
 

@@ -12,24 +12,28 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import held_out, sigmoid, text_slices
+from pricetrail.llm.common import arrow_runs, held_out, sigmoid, text_runs
 from pricetrail.llm.training import Sample, labelled_sample
 
 ORDER, DECAY = 4, 0.8
 LONGEST = 24  # letters of a unit; longer ones are read in overlapping windows
 FLOOR = 0.32  # kernels below count as none
 CHANCE = 0.01  # words that pass the landmarks' test by chance alone, over the whole vocabulary
-KNOWN_UNITS = 400_000  # units remembered in a task
-AT_ONCE = 20_000
-SLICE_BYTES = 1 << 21
+KNOWN_UNITS = 200_000  # units remembered in a task
+AT_ONCE = 10_000
+SLICE_CHARS = 1 << 20
+SKETCH = 64  # hashes of a text's five-word runs, by which copies in the sample are told
+FOUR_ALONE = b"\x01" * 4
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -39,7 +43,7 @@ _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_]\s+){3,}[^\W\d_](?!\S)")
 def units_of(text: str) -> list[str]:
     """Lower-cased tokens; letters that stand alone, four or more in a row of one sentence, are one token."""
     tokens = text.lower().split()
-    if sum(len(t) == 1 for t in tokens) >= 4:
+    if FOUR_ALONE in bytes(map((1).__eq__, map(len, tokens))):
         for sentence in _SENTENCE_END.split(text):
             tokens += ["".join(run.split()) for run in _SPACED.findall(sentence.lower())]
     return tokens
@@ -60,26 +64,35 @@ def encoded(words: list[str]) -> np.ndarray:
 
 
 def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """The gap-weighted subsequence kernel of each row of ``s`` with the same row of ``t``."""
-    if t.ndim == 1:
-        t = np.broadcast_to(t, (len(s), len(t)))
-    wide = int((s != 0).sum(axis=1).max(initial=0))
-    n, m = len(s), t.shape[1]
-    prefix = [np.ones((n, m + 1))] + [np.zeros((n, m + 1)) for _ in range(ORDER - 1)]
+    """The gap-weighted subsequence kernel of each row of ``s`` with ``t``, or with the same row of it.
+
+    Rows go longest first, so that a letter's step takes in just the words that have one there.
+    """
+    length = (s != 0).sum(axis=1)
+    order = np.argsort(-length, kind="stable")
+    letters = np.ascontiguousarray(s[order].T)
+    other = t[:, None] if t.ndim == 1 else np.ascontiguousarray(t[order].T)
+    n, m = len(s), len(other)
+    having = np.searchsorted(-length[order], -np.arange(s.shape[1]))  # words longer than each place
+    prefix = [np.ones((m + 1, n))] + [np.zeros((m + 1, n)) for _ in range(ORDER - 1)]
     total = np.zeros(n)
-    for a in range(wide):
-        x = s[:, a : a + 1]
-        same = (t == x) & (x != 0)
-        total += DECAY**2 * (same * prefix[-1][:, :m]).sum(axis=1)
-        grown = [prefix[0]]
-        for i in range(1, ORDER):
-            steps = DECAY**2 * (same * prefix[i - 1][:, :m])
-            run = np.zeros((n, m + 1))
+    for a in range(int(length.max(initial=0))):
+        k = having[a]
+        same = other[:, : k if t.ndim > 1 else 1] == letters[a, :k]
+        ends = DECAY**2 * (same * prefix[-1][:m, :k])
+        for j in range(m):  # in this order, so that a word's sum does not depend on the words beside it
+            total[:k] += ends[j]
+        for i in range(ORDER - 1, 0, -1):
+            steps = DECAY**2 * (same * prefix[i - 1][:m, :k])
+            grown = prefix[i][:, :k]
+            grown *= DECAY
+            run = np.zeros(k)
             for j in range(m):
-                run[:, j + 1] = DECAY * run[:, j] + steps[:, j]
-            grown.append(np.where(x != 0, DECAY * prefix[i] + run, prefix[i]))
-        prefix = grown
-    return total
+                run = DECAY * run + steps[j]
+                grown[j + 1] += run
+    out = np.empty(n)
+    out[order] = total
+    return out
 
 
 @dataclass
@@ -134,16 +147,33 @@ def _log_tail(k: int, n: int, share: float) -> float:
     return max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms))
 
 
+def without_copies(texts: list[str]) -> list[str]:
+    """The texts without those that have half of their sketched five-word runs in common with an earlier one."""
+    kept: list[str] = []
+    owner: dict[int, int] = {}
+    for text in texts:
+        words = text.split()
+        runs = {zlib.crc32(" ".join(words[i : i + 5]).encode("utf-8", "replace")) for i in range(max(1, len(words) - 4))}
+        sketch = sorted(runs)[:SKETCH]
+        shared = Counter(owner[run] for run in sketch if run in owner)
+        if shared and 2 * max(shared.values()) >= len(sketch):
+            continue
+        owner.update((run, len(kept)) for run in sketch if run not in owner)
+        kept.append(text)
+    return kept
+
+
 def choose_landmarks(sample: Sample, chance: float = CHANCE) -> Landmarks:
     """The words that are in more toxic texts than chance explains, by a binomial test over the vocabulary.
 
-    How frequent the best word is plays no part.  A landmark scores by all words that reach
+    Near copies count as one text, since the test takes texts as independent.  How frequent the best word is plays no part.  A landmark scores by all words that reach
     ``FLOOR`` with it, so these together must pass as well: a word whose stem is common elsewhere does not.
     """
-    toxic, others = len(sample.texts[1]), len(sample.texts[0])
+    texts = {v: without_copies(sample.texts[v]) for v in (0, 1)}
+    toxic, others = len(texts[1]), len(texts[0])
     if not toxic or not others:
         return Landmarks([])
-    words = {v: [{w for u in units_of(text) for w in _letters(u)} for text in sample.texts[v]] for v in (0, 1)}
+    words = {v: [{w for u in units_of(text) for w in _letters(u)} for text in texts[v]] for v in (0, 1)}
     seen = {v: Counter(w for own in words[v] for w in own) for v in (0, 1)}
     limit = math.log(chance / max(1, len(seen[0].keys() | seen[1].keys())))
 
@@ -240,27 +270,28 @@ class ToxicityModel:
     def margins(self, kernels: np.ndarray) -> np.ndarray:
         return kernels @ self.beta + self.bias
 
-    def scores(self, texts: pd.Series) -> np.ndarray:
-        """The probability of class 1 of each whole text."""
-        known: dict[str, np.ndarray | None] = {}
-        out = np.full(len(texts), self.base)
-        for first, run in text_slices(texts, SLICE_BYTES):
-            words = [data.decode("utf-8", "replace") for data in run]
-            units = [set(units_of(w)) for w in words]
-            new = [u for u in set().union(*units) if u not in known]
-            if len(known) + len(new) > KNOWN_UNITS:
-                known.clear()
-                new = list(set().union(*units))
-            known.update(dict.fromkeys(new))
-            known.update(self._vectors(new))
-            for i, (text, own) in enumerate(zip(words, units, strict=True), first):
-                vectors = {u: known[u] for u in own if known[u] is not None}
-                kernels = self.sentence_kernels(text, vectors) if vectors else []
-                if kernels:
-                    worst = max(self.bias, float(self.margins(np.array(kernels)).max()))
-                    out[i] = float(sigmoid(self.slope * worst))
+    def score_run(self, texts: list[str], known: dict[str, np.ndarray | None]) -> list[float]:
+        """The probability of class 1 of each whole text; ``known`` remembers the kernels of units."""
+        units = [set(units_of(text)) for text in texts]
+        new = [u for u in set().union(*units) if u not in known]
+        if len(known) + len(new) > KNOWN_UNITS:
+            known.clear()
+            new = list(set().union(*units))
+        known.update(dict.fromkeys(new))
+        known.update(self._vectors(new))
+        out = []
+        for text, own in zip(texts, units, strict=True):
+            vectors = {u: v for u in own if (v := known[u]) is not None}
+            kernels = self.sentence_kernels(text, vectors) if vectors else []
+            worst = max(self.bias, float(self.margins(np.array(kernels)).max())) if kernels else None
+            out.append(self.base if worst is None else float(sigmoid(self.slope * worst)))
         return out
 
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        known: dict[str, np.ndarray | None] = {}
+        runs = text_runs(texts, SLICE_CHARS)
+        return np.array([score for _, run in runs for score in self.score_run(run, known)], np.float64)
+
 
 def fit_toxicity(sample: Sample) -> ToxicityModel:
     """Train on the sentences of a labelled sample; without both classes the score is the share of class 1."""
@@ -313,9 +344,14 @@ def fit_toxicity(sample: Sample) -> ToxicityModel:
 
 
 def toxicity_scores(text: Column, model: ToxicityModel) -> Column:
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(texts))
+    """The score of every text; a task remembers the kernels of units over all its batches."""
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str, np.ndarray | None] = {}
+        for texts in batches:
+            runs = arrow_runs(texts, SLICE_CHARS)
+            yield pa.array([s for _, run in runs for s in model.score_run(run, known)], pa.float64())
 
     return score(text)
 

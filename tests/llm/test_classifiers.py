@@ -158,3 +158,38 @@ def test_rare_and_short_insults_of_a_skewed_lexicon(prose):
 
 def test_letters_of_two_sentences_are_not_joined():
     assert toxicity.units_of("you a\ni d i o t")[-1] == "idiot"
+
+
+def test_kernels_and_scores_are_those_of_single_words_and_texts(prose):
+    """Bit for bit, whatever stands beside them in a batch or was remembered before."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdeé"), rng.integers(1, 25))) for _ in range(300)]
+    s = toxicity.encoded(words)
+    code = toxicity.encoded(["abcdea"])[0][:6]
+    both = toxicity.kernel(s, s), toxicity.kernel(s, code)
+    for i in range(0, 300, 17):
+        one = s[i : i + 1]
+        assert (toxicity.kernel(one, one)[0], toxicity.kernel(one, code)[0]) == (both[0][i], both[1][i])
+    toxic = [f"{prose(i, 20)} you moron. {prose(i + 1, 20)}" for i in range(40)]
+    model = toxicity.fit_toxicity(Sample({0: [prose(800 + i, 40) for i in range(60)], 1: toxic}, {0: 60, 1: 40}))
+    texts = [prose(5000 + i, 60) + (" mo-ron mxoron" if i % 3 else "") for i in range(60)] + [None, "", "m o r o n"]
+    known, apart = {}, []
+    for text in texts:
+        apart += model.score_run([text or ""], known)
+    assert model.scores(texts).tolist() == apart == [model.scores([t])[0] for t in texts]
+
+
+def test_words_of_near_copies_are_no_landmarks(prose):
+    """A rare word of one text that twelve near copies share says nothing about toxicity."""
+    copy = prose(1, 80)
+    toxic = [f"{prose(i, 20)} moron {prose(i + 1, 20)}" for i in range(40)] + [f"{copy} xyzzyra {prose(70 + i, 2)}" for i in range(12)]
+    model = toxicity.fit_toxicity(Sample({0: [prose(800 + i, 40) for i in range(300)], 1: toxic}, {0: 300, 1: 52}))
+    assert model.landmarks.words == ["moron"]
+
+
+def test_letters_that_stand_alone_are_found_as_before():
+    for text in ("a b c d", "a b c", "x a b c d y", "a. b c d e", "é à ü o", "1 2 3 4 a b c d", "I a\nm o r o n s", "A B C D."):
+        slow = text.lower().split()
+        for sentence in toxicity._SENTENCE_END.split(text):
+            slow += ["".join(run.split()) for run in toxicity._SPACED.findall(sentence.lower())]
+        assert toxicity.units_of(text) == slow

@@ -98,3 +98,13 @@ def test_odd_rows(docs, prose):
 
 def test_empty_table(docs):
     assert packing.pack(docs()).collect() == []
+
+
+def test_added_tokens_have_their_own_ids():
+    """Alone, glued to words and repeated, as the contract's tokenizer has them."""
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ours = packing.tokenizer("byte_bpe_50k.json")
+    end = "<|endoftext|>"
+    for text in (end, f"a{end}b", f"a {end} b", end * 3, f"{end}\n{end}", f"<|endoftext|{end}", "<|endoftext|", f"é{end}😀 x"):
+        assert ours.encode(text, allowed_special="all") == theirs.encode(text, add_special_tokens=False).ids
+    assert ours.encode(end, allowed_special="all") == [50256]
