@@ -28,6 +28,7 @@ from pricetrail.llm.training import Sample, labelled_sample
 ORDER, DECAY = 4, 0.8
 LONGEST = 24  # letters of a unit; longer ones are read in overlapping windows
 FLOOR = 0.32  # kernels below count as none
+COVERED = 0.5  # a word with such a kernel with a landmark is no further landmark
 CHANCE = 0.01  # words that pass the landmarks' test by chance alone, over the whole vocabulary
 KNOWN_UNITS = 200_000  # units remembered in a task
 AT_ONCE = 10_000
@@ -98,12 +99,29 @@ def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
 @dataclass
 class Landmarks:
     words: list[str]
-    codes: list[np.ndarray] = field(init=False)
+    codes: np.ndarray = field(init=False)  # a row of letters for each, 0 after its end
+    lengths: np.ndarray = field(init=False)
     norms: np.ndarray = field(init=False)
+    letters: np.ndarray = field(init=False)  # all that occur, sorted
+    masks: np.ndarray = field(init=False)
+    needs: np.ndarray = field(init=False)  # how many bits of its mask a word must have
 
     def __post_init__(self):
-        self.codes = [row[row != 0] for row in encoded(self.words)] if self.words else []
-        self.norms = np.array([np.sqrt(kernel(c[None, :], c)[0]) for c in self.codes])
+        self.codes = encoded(self.words) if self.words else np.zeros((0, LONGEST), np.int32)
+        self.lengths = (self.codes != 0).sum(axis=1)
+        self.norms = np.sqrt(kernel(self.codes, self.codes))
+        self.letters = np.unique(self.codes[self.codes != 0])
+        self.masks = self._masks(self.codes)
+        different = np.array([len(set(w)) for w in self.words], np.int64)
+        self.needs = np.bitwise_count(self.masks) - (different > ORDER)
+
+    def _masks(self, codes: np.ndarray) -> np.ndarray:
+        """A bit for each letter of the landmarks that a row has; beyond 63 letters some share a bit."""
+        if not len(self.letters):
+            return np.zeros(len(codes), np.int64)
+        at = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        bits = np.where(self.letters[at] == codes, np.int64(1) << (at % 63), 0)
+        return np.bitwise_or.reduce(bits, axis=1)
 
     def kernels(self, words: list[str]) -> np.ndarray:
         """Normalized kernels of words with the landmarks.
@@ -111,29 +129,30 @@ class Landmarks:
         A word that lacks more than one of a landmark's different letters (none of four) shares
         too few subsequences to reach ``FLOOR``; such pairs are not computed and count as 0.
         Landmarks shorter than ``ORDER`` have no subsequences: they are 1 for the equal word, else 0.
+        The pairs of all landmarks of one length are computed together.
         """
         out = np.zeros((len(words), len(self.words)))
-        for low in range(0, len(words), AT_ONCE):
+        for low in range(0, len(words) if self.words else 0, AT_ONCE):
             s = encoded(words[low : low + AT_ONCE])
-            letters = sorted({int(c) for code in self.codes for c in code})
-            has = {c: (s == c).any(axis=1) for c in letters}
-            tried = []
-            length = (s != 0).sum(axis=1)
-            for code in self.codes:
-                different = set(code.tolist())
-                need = len(different) - (len(different) > ORDER)
-                alike = length >= ORDER if len(code) >= ORDER else length == len(code)
-                tried.append((sum(has[c].astype(np.int8) for c in different) >= need) & alike)
-            some = np.flatnonzero(np.any(tried, axis=0)) if tried else np.array([], int)
+            length, masks = (s != 0).sum(axis=1), self._masks(s)
+            tried = np.empty((len(s), len(self.words)), bool)
+            for j in range(len(self.words)):
+                alike = length >= ORDER if self.lengths[j] >= ORDER else length == self.lengths[j]
+                tried[:, j] = (np.bitwise_count(masks & self.masks[j]) >= self.needs[j]) & alike
+            some = np.flatnonzero(tried.any(axis=1))
             own = np.zeros(len(s))
             own[some] = np.sqrt(kernel(s[some], s[some]))
-            for j, (code, rows) in enumerate(zip(self.codes, tried, strict=True)):
-                at = np.flatnonzero(rows)
-                if len(code) < ORDER:
-                    out[low + at, j] = (s[at, : len(code)] == code).all(axis=1)
-                    continue
-                k = kernel(s[at], code) / (own[at] * self.norms[j])
-                out[low + at, j] = np.where(k >= FLOOR, k, 0.0)
+            for n in np.unique(self.lengths):
+                of_length = np.flatnonzero(self.lengths == n)
+                at, which = np.nonzero(tried[:, of_length])
+                which = of_length[which]
+                for first in range(0, len(at), AT_ONCE):
+                    i, j = at[first : first + AT_ONCE], which[first : first + AT_ONCE]
+                    if n < ORDER:
+                        out[low + i, j] = (s[i] == self.codes[j]).all(axis=1)
+                        continue
+                    k = kernel(s[i], self.codes[j, :n]) / (own[i] * self.norms[j])
+                    out[low + i, j] = np.where(k >= FLOOR, k, 0.0)
         return out
 
 
@@ -168,6 +187,7 @@ def choose_landmarks(sample: Sample, chance: float = CHANCE) -> Landmarks:
 
     Near copies count as one text, since the test takes texts as independent.  How frequent the best word is plays no part.  A landmark scores by all words that reach
     ``FLOOR`` with it, so these together must pass as well: a word whose stem is common elsewhere does not.
+    Forms of one stem get one landmark, or a few where they are far apart.
     """
     texts = {v: without_copies(sample.texts[v]) for v in (0, 1)}
     toxic, others = len(texts[1]), len(texts[0])
@@ -186,8 +206,10 @@ def choose_landmarks(sample: Sample, chance: float = CHANCE) -> Landmarks:
     some = sorted((w for w in tails if tails[w] <= limit), key=lambda w: (tails[w], w))
     vocabulary = sorted(seen[0].keys() | seen[1].keys())
     near = Landmarks(some).kernels(vocabulary) > 0
-    chosen = []
+    chosen: list[str] = []
     for j, word in enumerate(some):
+        if chosen and (Landmarks([word]).kernels(chosen)[:, 0] >= COVERED).any():
+            continue
         group = {vocabulary[i] for i in np.flatnonzero(near[:, j])}
         inside, outside = (sum(not group.isdisjoint(own) for own in words[v]) for v in (1, 0))
         if log_chance(inside, outside) <= limit:
