@@ -16,6 +16,16 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return open_table(spark, path, LEDGER)
 
 
+def known_files(ledger: DataFrame, table: str) -> DataFrame:
+    """Paths that a table has loaded."""
+    return ledger.filter(F.col("table_name") == table).select(F.col("file_name").alias("path"))
+
+
+def listed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Path (as a stage lists it), size and time of given files; no content is read."""
+    return spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+
+
 def pending_files(
     spark: SparkSession, stage: Stage, ledger: DataFrame, table: str, modified_after: datetime | None = None
 ) -> DataFrame:
@@ -23,8 +33,7 @@ def pending_files(
 
     Names are compared, not rows: loaded files are never opened again.
     """
-    seen = ledger.filter(F.col("table_name") == table).select(F.col("file_name").alias("path"))
-    return stage.list_files(spark, modified_after).join(seen, "path", "left_anti")
+    return stage.list_files(spark, modified_after).join(known_files(ledger, table), "path", "left_anti")
 
 
 def record_files(files: DataFrame, table: str, loaded_at: datetime, path: str) -> None:

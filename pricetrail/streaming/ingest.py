@@ -8,9 +8,11 @@ watermark: the target table is the state, and both merges are idempotent.  With
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pricetrail.operators.conform import split_rejects
@@ -19,6 +21,7 @@ from pricetrail.plans.loads import merge_files, merge_item_rows
 from pricetrail.plans.maintained import Maintained
 from pricetrail.schemas import PRICES
 from pricetrail.sources.landing import Stage, path_exists, written_by_stream
+from pricetrail.sources.ledger import known_files, listed_files, read_ledger, record_files
 from pricetrail.sources.versions import VersionedTable
 
 
@@ -75,7 +78,7 @@ def _each_batch(
 def merge_stream(
     spark: SparkSession, stage: Stage, target_path: str, checkpoint: str,
     rejects_path: str | None = None, available_now: bool = True, max_files: int | None = MAX_FILES,
-    maintained: Maintained | None = None,
+    maintained: Maintained | None = None, ledger_path: str | None = None, table: str = "prices",
 ) -> StreamingQuery:
     """Insert-only merge of arriving price files; each batch keeps its rejects.
 
@@ -83,15 +86,27 @@ def merge_stream(
     which files are new, at most ``max_files`` at a time; they are then read as a batch load
     reads them, by their own types.  An unreadable file fails the query, unless its stage
     passes over such files.
+
+    With ``ledger_path`` stream and batch loads share one ledger: files that it names are not read,
+    and a batch enters its own files after its data.  A batch that is repeated finds its rows in
+    the table, or its files in the ledger, and adds nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rejects = f"{rejects_path or f'{target_path}/_rejects'}/batch={batch_id}"
+        spark = batch.sparkSession
         paths = sorted(unquote(row["file_path"]) for row in batch.distinct().collect())
+        files = None
+        if paths and ledger_path:
+            files = listed_files(spark, paths).join(known_files(read_ledger(spark, ledger_path), table), "path", "left_anti")
+            files = spark.createDataFrame(files.collect(), files.schema)  # of one batch
+            paths = [row["path"] for row in files.orderBy("path").collect()]
         if paths:
             done, _, _ = merge_files(batch.sparkSession, stage, paths, target_path, rejects, maintained)
             if len(done) < len(paths) and not stage.skip_unreadable:
                 raise ValueError(f"unreadable: {sorted(set(paths) - set(done))}")
+            if files is not None and done:
+                record_files(files.filter(F.col("path").isin(done)), table, datetime.now(), ledger_path)
 
     arrivals = read_arrivals(spark, stage, max_files).select("_metadata.file_path")
     return _each_batch(arrivals, apply, checkpoint, available_now)

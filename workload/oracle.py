@@ -213,6 +213,7 @@ ORDER BY i.name, i.set_name, i.id LIMIT 10000"""
 
 
 ORACLE["search_items"] = _search("lower(i.name) LIKE '%red%' AND lower(i.set_name) LIKE '%brand#1%'")
+ORACLE["search_indexed"] = ORACLE["search_items"]
 ORACLE["search_items_any"] = _search("TRUE")
 ORACLE["search_from_state"] = _search("TRUE", f"{PRICES_MONTH}, {ITEMS_MONTH}", "prices_month", "items_month")
 ORACLE["table_fn_search"] = ORACLE["search_items"]
@@ -377,6 +378,25 @@ SELECT 1 AS turn, 'prices' AS table_name, count(*) AS rows_inserted, 0 AS rows_r
 FROM prices_m WHERE pull_date < DATE '2024-01-16'
 UNION ALL SELECT 2, 'prices', count(*), 0 FROM prices_m WHERE pull_date >= DATE '2024-01-16'
 UNION ALL SELECT 3, 'prices', 0, 0"""
+ORACLE["stream_then_batch"] = f"""WITH {PRICES_M}
+SELECT 1 AS turn, FALSE AS new_files, 0 AS rows_inserted
+UNION ALL SELECT 2, TRUE, count(*) FROM prices_m WHERE pull_date >= DATE '2024-01-16'
+UNION ALL SELECT 3, FALSE, count(*) FROM prices_m"""
+_RECONCILED = f"""WITH {PRICES_M}, days AS (
+    SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS pull_date),
+counted AS (
+    SELECT d.pull_date, count(id) FILTER (day(d.pull_date) NOT IN (10, 11, 12)) AS landed_rows,
+           count(id) FILTER (day(d.pull_date) NOT IN (10, 11, 12)
+               AND NOT (day(d.pull_date) = 25 AND id % 2 = 0) AND NOT (day(d.pull_date) = 20 AND id % 2 = 1)) AS curated_rows
+    FROM days d LEFT JOIN prices_m p ON p.pull_date = d.pull_date GROUP BY 1),
+reconciled AS (
+    SELECT *, CASE WHEN landed_rows = 0 THEN 'missing' WHEN day(pull_date) = 20 AND curated_rows < landed_rows THEN 'not loaded'
+        WHEN curated_rows < landed_rows THEN 'short' ELSE 'complete' END AS state FROM counted)"""
+ORACLE["reconcile_days"] = f"{_RECONCILED} SELECT * FROM reconciled"
+ORACLE["missing_ranges"] = f"""{_RECONCILED}, placed AS (
+    SELECT pull_date, pull_date - CAST(row_number() OVER (ORDER BY pull_date) AS INTEGER) AS run
+    FROM reconciled WHERE state = 'missing')
+SELECT min(pull_date) AS first_day, max(pull_date) AS last_day, count(*) AS n_days FROM placed GROUP BY run"""
 ORACLE["load_mixed_types"] = ORACLE["shared_table_load"] = ORACLE["stream_ingest"]
 ORACLE["merge_pruned"] = f"""WITH {LANDED}, views AS (
     SELECT DISTINCT CAST(user_id AS VARCHAR) AS id, CAST(ts AS DATE) AS pull_date FROM events WHERE event_type = 'view')

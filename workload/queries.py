@@ -19,6 +19,7 @@ from pricetrail.plans.views import LAUNCH_VIEWS
 from pricetrail.schemas import ITEM_RENAMES, ITEMS, MOVER_SLICE, PRICES, RAW_WIDE
 from pricetrail.session import scratch_dir
 from pricetrail.sources import compaction, landing, ledger, snapshots, versions
+from pricetrail.sources.name_index import NameIndex
 from pricetrail.streaming import ingest
 from workload import frames
 from workload.frames import AS_OF, SNAPSHOT_DAY, USAGE_AS_OF, plain
@@ -197,6 +198,16 @@ def search_items_any(spark, sf):
     return plain(lookup.search_items(frames.prices_l(spark, sf), frames.items_l(spark, sf), None, ""))
 
 
+@query
+def search_indexed(spark, sf):
+    """``search_items`` by an index of three-letter runs, made of all but the promotional items first."""
+    items = frames.items_l(spark, sf)
+    index = NameIndex(spark, scratch_dir(spark, "names"), items.schema["id"].dataType)
+    for known in (items.filter(F.col("set_type") != "PROMO"), items):
+        index.update(known)
+    return plain(index.search(frames.prices_l(spark, sf), items, "red", "brand#1"))
+
+
 @query
 def search_from_state(spark, sf):
     """Every item of the month with its kept statistics."""
@@ -492,6 +503,68 @@ def compact_days(spark, sf):
     return plain(whole.select("id", "usd", "usd_foil", "pull_date", (F.col("n") <= 2).alias("few_files")))
 
 
+@query
+def stream_then_batch(spark, sf):
+    """One ledger: a stream loads the first half, a batch finds nothing new there, then loads the rest, of which the stream finds nothing."""
+    base = scratch_dir(spark, "ledgers")
+    stage = landing.price_stage(f"{base}/landing")
+    prices, entries = f"{base}/prices", f"{base}/ledger"
+    reports = []
+
+    def stream():
+        ingest.merge_stream(spark, stage, prices, f"{base}/checkpoint", ledger_path=entries).awaitTermination()
+
+    def batch(turn):
+        done = loads.load_prices(spark, stage, prices, entries, datetime(2024, 2, turn))
+        reports.append(done.select(F.lit(turn).alias("turn"), (F.col("files_loaded") > 0).alias("new_files"), "rows_inserted"))
+
+    first, second = _halves(spark, sf)
+    landing.write_days(first, stage.path)
+    stream()
+    batch(1)
+    landing.write_days(second, stage.path)
+    batch(2)
+    before = ledger.read_ledger(spark, entries).count()
+    stream()
+    after = ledger.read_ledger(spark, entries)
+    twice = after.groupBy("file_name").agg(F.count("*").alias("n")).filter("n > 1").count()
+    total = landing.open_prices(spark, prices).count()
+    reports.append(loads.one_row(spark, rows=total).select(
+        F.lit(3).alias("turn"), F.lit(after.count() > before or twice > 0).alias("new_files"), F.col("rows").alias("rows_inserted")
+    ))
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+def _reconciled(spark, sf):
+    """The month without three days, loaded; then one day gets a file more, and another loses rows on the way."""
+    base = scratch_dir(spark, "reconcile")
+    stage, rows = landing.price_stage(f"{base}/landing"), frames.landing_rows(spark, sf)
+    day = F.dayofmonth(F.col("pull_date").cast("date"))
+    usd = F.when((day == 25) & (F.col("id").cast("long") % 2 == 0), F.lit("no price")).otherwise(F.col("usd").cast("string"))
+    for n, part in enumerate((day == 25, ~day.isin(10, 11, 12, 20, 25))):
+        given = rows.filter(part).withColumn("usd", usd) if n == 0 else rows.filter(part)
+        landing.write_days(given, stage.path)
+    landing.write_days(rows.filter((day == 20) & (F.col("id").cast("long") % 2 == 0)), stage.path)
+    loads.load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 2, 1))
+    late = rows.filter((day == 20) & (F.col("id").cast("long") % 2 == 1))
+    late.write.mode("append").parquet(landing.day_path(stage.path, date(2024, 1, 20)))
+    files = checks.partition_files(spark, {"prices": stage})
+    landed = stage.reader(spark).option("mergeSchema", False).load(stage.path).select("pull_date")
+    entries = ledger.read_ledger(spark, f"{base}/ledger")
+    days = checks.calendar(spark, date(2024, 1, 1), date(2024, 1, 30))
+    return checks.reconcile_days(days, files, entries, landed, landing.open_prices(spark, f"{base}/prices"))
+
+
+@query
+def reconcile_days(spark, sf):
+    return _reconciled(spark, sf).select("pull_date", "landed_rows", "curated_rows", "state")
+
+
+@query
+def missing_ranges(spark, sf):
+    return checks.day_ranges(_reconciled(spark, sf))
+
+
 @query
 def load_items(spark, sf):
     """Outcomes of loading a snapshot, an older one, and a newer one."""
