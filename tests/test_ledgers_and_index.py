@@ -50,7 +50,7 @@ def test_a_search_reads_its_own_postings(spark, base, items):
     text = plan_of(index._matches("name", "7919"))
     folders = re.search(r"PartitionFilters: \[([^\n]*?)\], PushedFilters: \[([^\n]*?)\]", text)
     assert "(field" in folders[1] and "= name)" in folders[1] and len(set(re.findall(r"\d+", folders[1].split(" IN ")[1]))) <= 2
-    assert "In(run, [791,919])" in folders[2]
+    assert folders[2].endswith("In(run, [791,919")
 
 
 def arrive(spark, stage, day, *values):
