@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BAD_COLUMNS = "bad_columns"
+RECORD, ORIGIN_FILE, ORIGIN_ROW = "reject_record", "reject_file", "reject_row"
+
+REJECT_TRACE = (
+    T.StructField(RECORD, T.MapType(T.StringType(), T.StringType())),
+    T.StructField(ORIGIN_FILE, T.StringType()),
+    T.StructField(ORIGIN_ROW, T.LongType()),
+)
 
 
 def _source_names(df: DataFrame, renames: dict[str, str] | None) -> dict[str, str]:
@@ -65,6 +72,33 @@ def conform_checked(
     return df.select(*[value for _, _, value in typed], F.array_compact(F.array(*failed)).alias(BAD_COLUMNS))
 
 
+def conform_traced(
+    df: DataFrame,
+    schema: T.StructType,
+    renames: dict[str, str] | None = None,
+    required: Collection[str] = (),
+) -> DataFrame:
+    """``conform_checked``, where an unfit row also keeps its values as they came, and where it came from.
+
+    The values are a map from lower-cased column name to text.  File and row number are those
+    of ``Stage.read_files``; a row without them is told by a hash of its values, so that equal rows count once.
+    """
+    origin = {ORIGIN_FILE: F.lit(None).cast("string"), ORIGIN_ROW: F.lit(None).cast("bigint")}
+    given = df.withColumns({name: value for name, value in origin.items() if name not in df.columns})
+    own = [name for name in given.columns if name not in origin]
+    pairs = [part for name in own for part in (F.lit(name.lower()), F.col(f"`{name}`").cast("string"))]
+    record = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
+    held = given.withColumn(RECORD, record)
+    checked = conform_checked(held, T.StructType([*schema.fields, *REJECT_TRACE]), renames, required)
+    unfit = F.size(BAD_COLUMNS) > 0
+    by_value = F.xxhash64(F.map_entries(RECORD))
+    return checked.withColumns({
+        ORIGIN_ROW: F.when(unfit, F.coalesce(ORIGIN_ROW, by_value)),
+        ORIGIN_FILE: F.when(unfit, F.coalesce(ORIGIN_FILE, F.lit(""))),
+        RECORD: F.when(unfit, F.col(RECORD)),
+    })
+
+
 def split_rejects(
     df: DataFrame,
     schema: T.StructType,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -37,9 +38,9 @@ def static_fields(raw: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def wide_schema() -> dict[str, str]:
+def wide_schema(numbers: str = "int") -> dict[str, str]:
     """Column -> type of the wide item table, in table order."""
-    types = {name: "int" for name in ITEM_NUMBERS} | {name: "boolean" for name in ("highres_image", *ITEM_FLAGS)}
+    types = {name: numbers for name in ITEM_NUMBERS} | {name: "boolean" for name in ("highres_image", *ITEM_FLAGS)}
     types |= {name: "date" for name in ("released_at", "preview_previewed_at", "pull_date")}
     return {name: types.get(name, "string") for name in WIDE_COLUMNS}
 
@@ -62,11 +63,13 @@ def _wide_value(column: str, as_of: date) -> Column:
     return F.col(column)
 
 
-def flatten_wide(raw: DataFrame, as_of: date) -> DataFrame:
+def flatten_wide(raw: DataFrame, as_of: date, numbers: str = "int", more: Iterable[str] = ()) -> DataFrame:
     """The 101-column item table: nested fields by path, lists as text, two faces.
 
-    A missing second face, list or struct gives NULL.
+    A missing second face, list or struct gives NULL.  Whole numbers get the type ``numbers``; the
+    fields ``more`` follow as they are.
     """
     return raw.select(
-        [_wide_value(name, as_of).try_cast(kind).alias(name) for name, kind in wide_schema().items()]
+        *[_wide_value(name, as_of).try_cast(kind).alias(name) for name, kind in wide_schema(numbers).items()],
+        *[F.col(f"`{name}`") for name in more],
     )

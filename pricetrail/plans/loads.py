@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricetrail.operators.conform import BAD_COLUMNS, conform_checked
+from pricetrail.operators.conform import BAD_COLUMNS, REJECT_TRACE, conform_checked, conform_traced
 from pricetrail.operators.merge import PRICE_KEY, new_price_rows
 from pricetrail.plans.maintained import Maintained
 from pricetrail.schemas import ITEM_RENAMES, ITEMS, PRICES
@@ -36,7 +36,7 @@ def stage_prices(spark: SparkSession, landed: DataFrame) -> tuple[DataFrame, int
     Everything after this reads the written rows, however often it needs them.
     """
     path = scratch_dir(spark, "staged")
-    checked = conform_checked(landed, PRICES, required=PRICE_KEY)
+    checked = conform_traced(landed, PRICES, required=PRICE_KEY)
     unfit = F.count_if(F.size(BAD_COLUMNS) > 0)
     bad = write_observed(checked, lambda writer: writer.parquet(path), bad=unfit)["bad"]
     return spark.read.schema(checked.schema).parquet(path), bad
@@ -53,7 +53,7 @@ def merge_staged(
         maintained.recover()
     fit = F.size(BAD_COLUMNS) == 0
     staged.filter(~fit).write.mode("overwrite").parquet(rejects_path)
-    clean = staged.filter(fit).drop(BAD_COLUMNS)
+    clean = staged.filter(fit).drop(BAD_COLUMNS, *[field.name for field in REJECT_TRACE])
     fresh = new_price_rows(open_prices(spark, target_path), clean, keyless=False)
     return maintained.append(fresh) if maintained else append_prices(fresh, target_path)
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSe
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricetrail.operators.conform import ORIGIN_FILE, ORIGIN_ROW
 from pricetrail.schemas import DAY_PARTITIONS, GENERATIONS, LANDING_ITEMS, LANDING_PRICES, PRICES
 
 
@@ -72,8 +73,12 @@ class Stage:
 
         A reader that is told other types may fail, or take the digits of a decimal for a
         whole number.  Files whose types differ from each other do not read together.
+        Two columns say where a row is: its file, and in Parquet its number there.
         """
-        return self.reader(spark).option("mergeSchema", True).load(paths)
+        files = self.reader(spark).option("mergeSchema", True).load(paths)
+        row = F.col("_metadata.row_index") if self.fmt == "parquet" else F.lit(None).cast("bigint")
+        own = [F.col(f"`{name}`") for name in files.columns if name.lower() not in (ORIGIN_FILE, ORIGIN_ROW)]
+        return files.select(*own, F.col("_metadata.file_path").alias(ORIGIN_FILE), row.alias(ORIGIN_ROW))
 
     def list_files(self, spark: SparkSession, modified_after: datetime | None = None) -> DataFrame:
         """Path, size and time of each data file; no content is read.

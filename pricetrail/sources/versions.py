@@ -20,11 +20,12 @@ ROWS_PER_GROUP = 1_000_000
 
 @dataclass(frozen=True)
 class Version:
-    """One version: its number, the path of every part, and how many rows all parts have."""
+    """One version: its number, the path of every part, how many rows all parts have, and its schema if versions may differ."""
 
     number: int
     parts: dict[str, str]
     rows: int
+    schema: str | None = None
 
 
 class Versions:
@@ -49,15 +50,15 @@ class Versions:
         rows = entries.filter(F.col("version") == entries.agg(F.max("version")).scalar()).collect()
         parts = {row["part"]: row["path"] for row in rows if row["part"] is not None}
         whole = next((row for row in rows if row["part"] is None), None)
-        return Version(whole["version"], parts, whole["rows"]) if whole else Version(0, {}, 0)
+        return Version(whole["version"], parts, whole["rows"], whole["schema"]) if whole else Version(0, {}, 0)
 
     def new_path(self, version: int) -> str:
         return f"{self.base}/data/{version:08d}-{uuid.uuid4().hex}"
 
     def commit(self, version: Version, *loads: str) -> None:
         """Make a version current, which takes in ``loads``."""
-        rows = [(version.number, None, None, version.rows, load) for load in loads or (None,)]
-        rows += [(version.number, part, path, None, None) for part, path in sorted(version.parts.items())]
+        rows = [(version.number, None, None, version.rows, load, version.schema) for load in loads or (None,)]
+        rows += [(version.number, part, path, None, None, None) for part, path in sorted(version.parts.items())]
         entry = self.spark.createDataFrame(rows, PARTS).coalesce(1)  # one file: all parts or none
         entry.write.mode("append").parquet(f"{self.base}/versions")
 
@@ -88,6 +89,10 @@ class GroupedTable(Versions):
         self.schema = schema
         self.rows_per_group = rows_per_group
 
+    def stated_schema(self) -> str | None:
+        """The schema that a version's entry states; here all versions have the table's."""
+        return None
+
     def _part(self, group: int, groups: int) -> str:
         return f"{group}of{groups}"
 
@@ -142,7 +147,8 @@ class GroupedTable(Versions):
         path, seen = self._write(rows, of, wanted, {**(metrics or {}), **seen_rows})
         kept = {} if changed is None else {p: v for p, v in of.parts.items() if int(p.split("of")[0]) not in changed}
         parts = {**kept, **self._written(path, wanted)}
-        self.commit(Version(of.number + 1, parts, total if total is not None else seen["rows"]), *loads)
+        count = total if total is not None else seen["rows"]
+        self.commit(Version(of.number + 1, parts, count, self.stated_schema()), *loads)
         return {name: seen[name] for name in metrics} if metrics else seen
 
     def replace(self, rows: DataFrame, **metrics: Column) -> dict:
@@ -159,7 +165,10 @@ class VersionedTable(GroupedTable):
         What changes is found on ids and dates, of the groups alone that the rows touch.  Only
         groups with a change are read whole and written; without one, no version is.
         """
-        old = self.newest()
+        return self.merge_into(self.newest(), rows)
+
+    def merge_into(self, old: Version, rows: DataFrame) -> dict:
+        """``upsert`` into the newest version, which is ``old``."""
         groups = self._groups(old)
         touched = self.touched(old, rows)
         narrow = [part.select("id", "pull_date") for part in (self.read_groups(old, touched), rows)]
@@ -171,7 +180,7 @@ class VersionedTable(GroupedTable):
             return outcome
         total = old.rows + outcome["rows_inserted"]
         if self._wanted(total) > groups:
-            self.rewrite(classified_upsert(self.current(), rows), old, None, total)
+            self.rewrite(classified_upsert(self._read(old.parts.values()), rows), old, None, total)
         else:
             given = rows if len(changed) == groups else rows.filter(self._group(groups).isin(changed))
             self.rewrite(classified_upsert(self.read_groups(old, changed), given), old, changed, total)

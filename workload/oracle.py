@@ -321,6 +321,14 @@ _WIDE = {
 }
 ORACLE["flatten_wide"] = "SELECT " + ", ".join(f"{value} AS {name}" for name, value in _WIDE.items()) + " FROM part"
 
+_LATER = _WIDE | {"edhrec_rank": "p_size + 3000000000"}
+_EARLIER = _WIDE | {"pull_date": f"DATE '{SNAPSHOT_DAY}' - 7", "edhrec_rank": "CAST(p_size AS BIGINT)"}
+ORACLE["load_wide"] = f"""
+SELECT {", ".join(f"{value} AS {name}" for name, value in _LATER.items())}, 'note ' || p_partkey AS release_note
+FROM part WHERE p_size % 4 <> 1
+UNION ALL
+SELECT {", ".join(f"{value} AS {name}" for name, value in _EARLIER.items())}, NULL FROM part WHERE p_size % 4 = 1 AND p_type <> 'PROMO'"""
+
 # --- merges -------------------------------------------------------------------------------
 
 ORACLE["merge_insert_only"] = f"""WITH {line_prices("target", "l_linestatus = 'F'")},
@@ -397,6 +405,10 @@ ORACLE["missing_ranges"] = f"""{_RECONCILED}, placed AS (
     SELECT pull_date, pull_date - CAST(row_number() OVER (ORDER BY pull_date) AS INTEGER) AS run
     FROM reconciled WHERE state = 'missing')
 SELECT min(pull_date) AS first_day, max(pull_date) AS last_day, count(*) AS n_days FROM placed GROUP BY run"""
+ORACLE["replay_rejects"] = f"""WITH {LANDED}
+SELECT id, CASE WHEN state = 'loaded' THEN usd END AS usd, usd_foil, pull_date, state
+FROM (SELECT *, CASE WHEN CAST(id AS BIGINT) % 3 <> 0 AND day(pull_date) = 25 THEN 'rejected' ELSE 'loaded' END AS state
+      FROM landed)"""
 ORACLE["load_mixed_types"] = ORACLE["shared_table_load"] = ORACLE["stream_ingest"]
 ORACLE["merge_pruned"] = f"""WITH {LANDED}, views AS (
     SELECT DISTINCT CAST(user_id AS VARCHAR) AS id, CAST(ts AS DATE) AS pull_date FROM events WHERE event_type = 'view')

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pricetrail.functions.columns import file_name, megabytes
 from pricetrail.functions.table_functions import register_item_prices, register_item_search
 from pricetrail.operators import checks, curves, flatten, lookup, merge, movers, usage
 from pricetrail.operators.conform import BAD_COLUMNS, conform, conform_checked
-from pricetrail.plans import loads
+from pricetrail.plans import loads, replay, wide
 from pricetrail.plans.daily import Lake, land_snapshot, run_day
 from pricetrail.plans.maintained import ItemStats, LaunchState
 from pricetrail.plans.views import LAUNCH_VIEWS
@@ -273,6 +273,21 @@ def flatten_wide(spark, sf):
     return flatten.flatten_wide(raw, SNAPSHOT_DAY)
 
 
+@query
+def load_wide(spark, sf):
+    """A first snapshot without promotional items, then one without every fourth size, with a new field and wider ranks."""
+    base = scratch_dir(spark, "wide")
+    raw, rank = frames.raw_items(spark, sf), F.col("edhrec_rank")
+    first = raw.filter(F.col("set_type") != "PROMO")
+    second = raw.filter(rank % 4 != 1).withColumn("release_note", F.concat(F.lit("note "), "id"))
+    second = second.withColumn("edhrec_rank", rank + F.lit(3_000_000_000))
+    table = wide.wide_table(spark, f"{base}/table", rows_per_group=500)
+    for day, records in ((SNAPSHOT_DAY - timedelta(days=7), first), (SNAPSHOT_DAY, second)):
+        records.write.json(f"{base}/{day}")
+        wide.load_wide(spark, f"{base}/{day}", table, day)
+    return table.current()
+
+
 @query
 def conform_by_name(spark, sf):
     items = frames.landing_item_rows(spark, sf, SNAPSHOT_DAY)
@@ -455,6 +470,23 @@ def copy_new_files(spark, sf):
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
+@query
+def replay_rejects(spark, sf):
+    """Prices with a currency sign and without a price are rejected; a rule for the sign lets its rows through, twice applied."""
+    base = scratch_dir(spark, "replay")
+    stage = landing.price_stage(f"{base}/landing")
+    signed, unpriced = F.col("id").cast("long") % 3 == 0, F.dayofmonth(F.col("pull_date").cast("date")) == 25
+    usd = F.col("usd").cast("string")
+    spelled = F.when(signed, F.concat(F.lit("$"), usd)).when(unpriced, "no price").otherwise(usd)
+    landing.write_days(frames.landing_rows(spark, sf).withColumn("usd", spelled), stage.path)
+    loads.load_prices(spark, stage, f"{base}/prices", f"{base}/ledger", datetime(2024, 2, 1))
+    for _ in range(2):
+        replay.replay_rejects(spark, f"{base}/prices", {"usd": F.regexp_replace("usd", r"^\$", "")})
+    rest = replay.outstanding_rejects(spark, f"{base}/prices/_rejects").select(PRICES.fieldNames())
+    loaded = landing.open_prices(spark, f"{base}/prices").withColumn("state", F.lit("loaded"))
+    return plain(loaded.unionByName(rest.withColumn("state", F.lit("rejected"))))
+
+
 @query
 def load_mixed_types(spark, sf):
     """Files with prices as doubles, decimals and text, and one that is no table, in one load."""
