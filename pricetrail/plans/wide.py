@@ -58,7 +58,7 @@ def load_wide(
 ) -> DataFrame:
     """Merge one day's snapshot into the wide item table; returns one row of counts and a message.
 
-    Fields that the table does not know become columns of text (nested ones as JSON), but for those ``left_out``.  A
+    Fields that the table does not know become columns of text (nested ones as JSON, numbers as the reader spells them), but for those ``left_out``.  A
     number column becomes as wide as the whole numbers that the snapshot has for it; text that is no whole
     number loads as NULL.  The snapshot is parsed and written once; records that cannot be
     read or have no id are kept below the table's ``rejects`` and counted.

