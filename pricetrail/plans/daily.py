@@ -14,6 +14,7 @@ from pricetrail.operators.flatten import daily_prices, static_fields
 from pricetrail.operators.merge import newest_per_item
 from pricetrail.operators.movers import price_movers
 from pricetrail.plans.loads import merge_items, merge_prices, one_row
+from pricetrail.plans.maintained import Maintained
 from pricetrail.schemas import ITEM_RENAMES, ITEMS
 from pricetrail.sources.landing import (
     Stage,
@@ -73,13 +74,14 @@ def land_snapshot(spark: SparkSession, raw: DataFrame, lake: Lake, day: date) ->
 
 
 def run_day(
-    spark: SparkSession, snapshot_path: str, lake: Lake, day: date, layout: str = "lines"
+    spark: SparkSession, snapshot_path: str, lake: Lake, day: date, layout: str = "lines", maintained: Maintained | None = None
 ) -> DataFrame:
     """Everything one day needs; safe to repeat for the same or a past day.
 
     Returns (dataset, row_count) of the landing files, of the rows merged, and of what was left
     out and kept aside: unreadable records, price rows unfit to load, items without id.
     The report is the day's own: it shows the items as that day's snapshot had them.
+    ``maintained`` are states that follow the fact, such as the copy by item; they take in the day's new prices.
     """
     parsed = parse_snapshot(spark, snapshot_path, layout=layout).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -90,7 +92,7 @@ def run_day(
     finally:
         parsed.unpersist()
     rejects = day_path(f"{lake.base}/rejects", day)
-    merged = merge_prices(spark, lake.landing_prices.read_day(spark, day), lake.prices, rejects)
+    merged = merge_prices(spark, lake.landing_prices.read_day(spark, day), lake.prices, rejects, maintained)
     changed = merge_items(spark, lake.landing_items, lake.items(spark), day)
     items = conform(lake.landing_items.read_day(spark, day), ITEMS, ITEM_RENAMES)
     items = newest_per_item(items.filter(F.col("id").isNotNull()))

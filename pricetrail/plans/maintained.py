@@ -21,6 +21,7 @@ from pricetrail.operators.maintained import (
 from pricetrail.operators.merge import new_price_rows
 from pricetrail.schemas import ITEM_STATS, JOURNAL, LAUNCH_STATE, PRICES, TRAITS
 from pricetrail.session import scratch_dir
+from pricetrail.sources.by_id import CopyById
 from pricetrail.sources.landing import append_prices, open_prices, open_table, write_observed
 from pricetrail.sources.versions import GroupedTable, Version, Versions
 
@@ -114,7 +115,7 @@ class Maintained:
     a state takes in a load exactly once.
     """
 
-    def __init__(self, spark: SparkSession, prices: str, base: str, *states: ItemStats | LaunchState):
+    def __init__(self, spark: SparkSession, prices: str, base: str, *states: ItemStats | LaunchState | CopyById):
         self.spark, self.prices, self.base, self.states = spark, prices, base.rstrip("/"), states
 
     def _journal(self) -> DataFrame:

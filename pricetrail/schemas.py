@@ -40,6 +40,7 @@ LOOKUP = _schema(id=STRING, game=T.IntegerType())
 USAGE = _schema(start_time=TIMESTAMP, warehouse_name=STRING, credits_used=T.DecimalType(18, 9))
 LEDGER = _schema(table_name=STRING, file_name=STRING, file_mb=DOUBLE, load_time=TIMESTAMP)
 PARTS = _schema(version=T.LongType(), part=STRING, path=STRING, rows=T.LongType(), load=STRING, schema=STRING)
+RUN_FILES = _schema(run=STRING, file=STRING, first_id=STRING, last_id=STRING)
 JOURNAL = _schema(load=STRING, path=STRING)
 GENERATIONS = _schema(generation=T.IntegerType(), pull_date=DATE)
 

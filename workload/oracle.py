@@ -405,6 +405,8 @@ ORACLE["missing_ranges"] = f"""{_RECONCILED}, placed AS (
     SELECT pull_date, pull_date - CAST(row_number() OVER (ORDER BY pull_date) AS INTEGER) AS run
     FROM reconciled WHERE state = 'missing')
 SELECT min(pull_date) AS first_day, max(pull_date) AS last_day, count(*) AS n_days FROM placed GROUP BY run"""
+ORACLE["layout_levels"] = f"""WITH {PRICES_L}
+SELECT CAST(id AS VARCHAR) AS id, {double("usd", "usd_foil")}, pull_date, TRUE AS few_runs FROM prices_l"""
 ORACLE["replay_rejects"] = f"""WITH {LANDED}
 SELECT id, CASE WHEN state = 'loaded' THEN usd END AS usd, usd_foil, pull_date, state
 FROM (SELECT *, CASE WHEN CAST(id AS BIGINT) % 3 <> 0 AND day(pull_date) = 25 THEN 'rejected' ELSE 'loaded' END AS state

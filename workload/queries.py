@@ -19,6 +19,7 @@ from pricetrail.plans.views import LAUNCH_VIEWS
 from pricetrail.schemas import ITEM_RENAMES, ITEMS, MOVER_SLICE, PRICES, RAW_WIDE
 from pricetrail.session import scratch_dir
 from pricetrail.sources import compaction, landing, ledger, snapshots, versions
+from pricetrail.sources.by_id import CopyById
 from pricetrail.sources.name_index import NameIndex
 from pricetrail.streaming import ingest
 from workload import frames
@@ -439,6 +440,19 @@ def layout_by_id(spark, sf):
     return plain(lookup.item_history(by_id, frames.items_l(spark, sf), ITEM_ID))
 
 
+@query
+def layout_levels(spark, sf):
+    """All prices in twelve arrivals, kept by item in runs: the rows, and whether few runs hold them."""
+    base = scratch_dir(spark, "levels")
+    rows = conform(frames.prices_l(spark, sf), PRICES)
+    rows.withColumn("arrival", F.month("pull_date")).hint("rebalance", "arrival").write.partitionBy("arrival").parquet(f"{base}/arrivals")
+    copy = CopyById(spark, f"{base}/copy", fanout=3)
+    for month in range(1, 13):
+        copy.apply(spark.read.schema(PRICES).parquet(f"{base}/arrivals/arrival={month}"), f"month {month}")
+    few = len(copy.newest().parts) <= 4
+    return plain(copy.current().withColumn("few_runs", F.lit(few)))
+
+
 @query
 def register_partition(spark, sf):
     """Two days of the landing files made visible in a catalog table, one of them twice."""
