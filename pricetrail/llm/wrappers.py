@@ -14,6 +14,7 @@ import json
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ from pricetrail.llm.url_rules import split_url
 
 TEXT = "#"
 DEEPEST = 60  # depth of the tree that is aligned; of elements below, only articles and what is around stay apart
-WIDEST = 48  # children of an expression's node; beyond, one optional repeated child per label
+RARE = 20  # an element's own words stay apart in an expression if at least one page in so many has them at that place
 PERIOD = 3  # the longest group of neighbours that is folded into a repetition
 
 # Elements and attribute words of the page around an article.
@@ -45,8 +46,19 @@ AROUND_WORDS = set(
 )
 COMMENT_WORDS = {"comment", "comments", "commentlist", "reply", "replies", "disqus", "related", "promo", "teaser"}
 MAIN_WORDS = {"main", "articlebody"}
+# Words that say where or how a thing stands, not what it is: ``share-bar`` is as telling as ``share``.
+PLACE_WORDS = set(
+    "area bar block body bottom box btn button buttons col column container content count foot form group head icon "
+    "icons inner item items left line link links list main outer overlay page panel post posts primary right row "
+    "secondary section site slot strip text title top unit wrap wrapper".split()
+)
+# Words that are as likely the subject of a paragraph as its use.
+SUBJECT_WORDS = set(
+    "alert banner dialog header menu modal navigation promotion related reply respond search share skip social "
+    "sponsor widget".split()
+)
 TELLING = AROUND_WORDS | COMMENT_WORDS | MAIN_WORDS
-OTHER_WORDS = 6  # words of a label besides those that tell what the element is
+PROSE_TAGS = set("p h1 h2 h3 h4 h5 h6 dt dd blockquote pre figure figcaption".split())
 BLOCK_TAGS = set("p h1 h2 h3 h4 h5 h6 li dt dd ul ol dl blockquote pre figure figcaption address".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
@@ -72,25 +84,47 @@ class Part:
 def label_of(tag: str, attributes: str) -> str:
     """The tag and the words of its class, id and role, without digits.
 
-    All ``TELLING`` words stay, so ``is_around`` and ``is_main`` judge by the whole set; only the others are cut.
+    A word of page furniture is marked ``~`` where its name says something else as well:
+    ``ad-slot`` gives ``ad slot``, and ``ad-free`` gives ``free ~ad``.
     """
     words: set[str] = set()
     if attributes and "=" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
-            words.update(_WORD.findall((m[2] or m[3] or m[4] or "").lower()))
-    telling = words & TELLING
-    return f"{tag}.{' '.join(sorted([*telling, *sorted(words - telling)[:OTHER_WORDS]]))}" if words else tag
+            for name in (m[2] or m[3] or m[4] or "").lower().split():
+                own = _WORD.findall(name)
+                if all(w in TELLING or w in PLACE_WORDS for w in own):
+                    words.update(own)
+                else:
+                    words.update("~" + w if w in AROUND_WORDS or w in COMMENT_WORDS else w for w in own)
+    return f"{tag}.{' '.join(sorted(words))}" if words else tag
+
+
+def plain_label(label: str) -> str:
+    """The tag and the telling words of a label."""
+    tag, _, words = label.partition(".")
+    telling = [w for w in words.split() if w in TELLING or w[0] == "~"]
+    return f"{tag}.{' '.join(telling)}" if telling else tag
 
 
 def is_around(label: str) -> bool:
-    """Whether an element is by its name part of the page around the article."""
+    """Whether an element is by its tag or by a whole name part of the page around the article."""
     tag, _, words = label.partition(".")
     if tag in AROUND_TAGS:
         return True
+    if not words:
+        return False
     own = set(words.split())
     if tag in ("article", "main", "body", "html"):
         return tag == "article" and bool(own & COMMENT_WORDS)
-    return bool(own & AROUND_WORDS)
+    return bool(own & (AROUND_WORDS - SUBJECT_WORDS if tag in PROSE_TAGS else AROUND_WORDS))
+
+
+def hints(label: str) -> bool:
+    """Whether a name only hints that an element is around; the host's expression decides on it."""
+    tag, _, words = label.partition(".")
+    if not words or tag in ("article", "main", "body", "html") or is_around(label):
+        return False
+    return "~" in words or bool(AROUND_WORDS.intersection(words.split()))
 
 
 def is_main(label: str) -> bool:
@@ -129,7 +163,7 @@ def _flat(part: Part) -> list[Part]:
             continue
         if holder is None or own[id(holder)]:
             in_article = holder is not None and holder.label.startswith("article")
-            around = is_around(x.label) and not has_main[id(x)]
+            around = (is_around(x.label) or holder is None and hints(x.label)) and not has_main[id(x)]
             if around or own[id(x)] and (holder is None or x.label.startswith("article") and not in_article):
                 holder = x
         todo += [(k, holder) for k in reversed(x.kids)]
@@ -227,23 +261,23 @@ def parse(page: str) -> Part:
 class Node:
     """A node of a host's expression.
 
-    ``pages``: pages that have it.  For text slots: ``chars`` and ``linked`` add up the text and
+    ``pages``: pages that have it; ``late``: pages before the first of them.  For text slots: ``chars`` and ``linked`` add up the text and
     the linked text, and ``same`` is the checksum of a text that never differed, else -1.
     """
 
-    __slots__ = ("label", "optional", "repeated", "pages", "chars", "linked", "same", "kids")
+    __slots__ = ("label", "optional", "repeated", "pages", "chars", "linked", "same", "late", "kids")
 
-    def __init__(self, label, optional=0, repeated=0, pages=1, chars=0, linked=0, same=-1, kids=None):
+    def __init__(self, label, optional=0, repeated=0, pages=1, chars=0, linked=0, same=-1, late=0, kids=None):
         self.label, self.optional, self.repeated, self.pages = label, optional, repeated, pages
-        self.chars, self.linked, self.same, self.kids = chars, linked, same, kids or []
+        self.chars, self.linked, self.same, self.late, self.kids = chars, linked, same, late, kids or []
 
     def packed(self) -> list:
-        own = [self.label, self.optional, self.repeated, self.pages, self.chars, self.linked, self.same]
+        own = [self.label, self.optional, self.repeated, self.pages, self.chars, self.linked, self.same, self.late]
         return [*own, [k.packed() for k in self.kids]]
 
     @staticmethod
     def unpacked(x: list) -> Node:
-        return Node(*x[:7], [Node.unpacked(k) for k in x[7]])
+        return Node(*x[:8], [Node.unpacked(k) for k in x[8]])
 
 
 def merged(a: Node, b: Node, pages: int) -> Node:
@@ -256,6 +290,7 @@ def merged(a: Node, b: Node, pages: int) -> Node:
         a.chars + b.chars,
         a.linked + b.linked,
         a.same if a.same == b.same else -1,
+        min(a.late, b.late),
         aligned(a.kids, b.kids, a.pages, b.pages),
     )
 
@@ -278,49 +313,121 @@ def folded(nodes: list[Node]) -> list[Node]:
                         x.repeated = 1
                     again = n > 1
                     break
-    if len(out) > WIDEST:
-        by_label: dict[str, Node] = {}
-        for node in out:
-            seen = by_label.get(node.label)
-            by_label[node.label] = merged(seen, node, max(seen.pages, node.pages)) if seen else node
-            by_label[node.label].optional = by_label[node.label].repeated = 1
-        out = list(by_label.values())
     return out
 
 
+def _unique(labels: list[str], start: int, end: int) -> dict[str, int]:
+    """The labels that stand once in a stretch, with their places."""
+    seen: dict[str, int] = {}
+    for n in range(start, end):
+        seen[labels[n]] = -1 if labels[n] in seen else n
+    return {label: n for label, n in seen.items() if n >= 0}
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest run of pairs, given by rising first places, whose second places rise as well."""
+    ends: list[int] = []
+    last: list[int] = []
+    before = [-1] * len(pairs)
+    for n, (_, y) in enumerate(pairs):
+        at = bisect_left(ends, y)
+        before[n] = last[at - 1] if at else -1
+        ends[at : at + 1], last[at : at + 1] = [y], [n]
+    out = []
+    n = last[-1] if last else -1
+    while n >= 0:
+        out.append(pairs[n])
+        n = before[n]
+    return out[::-1]
+
+
 def matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """A longest common subsequence of labels, as pairs of places."""
-    head = 0
-    while head < min(len(a), len(b)) and a[head] == b[head]:
-        head += 1
-    x, y = a[head:], b[head:]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
-    found = [(i, i) for i in range(head)]
-    i = j = 0
-    while i < len(x) and j < len(y):
-        if x[i] == y[j]:
-            found.append((head + i, head + j))
+    """A common subsequence of labels, as pairs of places, in about linear time.
+
+    Equal ends match first, then labels that stand once on both sides; where there are none,
+    the side whose next label comes sooner on the other side waits for it.
+    """
+    found: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, m, j, n = todo.pop()
+        while i < m and j < n and a[i] == b[j]:
+            found.append((i, j))
             i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
-    return found
+        while i < m and j < n and a[m - 1] == b[n - 1]:
+            m, n = m - 1, n - 1
+            found.append((m, n))
+        if i == m or j == n:
+            continue
+        theirs = _unique(b, j, n)
+        anchors = _rising([(x, theirs[label]) for label, x in _unique(a, i, m).items() if label in theirs])
+        if anchors:
+            for x, y in anchors:
+                todo.append((i, x, j, y))
+                i, j = x + 1, y + 1
+            found += anchors
+            todo.append((i, m, j, n))
+            continue
+        in_a, in_b = _places(a, i, m), _places(b, j, n)
+        while i < m and j < n:
+            if a[i] == b[j]:
+                found.append((i, j))
+                i, j = i + 1, j + 1
+                continue
+            skip_b, skip_a = _next(in_b, a[i], j) - j, _next(in_a, b[j], i) - i
+            if skip_a <= skip_b:
+                i += 1
+            else:
+                j += 1
+    return sorted(found)
+
+
+def _places(labels: list[str], start: int, end: int) -> dict[str, list[int]]:
+    out: dict[str, list[int]] = {}
+    for n in range(start, end):
+        out.setdefault(labels[n], []).append(n)
+    return out
+
+
+def _next(places: dict[str, list[int]], label: str, start: int) -> float:
+    own = places.get(label, [])
+    at = bisect_left(own, start)
+    return own[at] if at < len(own) else math.inf
 
 
 def aligned(a: list[Node], b: list[Node], pages_a: int, pages_b: int) -> list[Node]:
-    """Two child streams as one: what only one of them has becomes optional."""
+    """Two child streams as one: what only one of them has becomes optional.
+
+    What fewer than one page in ``RARE`` has had since it was first seen is known by its telling words
+    only, so names that hardly recur become one repeated child.
+    """
+    total = pages_a + pages_b
     out: list[Node] = []
+
+    def add(node: Node) -> None:
+        if node.pages * RARE < total - node.late and "." in node.label:
+            plain = plain_label(node.label)
+            if plain != node.label:
+                node.label = plain
+                if out and out[-1].label == plain:
+                    out[-1] = merged(out[-1], node, min(total, out[-1].pages + node.pages))
+                    out[-1].repeated = 1
+                    return
+        out.append(node)
+
     i = j = 0
     for x, y in [*matches([k.label for k in a], [k.label for k in b]), (len(a), len(b))]:
-        for node in (*a[i:x], *b[j:y]):
+        for node in a[i:x]:
             node.optional = 1
-            out.append(node)
+            add(node)
+        for node in b[j:y]:
+            node.optional = 1
+            node.late += pages_a
+            add(node)
         if x < len(a):
-            out.append(merged(a[x], b[y], a[x].pages + b[y].pages))
+            both = merged(a[x], b[y], a[x].pages + b[y].pages)
+            both.late = a[x].late
+            add(both)
         i, j = x + 1, y + 1
     return folded(out)
 
@@ -332,16 +439,16 @@ def expression(part: Part) -> Node:
     return Node(part.label, kids=folded([expression(k) for k in part.kids]))
 
 
-def _tally(node: Node, pages: int) -> tuple[int, int]:
-    """Characters outside links that are not the host's own words, and all characters."""
+def _tally(node: Node, pages: int, out: set[int]) -> tuple[int, int, int]:
+    """Characters outside links that are not the host's own words, linked ones, and all; without ``out``."""
     if node.label == TEXT:
         fixed = node.same != -1 and node.pages > 2 and node.pages * 2 > pages
         dense = node.linked * 2 > node.chars
-        return (0 if fixed or dense else node.chars - node.linked), node.chars
-    if is_around(node.label) and not _has_main(node):
-        return 0, 0
-    sums = [_tally(k, pages) for k in node.kids]
-    return sum(s[0] for s in sums), sum(s[1] for s in sums)
+        return (0 if fixed or dense else node.chars - node.linked), node.linked, node.chars
+    if id(node) in out or is_around(node.label) and not _has_main(node):
+        return 0, 0, 0
+    sums = [_tally(k, pages, out) for k in node.kids]
+    return sum(s[0] for s in sums), sum(s[1] for s in sums), sum(s[2] for s in sums)
 
 
 def _has_main(node: Node) -> bool:
@@ -353,9 +460,13 @@ def verdict(root: Node) -> list:
 
     ``keep`` is K (article), F (taken from pages where the article's element is missing) or D.
     An article or main element decides where there is one; else the element with most of the
-    host's varying, unlinked text, without blocks that are the same on most pages.
+    host's varying, unlinked text, without blocks that are the same on most pages.  An element whose
+    name only ``hints`` is around if, inside the article, its text is mostly links or the host's own words;
+    elsewhere, unless it has most of the host's varying, unlinked text.
     """
     article: set[int] = set()
+    out: set[int] = set()  # elements around by the expression's judgement
+    changing = _tally(root, root.pages, out)[0]
 
     def find(node: Node, tag: str) -> None:
         for k in node.kids:
@@ -370,23 +481,35 @@ def verdict(root: Node) -> list:
         if not article:
             find(root, tag)
 
+    def judge(node: Node, inside: bool) -> None:
+        for k in node.kids:
+            out.discard(id(k))
+            if hints(k.label) and not _has_main(k):
+                own, linked, every = _tally(k, root.pages, out)
+                if 2 * linked > every or changing and 2 * own < every if inside else 2 * own <= changing:
+                    out.add(id(k))
+            judge(k, inside or id(k) in article)
+
+    judge(root, False)
     place = root
     while True:
-        own = _tally(place, root.pages)[0]
+        own = _tally(place, root.pages, out)[0]
         boxes = [k for k in place.kids if k.label != TEXT and k.label.partition(".")[0] not in BLOCK_TAGS]
-        inner = [k for k in boxes if 10 * _tally(k, root.pages)[0] >= 7 * own > 0]
+        inner = [k for k in boxes if 10 * _tally(k, root.pages, out)[0] >= 7 * own > 0]
         if not inner:
             break
         place = inner[0]
-    varies = _tally(place, root.pages)[0] > 0
+    if not article and place.label.partition(".")[0] not in ("page", "html", "body"):
+        judge(place, True)
+    varies = _tally(place, root.pages, out)[0] > 0
 
     def cut(node: Node, inside: bool, dense: bool) -> list:
-        if is_around(node.label) and not _has_main(node):
+        if id(node) in out or is_around(node.label) and not _has_main(node):
             return [node.label, "D", []]
         inside = inside or id(node) in article
         dense = dense or node is place
         if node.label == TEXT:
-            fallback = dense and (not varies or _tally(node, root.pages)[0] > 0)
+            fallback = dense and (not varies or _tally(node, root.pages, out)[0] > 0)
             return [TEXT, "K" if inside else "F" if fallback else "D", []]
         kids = [cut(k, inside, dense) for k in node.kids]
         keeps = {k[1] for k in kids}
@@ -414,16 +537,17 @@ def extract(page: str | None, rule: list | None) -> str:
                     walk(k, None, inner)
             return
         # A repeated child takes all neighbours of its label; then the stream goes on.
+        by_label = {x[0]: x for x in reversed(kids)}
         runs: list[str] = []
         of: list[int] = []
         for k in part.kids:
-            if not runs or runs[-1] != k.label:
-                runs.append(k.label)
+            label = k.label if k.label in by_label else plain_label(k.label)
+            if not runs or runs[-1] != label:
+                runs.append(label)
             of.append(len(runs) - 1)
         at = dict(matches(runs, [x[0] for x in kids]))
-        by_label = {x[0]: x for x in reversed(kids)}
         for k, run in zip(part.kids, of, strict=True):
-            own = kids[at[run]] if run in at else by_label.get(k.label)
+            own = kids[at[run]] if run in at else by_label.get(runs[run])
             if own is None:
                 walk(k, None, "D" if is_around(k.label) else "F")
             elif own[1] != "D":
@@ -494,7 +618,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """key, url, text and n_chars of every row of ``pages`` (key, url, html).
 
-    Null and empty pages, and pages without article text, have an empty text.  Pages without
+    Null and empty pages, and pages without article text, have an empty text.  Very long pages are read
+    whole, in time about linear in their length.  Equal pages have equal texts.  Pages without
     host share one expression.  Repeated rows and keys each give a row; further columns are
     ignored; an empty table gives an empty result.
     """

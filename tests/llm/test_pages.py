@@ -1,7 +1,12 @@
 from __future__ import annotations
 
+from collections import Counter
+from html.parser import HTMLParser
+
 import duckdb
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from pricetrail.llm import oracle, queries, wrappers
 from pricetrail.llm.url_rules import Rule, RuleIndex, filter_urls, site_rule, split_url, url_tokens
@@ -122,21 +127,45 @@ def test_equal_pages_keep_their_article(spark):
     assert set(got.values()) == {"Same text everywhere"}
 
 
+class Blocks(HTMLParser):
+    """The blocks of a page's article element, read by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.skipped, self.block, self.blocks = 0, 0, [], []
+
+    def close_block(self):
+        text = " ".join("".join(self.block).split())
+        self.blocks += [text] if text else []
+        self.block = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in wrappers.INLINE and tag not in wrappers.VOID:
+            self.close_block()
+        self.inside += tag == "article"
+        self.skipped += tag in ("script", "style", "nav", "aside", "form", "header", "footer")
+        self.block += [" "] if tag == "br" else []
+
+    def handle_endtag(self, tag):
+        if tag not in wrappers.INLINE and tag not in wrappers.VOID:
+            self.close_block()
+        self.inside -= tag == "article"
+        self.skipped -= tag in ("script", "style", "nav", "aside", "form", "header", "footer")
+
+    def handle_data(self, data):
+        if self.inside and not self.skipped:
+            self.block.append(data)
+
+
 def test_query_on_the_table(spark, sf):
     got = {r.page_id: r for r in queries.op2_html_extraction(spark, sf).collect()}
     pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
     assert len(got) == len(pages)
     for p in pages:
-        article = p.html[p.html.index("<article>") : p.html.index("</article>")]
-        body = wrappers.parse(article + "</article>")
-        blocks = []
-
-        def walk(part):
-            for k in part.kids:
-                blocks.append(k.text) if k.label == wrappers.TEXT else walk(k)
-
-        walk(body)
-        assert got[p.page_id].text == "\n".join(blocks) and got[p.page_id].n_chars == len(got[p.page_id].text)
+        parser = Blocks()
+        parser.feed(p.html)
+        parser.close()
+        assert got[p.page_id].text == "\n".join(parser.blocks) and got[p.page_id].n_chars == len(got[p.page_id].text)
 
 
 def test_odd_pages(spark):
@@ -220,3 +249,89 @@ def test_stray_quotes_lose_no_text(attributes):
     page = f"<article><p {attributes}>First paragraph.</p><p>It's second.</p><p class=\"x\">Third \"one\".</p></article>"
     assert wrappers.extract(page, None).endswith("It's second.\nThird \"one\".")
     assert "First paragraph." in wrappers.extract(page, None)
+
+
+def by_one_wrapper(pages):
+    total = None
+    for html in pages:
+        node = wrappers.expression(wrappers.parse(html))
+        total = wrappers.merged(total, node, total.pages + 1) if total else node
+    rule = wrappers.verdict(total)
+    return [wrappers.extract(html, rule) for html in pages]
+
+
+@pytest.mark.parametrize("element", ["div class='post-ad-free'", "section id='related-work'", "div class='search-results'",
+                                     "p class='promotion'", "h2 class='navigation'", "div class='navigation-theory wide'"])
+@pytest.mark.parametrize("box", ["article", "div class='story-ad-free'", "div class='c7'"])
+def test_a_word_of_a_name_does_not_decide_inside_an_article(element, box):
+    pages, expected = [], []
+    for n in range(6):
+        words = " ".join(f"word{n}{k}" for k in range(40))
+        body = f"<{box}><h1>T{n}</h1><p>{words}</p><{element}>own text {n}</{element.split()[0]}><p>{words}</p></{box.split()[0]}>"
+        pages.append(page(AROUND.format(n) + body + AFTER.format(n)))
+        expected.append(f"T{n}\n{words}\nown text {n}\n{words}")
+    assert by_one_wrapper(pages) == expected
+
+
+@pytest.mark.parametrize("inner", ["<div class='share-bar'>share {0}</div>", "<div class='ad'>buy {0}</div>", "<p class='ads'>buy {0}</p>",
+                                   "<p class='promotion'>The same on every page</p>", "<div class='more-related-x'><a href='/'>go {0}</a></div>",
+                                   "<ul class='comment-list'><li>nice {0}</li></ul>", "<span class='share-count'>{0} times</span>"])
+def test_names_that_the_expression_or_all_their_words_confirm_are_left_out(inner):
+    pages, expected = [], []
+    for n in range(6):
+        words = " ".join(f"word{n}{k}" for k in range(40))
+        pages.append(page(f"<article><p>{words}</p>{inner.format(n)}<p>{words}</p></article>"))
+        expected.append(f"{words}\n{words}")
+    assert by_one_wrapper(pages) == expected
+
+
+def size(node):
+    return 1 + sum(size(k) for k in node.kids)
+
+
+def hashed(n):
+    """A page of 40 names that no other page has."""
+    names = ["".join(chr(97 + (n * 7919 + k * 104_729 + d * (n + 3 * k)) % 26) for d in range(8)) for k in range(40)]
+    return "<div class='page'>" + "".join(f"<div class='x{name} a'><p>t{n}</p></div>" for name in names) + "</div>"
+
+
+def test_names_that_hardly_recur_are_one_repeated_child():
+    """An expression's size, and so the time a page takes, does not grow with the pages."""
+    sizes, total = [], None
+    for n in range(400):
+        node = wrappers.expression(wrappers.parse(hashed(n)))
+        total = wrappers.merged(total, node, total.pages + 1) if total else node
+        sizes.append(size(total))
+    assert max(sizes[200:]) <= max(sizes[:100]) * 1.1 and total.pages == 400
+    rule = wrappers.verdict(total)
+    assert wrappers.extract(hashed(7), rule) == "\n".join(["t7"] * 40)
+
+
+def test_a_name_on_some_pages_stays_apart_whenever_it_begins():
+    total = None
+    for n in range(300):
+        more = f"<div class='late'><p>text {n}</p></div>" if n >= 200 and n % 4 == 0 else ""
+        node = wrappers.expression(wrappers.parse(f"<div class='first'><p>a{n}</p></div>{more}<div class='x{chr(97 + n % 26) * (n + 1)}'>z</div>"))
+        total = wrappers.merged(total, node, total.pages + 1) if total else node
+    own = Counter()
+    for k in total.kids:
+        own[k.label] += k.pages
+    assert own["div.first"] == 300 and own["div.late"] == 25 and own["div"] > 250
+
+
+def test_many_different_children_keep_their_order():
+    names = [f"{a}{b}q" for a in "cdefg" for b in "hijklmnopqrstuvwxyz"]
+    nodes = [wrappers.expression(wrappers.parse("".join(f"<div class='{x}'>{n}</div>" for x in names if x != skip)))
+             for n, skip in enumerate(("chq", "dkq", "gzq"))]
+    total = wrappers.merged(wrappers.merged(nodes[0], nodes[1], 2), nodes[2], 3)
+    assert [k.label for k in total.kids] == [f"div.{x}" for x in names]
+    assert [k.label for k in total.kids if k.optional] == ["div.chq", "div.dkq", "div.gzq"]
+
+
+@given(st.text("abcd", max_size=30), st.text("abcd", max_size=30))
+def test_matches_are_a_common_subsequence(a, b):
+    found = wrappers.matches(list(a), list(b))
+    assert all(a[x] == b[y] for x, y in found)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:], strict=False))
+    assert bool(found) == bool(set(a) & set(b))
+    assert len(wrappers.matches(list(a), list(a))) == len(a)
