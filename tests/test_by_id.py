@@ -11,7 +11,7 @@ from conftest import rows
 from pricetrail.operators.lookup import item_history
 from pricetrail.plans.daily import Lake, run_day
 from pricetrail.plans.maintained import Maintained
-from pricetrail.sources import landing
+from pricetrail.sources import by_id, landing
 from pricetrail.sources.by_id import CopyById
 
 DAY = date(2024, 8, 1)
@@ -46,6 +46,26 @@ def test_runs_stay_few_and_rows_whole(spark, base, prices, items):
     assert {r["load"] for r in copy.loads().collect()} == {f"day {d}" for d in range(10)}
 
 
+def test_long_runs_are_sorted_by_as_many_tasks_as_there_are_cores(spark, base, prices, monkeypatch):
+    monkeypatch.setattr(by_id, "SHORTEST_FILE", 10, raising=False)
+    copy = CopyById(spark, base)
+    copy.apply(prices(*[(f"i{i:03d}", "1", None, DAY.isoformat()) for i in range(80)]))
+    assert len(copy.current().inputFiles()) == spark.sparkContext.defaultParallelism == 4
+    assert len(copy.files_of("i007")) == 1
+    copy.apply(prices(("x", "1", None, DAY.isoformat())))
+    assert len(copy.current().inputFiles()) == 5 and copy.current().count() == 81
+
+
+def test_levels_that_fill_in_turn_merge_at_once(spark, base, prices):
+    copy = CopyById(spark, base, fanout=3)
+    merges, merge_runs = [], copy.merge_runs
+    copy.merge_runs = lambda: merges.append(merge_runs())
+    for d in range(9):
+        copy.apply(prices(*days(d, 1)), f"day {d}")
+    assert merges == [0, 0, 1, 0, 0, 1, 0, 0, 1] and len(copy.newest().parts) == 1
+    assert copy.newest().rows == 72 and sorted(rows(copy.current())) == sorted(rows(prices(*days(0, 9))))
+
+
 def test_an_item_opens_one_file_of_a_run(spark, base, prices):
     copy = CopyById(spark, base, fanout=4, rows_per_file=10)
     for d in range(3):
