@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -16,6 +17,7 @@ from pricetrail.schemas import DAY_PARTITIONS, GENERATIONS, LANDING_ITEMS, LANDI
 
 
 LIST_TASKS = 64  # a listing reads no content, so its tasks need not follow file sizes
+FOLDERS_PER_TASK = 32
 ROWS_PER_RANGE = 5_000_000
 GENERATION = "generation"
 CSV_FORM = {
@@ -166,6 +168,21 @@ def register_day(spark: SparkSession, table: str, stage: Stage, day: date) -> No
     )
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession, folders: int) -> Iterator[None]:
+    """A reader made inside lists ``FOLDERS_PER_TASK`` folders a task; Spark by itself takes a task for each."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, max(1, -(-folders // FOLDERS_PER_TASK)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path)

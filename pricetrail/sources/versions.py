@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pricetrail.operators.merge import classified_upsert, outcome_counts
 from pricetrail.schemas import PARTS
-from pricetrail.sources.landing import open_table, write_observed
+from pricetrail.sources.landing import few_listing_tasks, open_table, write_observed
 
 GROUP = "id_group"
 ROWS_PER_GROUP = 1_000_000
@@ -108,7 +108,10 @@ class GroupedTable(Versions):
 
     def _read(self, paths: Iterable[str]) -> DataFrame:
         paths = list(paths)
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        with few_listing_tasks(self.spark, len(paths)):
+            return self.spark.read.schema(self.schema).parquet(*paths)
 
     def read_groups(self, version: Version, groups: Iterable[int]) -> DataFrame:
         parts = [self._part(g, self._groups(version)) for g in groups]
@@ -130,7 +133,9 @@ class GroupedTable(Versions):
 
     def _written(self, path: str, groups: int) -> dict[str, str]:
         """The parts that a write made; a group without rows has no folder."""
-        listed = self.spark.read.schema(f"{GROUP} INT").parquet(path).distinct().collect()
+        with few_listing_tasks(self.spark, groups):
+            folders = self.spark.read.schema(f"{GROUP} INT").parquet(path)
+        listed = folders.distinct().collect()
         return {self._part(r[0], groups): f"{path}/{GROUP}={r[0]}" for r in listed}
 
     def rewrite(self, rows: DataFrame, of: Version, changed: list[int] | None, total: int | None, *loads: str, **metrics: Column) -> dict:
@@ -171,7 +176,8 @@ class VersionedTable(GroupedTable):
         """``upsert`` into the newest version, which is ``old``."""
         groups = self._groups(old)
         touched = self.touched(old, rows)
-        narrow = [part.select("id", "pull_date") for part in (self.read_groups(old, touched), rows)]
+        known = self.read_groups(old, touched)  # the folders of many groups take time to list, so they are listed once
+        narrow = [part.select("id", "pull_date") for part in (known, rows)]
         counts = [count.alias(name) for name, count in outcome_counts().items()]
         by_group = classified_upsert(*narrow).groupBy(self._group(groups).alias(GROUP)).agg(*counts).collect()
         outcome = {name: sum(row[name] for row in by_group) for name in outcome_counts()}
@@ -180,8 +186,10 @@ class VersionedTable(GroupedTable):
             return outcome
         total = old.rows + outcome["rows_inserted"]
         if self._wanted(total) > groups:
-            self.rewrite(classified_upsert(self._read(old.parts.values()), rows), old, None, total)
+            whole = known if len(touched) == groups else self._read(old.parts.values())
+            self.rewrite(classified_upsert(whole, rows), old, None, total)
         else:
+            kept = known if sorted(changed) == touched else self.read_groups(old, changed)
             given = rows if len(changed) == groups else rows.filter(self._group(groups).isin(changed))
-            self.rewrite(classified_upsert(self.read_groups(old, changed), given), old, changed, total)
+            self.rewrite(classified_upsert(kept, given), old, changed, total)
         return outcome

@@ -195,6 +195,35 @@ def test_wider_numbers_leave_other_groups_where_they_are(spark, base):
     assert old.count() == 40 and "note" not in old.columns
 
 
+def test_folders_of_many_groups_are_listed_by_few_tasks(spark, base):
+    """Each table that is read lists its 64 folders; a task for each of them was most of all tasks."""
+    table = wide.wide_table(spark, f"{base}/wide", rows_per_group=1)
+    wide.load_wide(spark, snapshot(base, "all", *[{"id": f"i{n}", "edhrec_rank": n} for n in range(64)]), table, D1)
+    key, tracker = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.sparkContext.statusTracker()
+    before = spark.conf.get(key)
+    assert len(table.newest().parts) > 32
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        listed = table.current()
+        stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+        tasks = [info.numTasks for s in stages if (info := tracker.getStageInfo(s))]
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert tasks and max(tasks) <= 4
+    assert spark.conf.get(key) == before and listed.count() == 64
+
+
+def test_records_are_made_by_tasks_that_follow_their_number(spark, monkeypatch):
+    from workload import frames
+
+    sf = "/root/testdata/sf0.001"
+    whole = sorted(map(str, frames.raw_items(spark, sf).collect()))
+    monkeypatch.setattr(frames, "ROWS_PER_TASK", 50, raising=False)
+    records = frames.raw_items(spark, sf)
+    assert records.rdd.getNumPartitions() == -(-len(whole) // 50) > 1
+    assert sorted(map(str, records.collect())) == whole
+
+
 def test_empty_snapshots_and_left_out_fields(spark, base):
     table = wide.wide_table(spark, f"{base}/wide")
     assert outcome(wide.load_wide(spark, snapshot(base, "none"), table, D1)) == (0, 0, 0, 0)

@@ -167,6 +167,8 @@ def _item_version(parts: DataFrame, name: Column, pull_date: Column) -> DataFram
 
 # --- files --------------------------------------------------------------------------------
 
+ROWS_PER_TASK = 25_000  # of records that are some kilobytes of JSON each
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -180,6 +182,12 @@ def once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], ob
     return _written[key]
 
 
+def dealt(rows: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """Short rows of which long ones are made, dealt over tasks by their number; Spark would read many of them in one task."""
+    tasks = -(-rows.count() // (rows_per_task or ROWS_PER_TASK))
+    return rows.repartition(tasks) if tasks > 1 else rows
+
+
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested snapshot records, with missing and malformed prices."""
     size, key = F.col("p_size"), F.col("p_partkey")
@@ -202,7 +210,7 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "layout", "mana_cost", "type_line", "oracle_text", "power", "toughness", "image_status", "artist",
         "illustration_id", "border_color", "frame", "security_stamp", "watermark", "card_back_id",
     )
-    return table(spark, sf_dir, "part").select(
+    return dealt(table(spark, sf_dir, "part")).select(
         text_id.alias("id"),
         F.concat(F.lit("o"), text_id).alias("oracle_id"),
         (key * 2).alias("mtgo_id"),
