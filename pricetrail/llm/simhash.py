@@ -8,6 +8,7 @@ that small Hamming ball, fetches the table entries and verifies the complete dis
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import arrow_runs, components, stored
+from pricetrail.llm.common import arrow_runs, components, give_back, stored
 
 BITS = 64
 HASHES_AT_ONCE = 1 << 16
@@ -49,10 +50,13 @@ def fingerprints(text: Column, width: int = 3) -> Column:
     """The fingerprint of a text column as a signed long."""
 
     @F.arrow_udf("long")
-    def of(texts: pa.Array) -> pa.Array:
-        runs = (run for _, run in arrow_runs(texts, SLICE_CHARS))
-        found = [fingerprint(text.encode(), width) for run in runs for text in run]
-        return pa.array(np.array(found, np.uint64).view(np.int64))
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            runs = (run for _, run in arrow_runs(texts, SLICE_CHARS))
+            found = [fingerprint(text.encode(), width) for run in runs for text in run]
+            yield pa.array(np.array(found, np.uint64).view(np.int64))
+            del texts, runs, found
+        give_back()
 
     return of(text)
 

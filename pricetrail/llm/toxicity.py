@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import arrow_runs, held_out, sigmoid, text_runs
+from pricetrail.llm.common import arrow_runs, give_back, held_out, sigmoid, text_runs
 from pricetrail.llm.training import Sample, labelled_sample
 
 ORDER, DECAY = 4, 0.8
@@ -309,6 +309,16 @@ class ToxicityModel:
             out.append(self.base if worst is None else float(sigmoid(self.slope * worst)))
         return out
 
+    def score_batches(self, batches: Iterable[pa.Array]) -> Iterator[pa.Array]:
+        """The scores of each batch; the kernels of units are remembered over all of them."""
+        known: dict[str, np.ndarray | None] = {}
+        for texts in batches:
+            runs = arrow_runs(texts, SLICE_CHARS)
+            yield pa.array([s for _, run in runs for s in self.score_run(run, known)], pa.float64())
+            del texts, runs
+        known.clear()
+        give_back()
+
     def scores(self, texts: Iterable[str | None]) -> np.ndarray:
         known: dict[str, np.ndarray | None] = {}
         runs = text_runs(texts, SLICE_CHARS)
@@ -370,10 +380,7 @@ def toxicity_scores(text: Column, model: ToxicityModel) -> Column:
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, np.ndarray | None] = {}
-        for texts in batches:
-            runs = arrow_runs(texts, SLICE_CHARS)
-            yield pa.array([s for _, run in runs for s in model.score_run(run, known)], pa.float64())
+        return model.score_batches(batches)
 
     return score(text)
 
