@@ -17,6 +17,10 @@ from pricetrail.session import scratch_dir
 # Words are separated by the ASCII white space of the contracts and by nothing else.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
+# Bytes that Arrow hands to a Python worker at a time; one longer row still goes whole.
+BATCH_BYTES = 1 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,6 +38,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by_batches(df: DataFrame, label: str) -> DataFrame:
+    """``stored`` for a plan that gives whole texts to Python, in batches of about ``BATCH_BYTES``.
+
+    A batch lies in the JVM and in its worker at once, and an executor's JVM keeps most of what
+    its batches took beside the heap.  The session's own limit holds again afterwards.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH_SETTING, None)
+    conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        return stored(df, label)
+    finally:
+        if before is None:
+            conf.unset(BATCH_SETTING)
+        else:
+            conf.set(BATCH_SETTING, before)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP, -1), lambda w: w != "")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricetrail.llm.common import arrow_runs, stored
+from pricetrail.llm.common import arrow_runs, stored, stored_by_batches
 
 PIECES = "row long, doc_id {id}, piece int, start long, length int, ids_crc32 long"
 PLACES = "row long, doc_id {id}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -212,7 +212,7 @@ def pack(
     """
     texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     tokenized = pieces_of(texts, capacity, vocabulary, end_id)
-    pieces = stored(tokenized.withColumn("part", F.spark_partition_id()), "pieces")
+    pieces = stored_by_batches(tokenized.withColumn("part", F.spark_partition_id()), "pieces")
     per_part = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     per_part = per_part.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import arrow_runs, components, give_back, stored
+from pricetrail.llm.common import arrow_runs, components, give_back, stored, stored_by_batches
 
 BITS = 64
 HASHES_AT_ONCE = 1 << 16
@@ -103,7 +103,8 @@ def simhash_groups(docs: DataFrame, width: int = 3, max_distance: int = 3) -> Da
     rows each give a row.  Rows without id link too; a group of only such rows has a null
     component.  Further columns are ignored.  An empty table gives an empty result.
     """
-    found = stored(docs.select("doc_id", fingerprints(F.col("text"), width).alias("fp")), "prints")
+    found = docs.select("doc_id", fingerprints(F.col("text"), width).alias("fp"))
+    found = stored_by_batches(found, "prints")
     prints = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     pairs = near_pairs(prints.select("fp"), max_distance)
     groups = components(pairs.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")), "simhash")
@@ -138,7 +139,7 @@ def keep_one_of_each(docs: DataFrame, width: int = 3, max_distance: int = 3) ->
     others = others.select(F.struct("*").alias("doc"), fingerprints(F.col("text"), width).alias("own"))
     kept = groups.filter(stays | F.col("component_id").isNull()).distinct()
     same = F.col("doc.doc_id").eqNullSafe(kept["doc_id"]) & (F.col("own") == kept["fp"])
-    others = stored(others.join(kept, same).select("doc", "group"), "told-apart")
+    others = stored_by_batches(others.join(kept, same).select("doc", "group"), "told-apart")
     once = others.filter(F.col("doc.doc_id").isNotNull()).dropDuplicates(["group"])
     nameless = others.filter(F.col("doc.doc_id").isNull())
     return single.union(once.select("doc.*")).union(nameless.select("doc.*"))

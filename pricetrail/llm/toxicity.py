@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import arrow_runs, give_back, held_out, sigmoid, text_runs
+from pricetrail.llm.common import arrow_runs, give_back, held_out, sigmoid, stored_by_batches, text_runs
 from pricetrail.llm.training import Sample, labelled_sample
 
 ORDER, DECAY = 4, 0.8
@@ -408,6 +408,9 @@ def classify_toxicity(
 def without_toxic(
     docs: DataFrame, labels: DataFrame, rows_per_class: int = 1500, max_bytes: int = 1 << 15, threshold: float = 0.5
 ) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects; all columns stay."""
+    """``docs`` without the rows that the classifier rejects; all columns stay.
+
+    The rows are stored, since only a plan that runs here gets short batches.
+    """
     model = fit_toxicity(labelled_sample(docs, labels, "toxic", rows_per_class, max_bytes))
-    return docs.filter(toxicity_scores(F.col("text"), model) < threshold)
+    return stored_by_batches(docs.filter(toxicity_scores(F.col("text"), model) < threshold), "not-toxic")
