@@ -410,7 +410,10 @@ def without_toxic(
 ) -> DataFrame:
     """``docs`` without the rows that the classifier rejects; all columns stay.
 
-    The rows are stored, since only a plan that runs here gets short batches.
+    A score is of the text alone, so only the hashes of rejected texts are stored, not the rows that stay.
     """
     model = fit_toxicity(labelled_sample(docs, labels, "toxic", rows_per_class, max_bytes))
-    return stored_by_batches(docs.filter(toxicity_scores(F.col("text"), model) < threshold), "not-toxic")
+    low = F.col("score") < threshold
+    scored = docs.select(F.sha2("text", 256).alias("__gone"), toxicity_scores(F.col("text"), model).alias("score"))
+    gone = stored_by_batches(scored.filter(~low).select("__gone").distinct(), "toxic")
+    return docs.join(gone, F.sha2(docs["text"], 256).eqNullSafe(gone["__gone"]), "left_anti")
